@@ -1,0 +1,31 @@
+"""Queries of the general problem: frequency of every keyword."""
+
+from __future__ import annotations
+
+from ..operators.term_frequency import mark_extremes, term_frequency
+from ..sources import read_table
+
+
+def p5_frequency(spark, sf_dir):
+    tanks = read_table(spark, sf_dir, "tanks_data", "keywords")
+    return mark_extremes(term_frequency(tanks, "keywords", "keyword"), tanks)
+
+
+def p5_found(spark, sf_dir):
+    return p5_frequency(spark, sf_dir).where("mark is not null").select("keyword", "mark")
+
+
+QUERIES = {"p5_found": p5_found, "p5_frequency": p5_frequency}
+_FREQUENCY = r"""
+WITH items AS (SELECT row_id, unnest(keywords) AS keyword FROM tanks_data),
+kept AS (SELECT * FROM items WHERE keyword IS NOT NULL AND regexp_matches(keyword, '[^\s\x{0085}\p{Z}]')),
+f AS (SELECT keyword, count(*) AS occurrences, count(DISTINCT row_id) AS records FROM kept GROUP BY keyword),
+n AS (SELECT count(*) AS all_rows FROM tanks_data),
+marks AS (
+  SELECT keyword, 'rare' AS mark FROM f WHERE records <= 2
+  UNION ALL SELECT keyword, 'common' FROM f, n WHERE records > 0.05 * all_rows)
+"""
+ORACLES = {
+    "p5_found": _FREQUENCY + "SELECT keyword, mark FROM marks",
+    "p5_frequency": _FREQUENCY + "SELECT f.keyword, f.occurrences, f.records, marks.mark FROM f LEFT JOIN marks USING (keyword)",
+}
