@@ -1,0 +1,74 @@
+"""What sites put around a text: closed classes of lines, told by their form.
+
+Patterns match a whole line or block, blanks normalized. They serve as noise marks for the density of a page
+(their characters count as link characters) and drop such lines inside the chosen body.
+"""
+
+from __future__ import annotations
+
+import re
+from functools import lru_cache
+
+# Words of navigation bars.
+NAV = """
+Shop|Forum|Download|Downloads|News|Vehicles|Tournaments|Support|Contact|My garage|Terms of use|Privacy|Imprint|Media|Search|Clans|Guides|Home|Sign in|Log in|Register|Help|About|Menu|Next|Previous
+Anleitungen|Fahrzeuge|Anmelden|Laden|Impressum|Datenschutz|Kontakt|Neuigkeiten|Startseite|Hilfe|Suche|Medien|Turniere|Garage
+Условия|Конфиденциальность|Контакты|Главная|Новости|Поиск|Войти|Магазин|Техника|Руководства|Форум|Поддержка|Загрузка|Кланы|Помощь
+使用条款|隐私|联系我们|首页|搜索|新闻|攻略|商店|客服|登录|论坛|战车|下载|帮助
+Accueil|Boutique|Mentions légales|Confidentialité|Aide|Recherche|Véhicules|Connexion|Actualités|Téléchargement|Contact|Reply|Quote|Report|Like
+""".replace("\n", "|")
+# Forms of notices, counters, teasers, bylines and footers; English, German, Russian, Chinese, French.
+LINES = [
+    # consent and scripts
+    r"cookies? help \S.*", r".*\bpartners? store\b.*", r"your privacy matters\b.*", r"we use cookies\b.*", r"(?:this|our) (?:site|page|website) uses cookies.*", r".*\bund \d+ partner speichern\b.*", r"(?:diese|unsere) (?:seite|website) (?:verwendet|nutzt) cookies.*",
+    r".*хранит данные на вашем устройстве.*", r"мы используем (?:файлы )?cookie.*", r"wir verwenden cookies.*", r"nous utilisons des cookies.*", r".*会在您的设备上保存信息.*", r"本站使用.*统计访问量.*", r".*partenaires déposent des cookies.*", r"ce site utilise des (?:traceurs|cookies).*", r"please enable javascript for the full experience\.?",
+    r"(?:сайт|этот сайт) использует (?:файлы )?cookie.*",
+    # footers
+    r"(?:©|\(c\)|copyright\b).*", r".*\bis a fan project and is not linked to\b.*", r"page (?:generated|served) in\b.*", r"page servie en\b.*", r"seite in [\d,.]+ s erstellt.*", r"сейчас на сайте.*", r"当前在线\s*\d+\s*人", r"follow us on our\b.*", r"страница создана за.*", r"页面生成.*",
+    # advertisement, sharing, lists of pages
+    r"advertisement|реклама|anzeige|广告|publicité|werbung", r"share this page|поделиться|seite teilen|分享|partager", r"most read this week|популярное|meistgelesen|本周热门|les plus lus",
+    r"subscribe to the .* newsletter\b.*", r"подпишитесь на рассылку.*", r"订阅.{1,40}通讯", r"newsletter von .*", r".*-newsletter abonnieren.*", r"(?:abonnez|inscrivez)-vous à la lettre\b.*", r"abonnieren sie\b.*newsletter.*",
+    r"buy [\d,.]+ gold and get\b.*", r"jetzt [\d,.]+ \S+ kaufen und\b.*", r"купите [\d,.]+ .*(?:бесплатно|подарок).*", r"(?:购买|充值)\s*\d+.*", r"achetez [\d,.]+ .*",
+    r"(?:related|verwandt|см\. также|похожее|voir aussi)\s?:.*", r"read also\s?:.*", r"(?:lesen sie auch|auch interessant)\s?:.*", r"читайте также\s?:.*", r"相关阅读\s?[：:].*", r"à lire aussi\s?:.*", r"you may also like\s?:.*", r"(?:previous|next) article\s?:.*", r"(?:voriger|nächster) artikel\s?:.*", r"(?:上|下)一篇\s?[：:].*",
+    # about the text: bylines, tags, votes, editing, breadcrumbs
+    r"posted by \S+ on\b.*", r"(?:by|von|автор|par|作者)\s?[:：]\s?\S+.{0,30}", r"(?:tags|schlagwörter|метки|теги|mots-clés|étiquettes|标签)\s?[:：].*", r"(?:categories|kategorien|категории|catégories|分类)\s?[:：].*\|.*", r"log in to vote", r"was this helpful\?.*", r"(?:war das hilfreich|это было полезно|cela vous a-t-il aidé)\s?\?.*",
+    r"\[(?:edit|bearbeiten|править|modifier|编辑)(?: \| [^\]]*)?\]", r"(?:home|startseite|главная|首页|accueil)\s?[>›»/]\s?.*",
+    # comments
+    r"\d+ (?:comments?|kommentare?|commentaires?|replies|reply|antworten|réponses?|ответ\w*)|(?:comments|kommentare|комментарии|commentaires|评论)\s?[:：]?\s?[(（]?\d+[)）]?|\d+\s?条(?:回复|评论)|discussion|diskussion|обсуждение|讨论",
+    r"#\d+\s\S+\s?[:：].*", r"\S+ (?:wrote|schrieb|пишет|a écrit|发表评论)\s?[:：].*", r"reply from \S+ [-–—].*", r"\S+, \d{1,2}\.? \w+\s?[:：] .*", r"\d+楼 \S+[：:].*", r"(?:antwort von|ответ от|réponse de) \S+ [-–—].*",
+    # teasers: a cut sentence and a link text
+    r".{8,}(?:…|\.\.\.)\s*(?:read more|continue reading|full story|more|weiterlesen|mehr(?: lesen)?|подробнее|далее|читать далее|阅读全文|更多|lire la suite|la suite|suite|en savoir plus)\s*(?:>+|»+|›+|\.\.\.|…|→)?",
+]
+_NAV = frozenset(x.strip().lower() for x in NAV.split("|") if x.strip())
+_LINE = re.compile("(?:" + "|".join(f"(?:{x})" for x in LINES) + r")\Z", re.I | re.S)
+_BAR = re.compile(r"\s*[|·•>›»/]\s*")
+_BLANKS = re.compile(r"\s+")
+
+
+def tidy(line: str) -> str:
+    return _BLANKS.sub(" ", line).strip()
+
+
+def _nav_run(line: str) -> bool:
+    """A run of navigation words without marks between them."""
+    words = line.lower().split(" ")
+    at = 0
+    while at < len(words):
+        for n in (3, 2, 1):
+            if " ".join(words[at : at + n]) in _NAV and at + n <= len(words):
+                at += n
+                break
+        else:
+            return False
+    return True
+
+
+@lru_cache(200_000)
+def is_furniture(line: str) -> bool:
+    """Whether a tidy line has the form of something a site puts around its texts. Blank lines count."""
+    if not line:
+        return True
+    items = _BAR.split(line)
+    if len(items) > 1 and all(not x or x.lower() in _NAV for x in items):
+        return True
+    return (len(line) < 120 and _nav_run(line)) or bool(_LINE.match(line))
