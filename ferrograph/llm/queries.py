@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import read_table
-from . import boilerplate, lookalikes, residue, sentences
+from . import boilerplate, encoding, leaks, lookalikes, residue, sentences, subjects
 
 
 def p1_found(spark, sf_dir):
@@ -38,5 +38,28 @@ def p4_found(spark, sf_dir):
     return residue.residue_records(read_table(spark, sf_dir, "fetch_results"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unified, p2_found, p2_sentences, p3_found, p3_main_text, p4_found)}
+def p6_ids(spark, sf_dir):
+    return encoding.encode(read_table(spark, sf_dir, "documents"), f"{encoding.TOKENIZERS}/byte_bpe_50k.tiktoken")
+
+
+def p7_found(spark, sf_dir):
+    return leaks.contained(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items"))
+
+
+def p7_documents(spark, sf_dir):
+    return leaks.leaked_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items"))
+
+
+def p8_found(spark, sf_dir):
+    return subjects.unlabelled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "subject_labels"))
+
+
+def p8_composition(spark, sf_dir):
+    return subjects.composition(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "subject_labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (p1_found, p1_unified, p2_found, p2_sentences, p3_found, p3_main_text, p4_found, p6_ids, p7_found, p7_documents, p8_found, p8_composition)
+}
 ORACLES: dict[str, str] = {}

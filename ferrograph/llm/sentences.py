@@ -49,6 +49,7 @@ _CITE = regex.compile(r"\s?\[\d+(?:\s?[,–-]\s?\d+)*\]|[¹²³⁰-⁹]+")
 _OPEN = frozenset("“„«»「『《〈（([【¿¡‹")
 _TOKEN = regex.compile(r"(?:[\p{L}\p{M}]\.)*[\p{L}\p{M}\p{N}]+$")
 _CAMEL = regex.compile(r"\p{Ll}{1,3}\p{Lu}")
+_SYMBOL = regex.compile(r"[\p{So}\p{Sk}\uFE0F\u200d]")
 _GREEK = regex.compile(r"\p{Greek}")
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 _CASED = regex.compile(r"[\p{Lu}\p{Ll}\p{Lt}]")
@@ -183,7 +184,10 @@ class _Document:
 
 def _ends(s: str, first: int, i: int, stop: int, j: int, k: int, quoted: bool, opens: set[int], doc: _Document) -> bool:
     """Whether the terminators s[i:stop], with closing marks up to j, end a sentence before s[k]; the block starts at ``first``."""
-    cluster, nxt, gap = s[i:stop], s[k], k > j
+    cluster, gap = s[i:stop], k > j
+    while k + 1 < len(s) and (_SYMBOL.match(s, k) or s[k].isspace()):
+        k += 1  # an emblem before a sentence tells nothing about it
+    nxt = s[k]
     back = i - 1
     while back > 0 and not (s[back].isalnum() or s[back] in ")]）%"):
         back -= 1
