@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 import tempfile
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -86,8 +86,7 @@ def compile_lexicon(docs: DataFrame, ranks: dict[bytes, int], folder: str | None
     words = sorted({r.word.encode() for r in frequent_words(docs).toLocalIterator()} - {b""})
     to = Path(folder or tempfile.mkdtemp()) / "lexicon.bin"
     build(((w, one(w)) for w in words), to)
-    digest = hashlib.sha256(to.read_bytes()).hexdigest()[:16]
-    named = to.rename(to.with_name(f"lexicon-{digest}.bin"))
+    named = to.rename(to.with_name(f"lexicon-{uuid.uuid4().hex}.bin"))  # a session may compile the same corpus again
     docs.sparkSession.sparkContext.addFile(str(named))
     return named.name
 
