@@ -90,7 +90,7 @@ def parse(body: str) -> tuple[Node, list[Block]]:
                 while up is not None:
                     up.tags += 1
                     up = up.up
-            elif name == "br":
+            if name == "br":
                 text("\n")
             continue
         flush()

@@ -45,18 +45,22 @@ def _edge(src_kind: str, src: Column, etype: str, dst_kind: str, dst: Column) ->
     return F.struct(F.lit(src_kind).alias("src_kind"), src.alias("src"), F.lit(etype).alias("etype"), F.lit(dst_kind).alias("dst_kind"), dst.alias("dst"))
 
 
-def attempted_edges(records: DataFrame) -> DataFrame:
-    """Every edge a record asks for, repeats included. Strategies and keywords meet inside their row, without a join."""
+def edges_of_row() -> Column:
+    """The edges of a record as a list of structs; strategies and keywords meet inside their row, without a join."""
     name, cls = F.col("name"), F.col("class")
     none = F.array().cast(f"array<{EDGE}>")
-    edges = F.concat(
+    return F.concat(
         F.when(cls.isNotNull(), F.array(_edge("Tank", name, "IsAClassOf", "Class", cls))).otherwise(none),
         F.transform("subclasses", lambda s: _edge("Tank", name, "IsAClassOf", "Class", s)),
         F.when(cls.isNotNull(), F.transform("subclasses", lambda s: _edge("Class", s, "IsSubclassOf", "Class", cls))).otherwise(none),
         F.transform("strategies", lambda s: _edge("Tank", name, "RecommendedTactic", "Strategy", s)),
         F.flatten(F.transform("strategies", lambda s: F.transform("keywords", lambda k: _edge("Strategy", s, "AssociatedWithKeyword", "Keyword", k)))),
     )
-    return records.select(F.inline(edges))
+
+
+def attempted_edges(records: DataFrame) -> DataFrame:
+    """Every edge a record asks for, repeats included."""
+    return records.select(F.inline(edges_of_row()))
 
 
 def graph_edges(records: DataFrame) -> DataFrame:
