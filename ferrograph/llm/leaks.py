@@ -67,7 +67,7 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Plan:
-    """Edits allowed in a window, recall to reach, and sampled positions of a key."""
+    """Edits allowed between windows of equal size (a changed word is one, a word more or less two), recall to reach, and sampled positions of a key."""
 
     edits: int = 0
     recall: float = 0.95
@@ -111,7 +111,7 @@ def edit_distance(a: list[int], b: list[int], most: int) -> int:
         if min(new) > most:
             return most + 1
         row = new
-    return row[-1]
+    return min(row[-1], most + 1)
 
 
 class Index:
