@@ -228,6 +228,9 @@ ORACLES = {
     "violations_topk": _VIOLATIONS + "SELECT * FROM v ORDER BY row_id, field, item NULLS FIRST, message LIMIT 32",
     "record_order_breaks": "SELECT row_id, name, previous FROM (SELECT row_id, name, lag(name) OVER (ORDER BY row_id) AS previous FROM tanks_data WHERE name IS NOT NULL) WHERE previous >= name",
     "first_occurrence_duplicates": "SELECT row_id, name, first FROM (SELECT row_id, name, min(row_id) OVER (PARTITION BY name) AS first FROM tanks_data WHERE name IS NOT NULL) WHERE row_id > first",
+    "duplicate_names": r"""WITH i AS (SELECT name, lower(trim(regexp_replace(name, '[\t\n\x0b\f\r ]+', ' ', 'g'))) AS identity FROM tanks_data WHERE name IS NOT NULL)
+      SELECT identity, list_sort(list(DISTINCT name)) AS spellings FROM i GROUP BY identity HAVING count(*) > 1""",
+    "available_classes_top16": _RECORDS + """SELECT DISTINCT label FROM (SELECT label FROM (SELECT DISTINCT unnest(list_append(subclasses, class)) AS label FROM r) WHERE label IS NOT NULL ORDER BY lower(trim(label)), label LIMIT 16)""",
     "graph_edges": _EDGES + "SELECT * FROM edges",
     "graph_nodes": _EDGES + "SELECT * FROM nodes",
     "graph_stats": _EDGES

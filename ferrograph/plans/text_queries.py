@@ -200,6 +200,18 @@ cut AS (SELECT segment_id, unnest(string_split(regexp_replace(regexp_replace(t,
 clean AS (SELECT segment_id, i, {_TRIM.format(f"regexp_replace(b, '^{_TIGHT}*([-*+•‣▪◦]|[0-9]{{1,3}}[.)]){_TIGHT}+', '')")} AS block FROM cut),
 blocks AS (SELECT segment_id, row_number() OVER (PARTITION BY segment_id ORDER BY i) - 1 AS block_no, block FROM clean WHERE block != '')
 """
+_SENTENCES = (
+    _BLOCKS
+    + rf""",
+lists AS (SELECT segment_id, block_no, [y FOR y IN [{_TRIM.format('x')} FOR x IN regexp_extract_all(block, '[^.!?]+(?:[.!?]+|$)')] IF y != ''] AS l FROM blocks),
+parts AS (SELECT segment_id, block_no, unnest(l) AS s, generate_subscripts(l, 1) - 1 AS sentence_no FROM lists),
+plain AS (SELECT segment_id, block_no, sentence_no, regexp_replace(s, '(?i)[\t-\r ]*(\[(\d+|citation needed)\]|\([\t-\r ]*source[\t-\r ]*\))[\t-\r ]*', ' ', 'g') AS s FROM parts),
+spaced AS (SELECT segment_id, block_no, sentence_no, trim(regexp_replace(s, '[\t-\r \x{{85}}\x{{a0}}\x{{2000}}-\x{{200a}}\x{{3000}}]+', ' ', 'g')) AS s FROM plain),
+st AS (SELECT segment_id, block_no, sentence_no, regexp_replace(s, '^[•*\- ]+|[• ]+$', '', 'g') AS statement FROM spaced)
+"""
+)
+_N, _ENDED = r"len(regexp_extract_all(statement, '\p{L}[\p{L}\p{M}]*'))", "regexp_matches(statement, '[.!?]$')"
+_IMPERATIVE = rf"regexp_matches(statement, '(?i)^({vocab.IMPERATIVE})($|[^\p{{L}}\p{{N}}_])')"
 _URL = r"regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?', ''), '[?#].*$', '')"
 _RANK = "coalesce(CASE lower(trim(source_kind)) " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in vocab.SOURCE_RANKS.items()) + " END, 3)"
 
@@ -213,10 +225,34 @@ def _alias_sql() -> str:
 
 
 _CLASS_CASES = ", ".join(f"CASE WHEN {_word('text', p)} THEN '{n}' END" for n, p in vocab.HEADING_CLASSES.items())
+_NATIONS = {a: n for n, all_ in vocab.NATION_ALIASES.items() for a in all_.split("|")}
 _LATEST = "SELECT name, class FROM (SELECT name, class, row_number() OVER (PARTITION BY name ORDER BY extracted_at DESC NULLS LAST, loaded_at DESC NULLS LAST, row_id DESC) AS rn FROM tanks_data WHERE name IS NOT NULL) WHERE rn = 1"
 ORACLES = {
     "identity_ascii": f"SELECT DISTINCT title, {_ASCII.format('title')} AS identity FROM category_members",
     "segment_blocks": _BLOCKS + "SELECT segment_id, block_no, block FROM blocks",
+    "segment_sentences": _SENTENCES + "SELECT segment_id, block_no, sentence_no, statement FROM st WHERE statement != ''",
+    "tactical_statements": _SENTENCES
+    + f"""SELECT segment_id, block_no, sentence_no FROM st WHERE statement != '' AND {_N} >= 2 AND length(statement) <= 1000 AND NOT {_word('statement', vocab.NON_TACTICAL)}
+      AND ({_word('statement', vocab.TACTICAL, ends=False)} OR {_IMPERATIVE} OR ({_N} >= 5 AND {_ENDED})) AND NOT ({_N} <= 4 AND NOT {_ENDED} AND NOT {_IMPERATIVE})""",
+    "concept_normalize": f"""WITH w AS (SELECT DISTINCT unnest(keywords) AS keyword FROM tanks_data), k AS (
+      SELECT keyword, trim(array_to_string([p FOR p IN string_split(regexp_replace(lower(keyword), '[^\\p{{L}}\\p{{N}}\\p{{M}}_-]+', ' ', 'g'), ' ') IF p != '' AND p NOT IN ({', '.join(f"'{x}'" for x in vocab.STOP_WORDS)})], ' '), ' -_') AS c FROM w WHERE keyword IS NOT NULL),
+      c AS (SELECT keyword, coalesce({_case('c', vocab.CONCEPT_ALIASES)}, c) AS concept FROM k)
+      SELECT keyword, concept, concept != '' AND length(concept) <= 120 AND concept NOT IN ({', '.join(f"'{x}'" for x in vocab.GENERIC_TERMS)}) AND NOT regexp_matches(concept, '^[0-9 \\t\\r\\n.,:+/-]+$') AS valid FROM c""",
+    "wiki_revisions": """WITH j AS (SELECT fetch_id, body::JSON AS b FROM fetch_results WHERE regexp_matches(body, '^[ \\t\\r\\n]*\\{') AND json_valid(body)),
+      p AS (SELECT fetch_id, unnest(json_extract(b, '$.query.pages[*]')) AS p FROM j)
+      SELECT fetch_id, (p->>'$.pageid')::BIGINT AS page_id, p->>'$.title' AS title, p->>'$.revisions[0].slots.main.content' AS text,
+        CASE WHEN p->>'$.missing' IS NOT NULL THEN 'missing_page' WHEN p->>'$.revisions[0].slots.main.content' IS NULL THEN 'missing_revision' END AS code FROM p
+      UNION ALL SELECT fetch_id, NULL, NULL, NULL, 'api_error' FROM j WHERE json_extract(b, '$.error') IS NOT NULL""",
+    "diagnostic_counts": """SELECT 'api_error' AS code, count(*) AS n FROM fetch_results WHERE regexp_matches(body, '^[ \\t\\r\\n]*\\{') AND json_valid(body) AND json_extract(body::JSON, '$.error') IS NOT NULL HAVING count(*) > 0""",
+    "category_evidence": _PATHS + f""", above AS (SELECT DISTINCT category, unnest(path) AS above FROM walk),
+      own AS (SELECT DISTINCT {_TITLE.format('title')} AS title, {_TITLE.format('category')} AS category FROM category_members WHERE ns = 0 AND title IS NOT NULL),
+      every AS (SELECT title, category FROM own UNION SELECT title, above FROM own JOIN above USING (category)),
+      leaf AS (SELECT title, regexp_replace(category, '^category:', '') AS l FROM every),
+      told AS (SELECT title, {_case('l', vocab.CLASS_ALIASES)} AS class, {_case('l', vocab.SUBCLASS_ALIASES)} AS subclass, coalesce({_case('l', _NATIONS)}, {_case("regexp_replace(l, ' tanks?$', '')", _NATIONS)}) AS nation,
+        regexp_extract(l, '^tier ([ivxlcdm]+|\\d{{1,3}})(?: tanks?)?$', 1) AS token FROM leaf),
+      tiers AS (SELECT title, class, subclass, nation, CASE WHEN t BETWEEN 1 AND 10 THEN t END AS tier FROM (SELECT *, coalesce(try_cast({_case('token', vocab.ROMAN_TIERS)} AS INT), try_cast(token AS INT)) AS t FROM told))
+      SELECT title, coalesce(string_agg(DISTINCT class, '|' ORDER BY class), '') AS classes, coalesce(string_agg(DISTINCT subclass, '|' ORDER BY subclass), '') AS subclasses, coalesce(string_agg(DISTINCT nation, '|' ORDER BY nation), '') AS nations,
+        coalesce(array_to_string(list_sort(list(DISTINCT tier) FILTER (WHERE tier IS NOT NULL)), '|'), '') AS tiers FROM tiers GROUP BY title""",
     "precedence_kept": f"SELECT text, segment_id, rank FROM (SELECT text, segment_id, {_RANK} AS rank, row_number() OVER (PARTITION BY text ORDER BY {_RANK}, segment_id) AS rn FROM strategy_segments WHERE text IS NOT NULL) WHERE rn = 1",
     "alias_concepts": _alias_sql(),
     "guide_scope": "SELECT class, count(*) AS guides FROM (SELECT guide_id, unnest(list_distinct(applicable_classes)) AS class FROM guide_segments) WHERE class IS NOT NULL GROUP BY class",
