@@ -61,8 +61,8 @@ def _text_rules(field: str, v: Column, most: int, keyword: bool = False) -> list
     return rules
 
 
-def violations(rows: DataFrame, key: str = "row_id", limits: Limits = Limits()) -> DataFrame:
-    """(key, field, item, message): every rule that a row breaks, item null for whole fields.
+def violations(rows: DataFrame, key: str = "row_id", limits: Limits = Limits(), producer: bool = False) -> DataFrame:
+    """(key, field, item, message): every rule that a row breaks, item null for whole fields. A producer also keeps to the canonical nations and subclasses.
 
     All rules are columns of one scan, exploded in the row; nothing is shuffled. Null is a violation, never a default.
     """
@@ -79,6 +79,9 @@ def violations(rows: DataFrame, key: str = "row_id", limits: Limits = Limits())
     checks.append(found(~F.col("class").isin(vocab.PRIMARY_CLASSES), "class", none, "is no primary class"))
     checks.append(found(~F.col("tier").between(1, 10), "tier", none, "is not between 1 and 10"))
     checks.append(found((F.size("keywords") > 0) & (F.coalesce(F.size("strategies"), F.lit(0)) <= 0), "keywords", none, "need strategies"))
+    if producer:
+        checks.append(found(~F.col("nation").isin(list(vocab.NATION_ALIASES)), "nation", none, "is not canonical"))
+        checks.append(found(F.exists("subclasses", lambda s: ~s.isin(sorted(set(vocab.SUBCLASS_ALIASES.values())))), "subclasses", none, "are not canonical"))
     lists = [F.array(*checks)]
     for f, most, size in (("subclasses", limits.subclasses, limits.label), ("strategies", limits.strategies, limits.strategy), ("keywords", limits.keywords, limits.label)):
         c = F.col(f)

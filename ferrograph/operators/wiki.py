@@ -70,3 +70,38 @@ def vehicles(revs: DataFrame, key: str = "fetch_id") -> DataFrame:
     parsed = revs.where("text is not null").select(key, "title", "text").mapInPandas(run, types)
     tier = F.expr("try_cast(tier_text as int)")
     return parsed.select(key, "title", "status", "code", "name", "display_name", primary_class(F.col("class_text")).alias("class"), nation(F.col("nation_text")).alias("nation"), F.when(tier.between(1, 10), tier).alias("tier"), "sections")
+
+
+def redirect_targets(redirects: DataFrame, most: int = 20) -> DataFrame:
+    """(source, target, code) of (source, target) redirects followed to their end; ``redirect_cycle`` where there is none.
+
+    Chains are followed in whole steps, each a join of what is still open; a title with several targets follows the least.
+    """
+    spark = redirects.sparkSession
+    redirects.where("source is not null and target is not null").groupBy("source").agg(F.min("target").alias("target")).createOrReplaceTempView("_redirects")
+    return spark.sql(f"""
+        WITH RECURSIVE chain(source, target, path, state) MAX RECURSION LEVEL {most + 1} AS (
+          SELECT source, target, array(source), CASE WHEN source = target THEN 2 ELSE 0 END FROM _redirects
+          UNION ALL
+          SELECT c.source, r.target, array_append(c.path, r.source), CASE WHEN array_contains(c.path, r.target) OR r.target = r.source THEN 2 ELSE 0 END
+          FROM chain c JOIN _redirects r ON r.source = c.target WHERE c.state = 0)
+        SELECT source, CASE WHEN max(state) < 2 THEN max_by(target, size(path)) END AS target, CASE WHEN max(state) = 2 THEN 'redirect_cycle' END AS code
+        FROM chain GROUP BY source""")
+
+
+def ordered_evidence(*lists):
+    """Categories of several lists, the first spelling of each identity at its first place, as one column."""
+    from ..functions.text import category_leaf
+
+    all_ = F.concat(*[F.coalesce(x, F.array().cast("array<string>")) for x in lists])
+    keyed = F.filter(F.transform(all_, lambda v, i: F.struct(category_leaf(v).alias("key"), v.alias("v"), i.alias("i"))), lambda x: x["key"].isNotNull())
+    first = F.filter(keyed, lambda x: ~F.exists(keyed, lambda y: (y["key"] == x["key"]) & (y["i"] < x["i"])))
+    return F.transform(first, lambda x: x["v"])
+
+
+def maintenance_stub(code, categories):
+    """Whether a rejection only says that a page is unfinished: metadata is missing and the page is marked for maintenance."""
+    from ..functions.text import category_leaf
+
+    missing = code.isin("missing_primary_class", "missing_nation", "missing_tier")
+    return missing & F.exists(F.coalesce(categories, F.array().cast("array<string>")), lambda c: category_leaf(c) == "tank articles requiring maintenance")
