@@ -21,7 +21,8 @@ def p2_sentences(spark, sf_dir):
 
 
 def p2_found(spark, sf_dir):
-    return p2_sentences(spark, sf_dir).where("sentence_no > 0").select("src", "record_id", "item_no", "start_char")
+    starts = sentences.statements(read_table(spark, sf_dir, "strategy_segments"), read_table(spark, sf_dir, "tanks_data"), text=False)
+    return starts.where("sentence_no > 0").select("src", "record_id", "item_no", "start_char")
 
 
 def p3_main_text(spark, sf_dir):

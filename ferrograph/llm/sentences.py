@@ -13,6 +13,7 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import regex
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ _CLOSERS = frozenset(_PAIR.values()) | frozenset("»«\"’”")
 _PAIRED = regex.compile(r"""[()（）\[\]【】《》〈〉「」『』“”„«»"{}]""")
 _CITE = regex.compile(r"\s?\[\d+(?:\s?[,–-]\s?\d+)*\]|[¹²³⁰-⁹]+")
 _OPEN = frozenset("“„«»「『《〈（([【¿¡‹")
-_TOKEN = regex.compile(r"(?:[\p{L}\p{M}]\.)*[\p{L}\p{M}\p{N}]+$")
+_TOKEN = regex.compile(r"(?r)(?:[\p{L}\p{M}]\.)*[\p{L}\p{M}\p{N}]+")  # read backwards from its end
 _CAMEL = regex.compile(r"\p{Ll}{1,3}\p{Lu}")
 _SYMBOL = regex.compile(r"[\p{So}\p{Sk}\uFE0F\u200d]")
 _GREEK = regex.compile(r"\p{Greek}")
@@ -57,7 +58,8 @@ _THAI_BLANK = regex.compile(r"(?<=[\p{Thai}&&[\p{L}\p{M}]])[^\S\n\r]+(?=[\p{Thai
 _DESIGNATION = regex.compile(r"(?:Bau\.\s*|Mk\.\s*|\d[ \-]?|[-–]|\p{Lu}[\p{L}\p{M}]{3,}\s+)\p{L}$")
 _DOC_ABBR = regex.compile(r"(?<![\p{L}\p{M}.])([\p{L}\p{M}]{1,6})\.(?=[,:;]|\s+\p{Ll}(?!\p{Lu}))")
 #: What the corpus pass counts: a short word, then the period if there is one, then what follows.
-CORPUS_TOKEN = r"(?U)(?<![\p{L}\p{M}.])([\p{L}\p{M}]{2,6})(?:(\.)(?=([,:;]|\s+\p{Ll}|\s+\p{Nd})?)|(?![\p{L}\p{M}]))"
+CORPUS_TOKEN = r"(?U)(?<![\p{L}\p{M}.])[\p{L}\p{M}]{2,6}(?:\.|(?![\p{L}\p{M}]))"
+FOLLOWED = r"(?U)(?<![\p{L}\p{M}.])([\p{L}\p{M}]{2,6})\.(?=[,:;]|\s+\p{Ll}|\s+\p{Nd})"
 
 
 class _Styles(dict):
@@ -216,7 +218,7 @@ def _ends(s: str, first: int, i: int, stop: int, j: int, k: int, quoted: bool, o
     # a single period
     if quoted or s[i - 1] in ")]%" or not s[i - 1].isalnum() and not regex.match(r"\p{M}", s[i - 1]):
         return gap or capital or opener or caseless
-    m = _TOKEN.search(s, max(first, i - 40), i)
+    m = _TOKEN.match(s, max(first, i - 40), i)
     token = m[0] if m else prev
     if token.isdigit():
         if not gap and nxt.isdigit():
@@ -306,23 +308,28 @@ def split_sentences(text: str, doc: _Document | None = None) -> list[tuple[int,
     return [(a, regex.sub(r"[^\S\n]*[\r\n]+\s*(?:(?:[-–*•‣◦▪●○·]|\d{1,3}[.)])\s*)?$", "", text[a:b]).rstrip()) for a, b in zip(starts, [*starts[1:], len(text)], strict=True)]
 
 
-def corpus_abbreviations(texts: DataFrame, least: int = 5, least_share: float = 1e-5, periods: float = 0.9, lower: float = 0.8) -> DataFrame:
-    """(token): words of at most 6 letters that nearly always have a period, mostly before a small letter, digit or comma.
+def abbreviation_counts(texts: DataFrame) -> DataFrame:
+    """(token, n, periods, inner): words of at most 6 letters, how often they occur, with a period, and with one before a small letter, digit or comma.
 
-    ``texts`` has a column ``text``. Counted over the whole corpus, combined in each task before the shuffle. As a token must
-    make up at least ``least_share`` of all occurrences, there are at most 1 / least_share of them at any
-    size, which is what makes their broadcast safe.
+    ``texts`` has a column ``text``. Counted over the whole corpus, combined in each task before the shuffle.
     """
-    hits = F.regexp_extract_all("text", F.lit(CORPUS_TOKEN), F.lit(0))
-    rows = texts.select(F.explode(hits).alias("hit"))
-    # the look-ahead isn't part of the match, so what follows is taken from matches of the period forms alone
-    followed = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?U)(?<![\p{L}\p{M}.])([\p{L}\p{M}]{2,6})\.(?=[,:;]|\s+\p{Ll}|\s+\p{Nd})"), F.lit(1))).alias("token"))
-    counts = (
-        rows.select(F.rtrim(F.col("hit"), F.lit(".")).alias("token"), F.col("hit").endswith(".").cast("long").alias("period"), F.lit(0).alias("inner"))
+    hits = texts.select(F.explode(F.regexp_extract_all("text", F.lit(CORPUS_TOKEN), F.lit(0))).alias("hit"))
+    # the look-ahead isn't part of a match, so what follows a period is taken from matches that have it
+    followed = texts.select(F.explode(F.regexp_extract_all("text", F.lit(FOLLOWED), F.lit(1))).alias("token"))
+    return (
+        hits.select(F.rtrim(F.col("hit"), F.lit(".")).alias("token"), F.col("hit").endswith(".").cast("long").alias("period"), F.lit(0).alias("inner"))
         .unionAll(followed.select("token", F.lit(None).cast("long"), F.lit(1)))
         .groupBy("token")
         .agg(F.count("period").alias("n"), F.sum("period").alias("periods"), F.sum("inner").alias("inner"))
     )
+
+
+def corpus_abbreviations(counts: DataFrame, least: int = 5, least_share: float = 1e-5, periods: float = 0.9, lower: float = 0.8) -> DataFrame:
+    """(token): those that nearly always have a period, mostly inside a sentence.
+
+    As a token must make up at least ``least_share`` of all occurrences, there are at most 1 / least_share of them at any
+    size, which is what makes their broadcast safe.
+    """
     total = counts.agg(F.sum("n").alias("total"))
     return (
         counts.where((F.col("periods") >= least) & (F.col("periods") >= periods * F.col("n")) & (F.col("inner") >= lower * F.col("periods")))
@@ -332,8 +339,8 @@ def corpus_abbreviations(texts: DataFrame, least: int = 5, least_share: float =
     )
 
 
-def sentences(docs: DataFrame, learned: DataFrame | None = None) -> DataFrame:
-    """(src, record_id, item_no, sentence_no, start_char, sentence) of every text in ``docs``: (src, record_id, texts array<string>).
+def sentences(docs: DataFrame, learned: DataFrame | None = None, text: bool = True) -> DataFrame:
+    """(src, record_id, item_no, sentence_no, start_char, and with ``text`` sentence) of every text in ``docs``: (src, record_id, texts array<string>).
 
     The texts of one record are one document. Null, empty and blank texts have no sentences; nulls keep their
     item_no. Equal rows give equal sentences. One map pass; records aren't moved.
@@ -349,11 +356,14 @@ def sentences(docs: DataFrame, learned: DataFrame | None = None) -> DataFrame:
                     continue
                 doc = _Document([t for t in texts if t], known.value)
                 for no, t in enumerate(texts):
-                    if t:
+                    if t and text:
                         rows += [(src, rid, no, n, at, x) for n, (at, x) in enumerate(split_sentences(t, doc))]
-            yield pd.DataFrame(rows, columns=["src", "record_id", "item_no", "sentence_no", "start_char", "sentence"])
+                    elif t:
+                        rows += [(src, rid, no, n, at) for n, at in enumerate(sentence_starts(t, doc))]
+            yield pd.DataFrame(rows, columns=columns)
 
-    return docs.select("src", "record_id", "texts").mapInPandas(run, "src string, record_id bigint, item_no bigint, sentence_no int, start_char bigint, sentence string")
+    columns = ["src", "record_id", "item_no", "sentence_no", "start_char"] + ["sentence"] * text
+    return docs.select("src", "record_id", "texts").mapInPandas(run, "src string, record_id bigint, item_no bigint, sentence_no int, start_char bigint" + ", sentence string" * text)
 
 
 def statement_documents(segments: DataFrame, tanks: DataFrame) -> DataFrame:
@@ -362,6 +372,10 @@ def statement_documents(segments: DataFrame, tanks: DataFrame) -> DataFrame:
     return a.unionAll(b)
 
 
-def statements(segments: DataFrame, tanks: DataFrame) -> DataFrame:
+def statements(segments: DataFrame, tanks: DataFrame, text: bool = True) -> DataFrame:
     docs = statement_documents(segments, tanks)
-    return sentences(docs, corpus_abbreviations(docs.select(F.explode("texts").alias("text")).where("text is not null")))
+    counts = abbreviation_counts(docs.select(F.explode("texts").alias("text")).where("text is not null")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:  # the counts are few and are used twice
+        return sentences(docs, corpus_abbreviations(counts), text)
+    finally:
+        counts.unpersist()

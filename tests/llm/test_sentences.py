@@ -1,6 +1,6 @@
 import pytest
 
-from ferrograph.llm.sentences import _Document, corpus_abbreviations, sentence_starts, split_sentences, statements
+from ferrograph.llm.sentences import _Document, abbreviation_counts, corpus_abbreviations, sentence_starts, split_sentences, statements
 
 CASES = [
     ("See fig. 8 and p. 510. The K.D.F. hull holds, i.e. most of it.", 2),
@@ -52,7 +52,7 @@ def test_long_text_in_one_pass():
 
 def test_corpus_and_rows(spark):
     texts = [("The qx. unit, the qx. gun, qx. of it.",)] * 3 + [("A unit. Next unit holds the gun.",)]
-    assert [r.token for r in corpus_abbreviations(spark.createDataFrame(texts, "text string"), least=2).collect()] == ["qx"]
+    assert [r.token for r in corpus_abbreviations(abbreviation_counts(spark.createDataFrame(texts, "text string")), least=2).collect()] == ["qx"]
     segments = spark.createDataFrame([(1, "One. Two.", "x"), (1, "One. Two.", "x"), (2, None, None), (3, " ", "")], "segment_id bigint, text string, record_id string")
     tanks = spark.createDataFrame([(7, [None, "Hold it. Cd went.", ""]), (8, None), (9, [])], "row_id bigint, strategies array<string>")
     got = sorted((r.src, r.record_id, r.item_no, r.sentence_no, r.start_char) for r in statements(segments, tanks).collect())
