@@ -24,9 +24,17 @@ UNSEEN = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, *range(0x180B,
 MORE_DASHES, NO_DASHES = {0x2212, 0x2043, 0x02D7}, {0x301C, 0x3030, 0x30A0, 0x05BE, 0x1400, 0x1806, 0x2E17, 0x2E1A, 0x2E40}
 
 
+class _Edges(dict):
+    """What each code point counts as; one that isn't there counts as itself, and is then there: a look-up that misses is slow."""
+
+    def __missing__(self, cp: int) -> str:
+        self[cp] = c = chr(cp)
+        return c
+
+
 def _table() -> dict[int, str | None]:
-    """Zero-cost edges: what each code point counts as; None for ignorables."""
-    table: dict[int, str | None] = {}
+    """Zero-cost edges; None for ignorables."""
+    table: dict[int, str | None] = _Edges()
     for cp in range(sys.maxunicode + 1):
         kind = unicodedata.category(chr(cp))
         if kind == "Cf" or cp in UNSEEN:

@@ -8,6 +8,7 @@ hash tables; windows that share a key with an item's window are compared by exac
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import ceil, log
@@ -30,21 +31,38 @@ BLOCK_WINDOWS = 500_000
 CHUNK = 1 << 17
 _PLAIN = regex.compile(r"[^\t\n\r\x20-\x7e]")
 _ASCII_WORD = regex.compile(r"[a-z0-9]+")
-_WORD = regex.compile(r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*")
-_LETTER = regex.compile(r"[\p{L}\p{N}]")
+_MARKS = regex.compile(r"^\p{M}+")
 _HAN = regex.compile(r"\p{Han}")
 
 
+class _Cut(dict):
+    """Code points to themselves if they are of the kinds, else to ``other``."""
+
+    def __init__(self, kinds: str, other: str):
+        super().__init__()
+        self.kinds, self.other = kinds, other
+
+    def __missing__(self, cp: int) -> str:
+        self[cp] = c = chr(cp) if unicodedata.category(chr(cp))[0] in self.kinds else self.other
+        return c
+
+
+_words, _letters = _Cut("LNM", " "), _Cut("LN", "")
+
+
 def words(text: str) -> list[str]:
-    """Words as they read, in small letters."""
+    """Words as they read, in small letters: runs of letters and digits with their marks."""
     if not _PLAIN.search(text):
         return _ASCII_WORD.findall(text.lower())
-    return _WORD.findall(glyphs(text).casefold())
+    found = glyphs(text).casefold().translate(_words).split()
+    if any(w[0] >= "\u0300" and unicodedata.category(w[0])[0] == "M" for w in found):  # a mark alone begins no word
+        found = [x for w in found if (x := _MARKS.sub("", w))]
+    return found
 
 
 def letters(text: str) -> str:
     """Letters and digits as they read, everything else left out."""
-    return "".join(_LETTER.findall(glyphs(text).casefold()))
+    return glyphs(text).casefold().translate(_letters)
 
 
 class Symbols(dict):
