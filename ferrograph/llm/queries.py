@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import read_table
-from . import boilerplate, encoding, leaks, lookalikes, residue, sentences, subjects
+from . import boilerplate, encoding, leaks, lookalikes, residue, sentences, subjects, term_frequency
 
 
 def p1_found(spark, sf_dir):
@@ -39,6 +39,15 @@ def p4_found(spark, sf_dir):
     return residue.residue_records(read_table(spark, sf_dir, "fetch_results"))
 
 
+def p5_frequency(spark, sf_dir):
+    tanks = read_table(spark, sf_dir, "tanks_data", "keywords")
+    return term_frequency.mark_extremes(term_frequency.term_frequency(tanks, "keywords", "keyword"), tanks)
+
+
+def p5_found(spark, sf_dir):
+    return p5_frequency(spark, sf_dir).where("mark is not null").select("keyword", "mark")
+
+
 def p6_ids(spark, sf_dir):
     return encoding.encode(read_table(spark, sf_dir, "documents"), f"{encoding.TOKENIZERS}/byte_bpe_50k.tiktoken")
 
@@ -61,6 +70,18 @@ def p8_composition(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_unified, p2_found, p2_sentences, p3_found, p3_main_text, p4_found, p6_ids, p7_found, p7_documents, p8_found, p8_composition)
+    for f in (p1_found, p1_unified, p2_found, p2_sentences, p3_found, p3_main_text, p4_found, p5_found, p5_frequency, p6_ids, p7_found, p7_documents, p8_found, p8_composition)
+}
+_FREQUENCY = r"""
+WITH items AS (SELECT row_id, unnest(keywords) AS keyword FROM tanks_data),
+kept AS (SELECT * FROM items WHERE keyword IS NOT NULL AND regexp_matches(keyword, '[^\s\x{0085}\p{Z}]')),
+f AS (SELECT keyword, count(*) AS occurrences, count(DISTINCT row_id) AS records FROM kept GROUP BY keyword),
+n AS (SELECT count(*) AS all_rows FROM tanks_data),
+marks AS (
+  SELECT keyword, 'rare' AS mark FROM f WHERE records <= 2
+  UNION ALL SELECT keyword, 'common' FROM f, n WHERE records > 0.05 * all_rows)
+"""
+ORACLES = {
+    "p5_found": _FREQUENCY + "SELECT keyword, mark FROM marks",
+    "p5_frequency": _FREQUENCY + "SELECT f.keyword, f.occurrences, f.records, marks.mark FROM f LEFT JOIN marks USING (keyword)",
 }
-ORACLES: dict[str, str] = {}
