@@ -42,58 +42,70 @@ class Block:
         self.no, self.text, self.node, self.chars, self.link_chars = no, text, node, chars, link_chars
 
 
+def block_texts(body: str) -> list[str]:
+    """The texts of the blocks alone, without the tree."""
+    out: list[str] = []
+    parts: list[str] = []
+    body = _SKIP.sub("", body)
+    at = 0
+    for m in _TAG.finditer(body):
+        if m.start() > at:
+            raw = body[at : m.start()]
+            parts.append(html.unescape(raw) if "&" in raw else raw)
+        at = m.end()
+        name = (m[2] or m[5]).lower()
+        if name in INLINE:
+            if name == "br":
+                parts.append("\n")
+        elif parts:
+            if joined := "".join(parts).strip():
+                out.append(joined)
+            parts = []
+    parts.append(html.unescape(body[at:]))
+    if joined := "".join(parts).strip():
+        out.append(joined)
+    return out
+
+
 def parse(body: str) -> tuple[Node, list[Block]]:
     """The tree and the blocks in order; text outside any element hangs in the root."""
     body = _SKIP.sub("", body)
     root = node = Node("#root", None)
+    nodes = [root]
     blocks: list[Block] = []
     parts: list[str] = []
-    link, chars, link_chars, order = 0, 0, 0, 0
-
-    def text(raw: str) -> None:
-        nonlocal chars, link_chars
-        if raw:
-            raw = html.unescape(raw) if "&" in raw else raw
+    link, chars, link_chars, at = 0, 0, 0, 0
+    for m in (*_TAG.finditer(body), None):
+        end = m.start() if m else len(body)
+        if end > at:
+            raw = body[at:end]
+            if "&" in raw:
+                raw = html.unescape(raw)
             parts.append(raw)
             n = len(raw) - raw.count(" ") - raw.count("\n")
             chars += n
-            link_chars += n if link else 0
-
-    def flush() -> None:
-        nonlocal parts, chars, link_chars
-        joined = "".join(parts)
-        if joined.strip():
-            blocks.append(Block(len(blocks), joined.strip(), node, chars, link_chars))
-            up = node
-            while up is not None:
-                up.chars += chars
-                up.link_chars += link_chars
-                up = up.up
-        parts, chars, link_chars = [], 0, 0
-
-    at = 0
-    for m in _TAG.finditer(body):
-        text(body[at : m.start()])
-        at = m.end()
-        slash, name, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        name = name.lower()
-        if name in INLINE:
-            if name == "a":
-                link = 0 if slash else 1
+            if link:
+                link_chars += n
+        if m:
+            at = m.end()
+            slash, name, attrs = (m[1], m[2].lower(), m[3]) if m[2] else (m[4], m[5].lower(), m[6])
+            if name in INLINE:
                 if not slash:
-                    up = node
-                    while up is not None:
-                        up.link_tags += 1
-                        up = up.up
-            if not slash:
-                up = node
-                while up is not None:
-                    up.tags += 1
-                    up = up.up
-            if name == "br":
-                text("\n")
+                    node.tags += 1
+                    if name == "br":
+                        parts.append("\n")
+                if name == "a":
+                    link = 0 if slash else 1
+                    node.link_tags += link
+                continue
+        if parts:
+            if joined := "".join(parts).strip():
+                blocks.append(Block(len(blocks), joined, node, chars, link_chars))
+                node.chars += chars
+                node.link_chars += link_chars
+            parts, chars, link_chars = [], 0, 0
+        if not m or name[0] == "!":
             continue
-        flush()
         if slash:
             up = node
             while up is not None and up.tag != name:
@@ -102,29 +114,28 @@ def parse(body: str) -> tuple[Node, list[Block]]:
                 node = up.up
             link = 0
             continue
-        if name[0] == "!":
-            continue
         if name in CLOSES:
             shut, stops = CLOSES[name]
             up, to = node, None
-            while up is not None and up.tag not in stops and up.up is not None:
+            while up.up is not None and up.tag not in stops:
                 if up.tag in shut:
                     to = up
                 up = up.up
             if to is not None:
                 node = to.up
-        order += 1
         new = Node(name, node, attrs)
-        new.order = order
+        new.order = len(nodes)
+        new.tags = 1
+        nodes.append(new)
         node.kids.append(new)
-        up = new
-        while up is not None:
-            up.tags += 1
-            up = up.up
         if name not in VOID and not attrs.rstrip().endswith("/"):
             node = new
-    text(body[at:])
-    flush()
+    for n in reversed(nodes[1:]):  # children come after their parents
+        up = n.up
+        up.chars += n.chars
+        up.link_chars += n.link_chars
+        up.tags += n.tags
+        up.link_tags += n.link_tags
     return root, blocks
 
 
