@@ -31,9 +31,9 @@ def density(n: Node, body: Node) -> float:
     return c / t * log(max(c / lc * t / lt, 1 + 1e-9)) / log(max(base, 1 + 1e-9)) if free > 1 else 0.0
 
 
-def main_blocks(body: str) -> list[Block]:
-    """Blocks of the article, in order. A body without text has none."""
-    root, blocks = parse(body)
+def main_blocks(body: str, read: tuple[Node, list[Block]] | None = None) -> list[Block]:
+    """Blocks of the article, in order; ``read`` if the page was parsed before. A body without text has none."""
+    root, blocks = read or parse(body)
     noise = [is_furniture(tidy(b.text)) for b in blocks]
     for b, bad in zip(blocks, noise, strict=True):
         if bad:  # what isn't linked yet counts as linked, here and above
@@ -84,12 +84,12 @@ def main_content(guides: DataFrame, fetched: DataFrame) -> DataFrame:
 
     def of_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [
-                ("fetch", k, x.no, x.text)
-                for k, body in zip(b["fetch_id"], b["body"], strict=True)
-                if body and is_html(body) and not known.value.record(body)
-                for x in main_blocks(body)
-            ]
+            rows = []
+            for k, body in zip(b["fetch_id"], b["body"], strict=True):
+                if body and is_html(body):
+                    read = parse(body)
+                    if not known.value.record(body, read[1]):
+                        rows += [("fetch", k, x.no, x.text) for x in main_blocks(body, read)]
             yield pd.DataFrame(rows, columns=["src", "record_id", "block_no", "text"])
 
     def of_guides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

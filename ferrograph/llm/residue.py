@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.markup import parse
+from ..functions.markup import block_texts
 from ..sources import spread
 from .furniture import is_furniture, tidy
 
@@ -40,6 +40,7 @@ MESSAGES = [
 ]
 _MESSAGE = re.compile("(?:" + "|".join(f"(?:{x})" for x in MESSAGES) + r")\Z", re.I | re.S)
 _AGAIN = re.compile(r"(.+?)(?:\s+\1)*\Z", re.S)
+_MAYBE_VARIABLE, _DIGIT = re.compile(r"[{%\[@<_]|undefined|null|NaN"), re.compile(r"\d")
 _NUMBER = re.compile(r"\b[0-9a-f]*\d[0-9a-f]*\b", re.I)
 _SITE = re.compile(r"(?<=[a-zа-я,] )[A-ZА-Я][\w-]+(?=[ .,]|$)")
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -66,26 +67,31 @@ def _strings(value, key: str = "") -> Iterator[str]:
         yield value
 
 
-def slots(body: str) -> list[str]:
-    """What a record holds apart from what sites put around their pages."""
+def slots(body: str, blocks: list | None = None) -> list[str]:
+    """What a record holds apart from what sites put around their pages; ``blocks`` if the page was read before."""
+    if blocks is not None:
+        return [x for b in blocks if not is_furniture(x := tidy(b.text))]
     if is_json(body):
         try:
             texts = list(_strings(json.loads(body)))
         except ValueError:
             texts = re.findall(r'"(?:content|info|text|\*)"\s*:\s*"((?:[^"\\]|\\.)*)', body)
         return [x for t in texts for x in t.split("\n") if x.strip()]
-    texts = [b.text for b in parse(body)[1]] if is_html(body) else body.splitlines()
+    texts = block_texts(body) if is_html(body) else body.splitlines()
     return [x for t in texts if not is_furniture(x := tidy(t))]
 
 
 @lru_cache(100_000)
 def shape(slot: str) -> str:
     """A slot without variables, numbers and the names in it; repeats of one phrase count once. Empty if nothing else is left."""
-    had = VARIABLE.search(slot)
+    had = _MAYBE_VARIABLE.search(slot) and VARIABLE.search(slot)
     rest = tidy(VARIABLE.sub(" ", slot)) if had else tidy(slot)
     if had and not LABELS.sub("", rest):
         return ""
-    return _NUMBER.sub("0", _SITE.sub("N", _AGAIN.match(rest)[1] if len(rest) < 2000 else rest))
+    if rest and len(rest) < 2000 and rest.count(rest.split(" ", 1)[0]) > 1:
+        rest = _AGAIN.match(rest)[1]
+    rest = _SITE.sub("N", rest)
+    return _NUMBER.sub("0", rest) if _DIGIT.search(rest) else rest
 
 
 def shapes(body: str) -> list[str]:
@@ -109,17 +115,16 @@ def residue_shapes(bodies: DataFrame, least: int = 8, least_share: float = 1e-5,
                 forms = shapes(body)
                 lone = len(forms) <= ALONE_SHAPES and sum(map(len, forms)) <= ALONE_CHARS
                 words = {w for f in forms for w in _WORDS.findall(f.lower())}
-                for key in [("shape", f) for f in forms if len(f) <= ALONE_CHARS] + [("word", w) for w in words] + [("all", "")]:
+                for key in [("shape", f) for f in forms if len(f) <= ALONE_CHARS] + [("word", w) for w in words]:
                     n = rows.setdefault(key, [0, 0])
                     n[0] += 1
                     n[1] += lone
             yield pd.DataFrame([(*k, *n) for k, n in rows.items()], columns=["kind", "form", "n", "lone"])
 
     counts = bodies.select("body").mapInPandas(run, "kind string, form string, n bigint, lone bigint").groupBy("kind", "form").agg(F.sum("n").alias("n"), F.sum("lone").alias("lone"))
-    counts = counts.where((F.col("kind") == "all") | ((F.col("n") >= least) & (F.col("lone") >= alone * F.col("n"))))
-    total = F.max(F.when(F.col("kind") == "all", F.col("n")))
-    kept = counts.crossJoin(F.broadcast(counts.agg(total.alias("total"))))  # one row: the number of records
-    return kept.where((F.col("kind") != "all") & (F.col("n") >= least_share * F.col("total"))).select("kind", "form")
+    total = bodies.where("body is not null").agg(F.count("*").alias("total"))  # one row, from a scan of its own: cheaper than reading the pages twice
+    kept = counts.where((F.col("n") >= least) & (F.col("lone") >= alone * F.col("n"))).join(F.broadcast(total))
+    return kept.where(F.col("n") >= least_share * F.col("total")).select("kind", "form")
 
 
 class Residue:
@@ -141,11 +146,11 @@ class Residue:
         parts = [p for p in re.split(r"(?<=[.!?])\s+", s) if p]
         return len(parts) > 1 and all(self.empty(p) or self.empty(_AGAIN.match(p)[1]) for p in parts)
 
-    def record(self, body: str | None) -> bool:
+    def record(self, body: str | None, blocks: list | None = None) -> bool:
         """True if the record holds something, and all of it is residue. Null, empty and blank bodies aren't cases."""
         if not body or not body.strip():
             return False
-        return all(self.slot(x) for x in slots(body))
+        return all(self.slot(x) for x in slots(body, blocks))
 
 
 def learn(bodies: DataFrame) -> Residue:
