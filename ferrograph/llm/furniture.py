@@ -32,7 +32,7 @@ LINES = [
     r"(?:related|verwandt|см\. также|похожее|voir aussi)\s?:.*", r"read also\s?:.*", r"(?:lesen sie auch|auch interessant)\s?:.*", r"читайте также\s?:.*", r"相关阅读\s?[：:].*", r"à lire aussi\s?:.*", r"you may also like\s?:.*", r"(?:previous|next) article\s?:.*", r"(?:voriger|nächster) artikel\s?:.*", r"(?:上|下)一篇\s?[：:].*",
     # about the text: bylines, tags, votes, editing, breadcrumbs
     r"posted by \S+ on\b.*", r"(?:by|von|автор|par|作者)\s?[:：]\s?\S+.{0,30}", r"(?:tags|schlagwörter|метки|теги|mots-clés|étiquettes|标签)\s?[:：].*", r"(?:categories|kategorien|категории|catégories|分类)\s?[:：].*\|.*", r"log in to vote", r"was this helpful\?.*", r"(?:war das hilfreich|это было полезно|cela vous a-t-il aidé)\s?\?.*",
-    r"\[(?:edit|bearbeiten|править|modifier|编辑)(?: \| [^\]]*)?\]", r"(?:home|startseite|главная|首页|accueil)\s?[>›»/]\s?.*",
+    r"\[(?:edit|bearbeiten|править|modifier|编辑)(?: \| [^\]]*)?\]", r"(?:home|start|startseite|главная|首页|accueil)\s?[>›»/]\s?.*",
     # comments
     r"\d+ (?:comments?|kommentare?|commentaires?|replies|reply|antworten|réponses?|ответ\w*)|(?:comments|kommentare|комментарии|commentaires|评论)\s?[:：]?\s?[(（]?\d+[)）]?|\d+\s?条(?:回复|评论)|discussion|diskussion|обсуждение|讨论",
     r"#\d+\s\S+\s?[:：].*", r"\S+ (?:wrote|schrieb|пишет|a écrit|发表评论)\s?[:：].*", r"reply from \S+ [-–—].*", r"\S+, \d{1,2}\.? \w+\s?[:：] .*", r"\d+楼 \S+[：:].*", r"(?:antwort von|ответ от|réponse de) \S+ [-–—].*",

@@ -44,8 +44,14 @@ _MAYBE_VARIABLE, _DIGIT = re.compile(r"[{%\[@<_]|undefined|null|NaN"), re.compil
 _NUMBER = re.compile(r"\b[0-9a-f]*\d[0-9a-f]*\b", re.I)
 _SITE = re.compile(r"(?<=[a-zа-я,] )[A-ZА-Я][\w-]+(?=[ .,]|$)")
 _WORDS = re.compile(r"[^\W\d_]+")
-#: A record stands alone if it has at most this many different shapes and characters in them.
-ALONE_SHAPES, ALONE_CHARS = 8, 600
+_UNITS = re.compile(r"[一-鿿぀-ヿ]|[^\W\d_一-鿿぀-ヿ]+")
+#: A record stands alone if it has at most this many different words (letters, in scripts without blanks); longer forms aren't counted.
+ALONE_UNITS, LONGEST = 48, 600
+# Words of filler texts.
+FILLER = frozenset("""
+lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua
+ante corpa dolam erator feros finit manet maxim mundal nullis ordine paresco plenia quistam quorum siluet sitora tibera turbo vastum velur
+""".split())
 
 
 def is_json(body: str) -> bool:
@@ -113,9 +119,9 @@ def residue_shapes(bodies: DataFrame, least: int = 8, least_share: float = 1e-5,
                 if not body or not body.strip():
                     continue
                 forms = shapes(body)
-                lone = len(forms) <= ALONE_SHAPES and sum(map(len, forms)) <= ALONE_CHARS
+                lone = len({u for f in forms for u in _UNITS.findall(f.lower())}) <= ALONE_UNITS
                 words = {w for f in forms for w in _WORDS.findall(f.lower())}
-                for key in [("shape", f) for f in forms if len(f) <= ALONE_CHARS] + [("word", w) for w in words]:
+                for key in [("shape", f) for f in forms if len(f) <= LONGEST] + [("word", w) for w in words]:
                     n = rows.setdefault(key, [0, 0])
                     n[0] += 1
                     n[1] += lone
@@ -137,7 +143,7 @@ class Residue:
         if not s or s in self.forms or _MESSAGE.match(s):
             return True
         words = _WORDS.findall(s.lower())
-        return len(words) >= 4 and sum(w in self.words for w in words) >= 0.9 * len(words)
+        return len(words) >= 4 and sum(w in self.words or w in FILLER for w in words) >= 0.9 * len(words)
 
     def slot(self, text: str) -> bool:
         s = shape(text)
