@@ -60,7 +60,7 @@ def test_records(spark):
 
 def test_unknown_messages_are_learned(spark):
     odd = "<p>Zarp glim: the vat is on holiday since 12:30</p>"
-    real = "".join(f"<p>Sentence {i} about the {w} and its gun.</p>" for i, w in enumerate("abcdefghijkl"))
+    real = "".join(f"<p>Here {a}{b}a meets {b}{a}o beside {a}u{b} gun.</p>" for a in "klmnp" for b in "rstv")
     df = spark.createDataFrame([(i, odd.replace("12", str(i))) for i in range(12)] + [(100 + i, real) for i in range(12)], "fetch_id bigint, body string")
     assert sorted(r.fetch_id for r in residue_records(df).collect()) == list(range(12))
     assert not Residue(set(), set()).record(odd)
