@@ -7,6 +7,7 @@ threshold for linked parts that stand beside it. Lines of the furniture's forms
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from math import e, log
 
@@ -69,7 +70,7 @@ def main_blocks(body: str, read: tuple[Node, list[Block]] | None = None) -> list
 
 def guide_lines(text: str) -> list[tuple[int, str]]:
     """(number, line) of the article's lines among the lines that aren't blank: each line is an element of one tag."""
-    lines = [x for x in text.splitlines() if x.strip()]
+    lines = [x for x in re.split(r"\r\n|\n|\r", text) if x.strip()]
     return [(i, x) for i, x in enumerate(lines) if not is_furniture(tidy(x))]
 
 
