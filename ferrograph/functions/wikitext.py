@@ -112,7 +112,7 @@ def body_blocks(text: str) -> str:
             fresh = True
         elif fresh or item:
             out.append(plain)
-            fresh = False
+            fresh = bool(item)
         else:
             out[-1] += " " + plain
     return "\n".join(out)
