@@ -1,7 +1,7 @@
 """Template residue and error-page text.
 
-Records made from one template differ only in its slots. What a record's site doesn't put around every page are its
-slots; a slot that keeps a variable name, a default or nothing is residue, and so is a message that stands alone on
+Records made from one template differ only in its slots. The blocks that a site's pages have in common are learned for each
+site, and lines with the form of such blocks are in a table; what else a record holds are its slots. A slot that keeps a variable name, a default or nothing is residue, and so is a message that stands alone on
 whole pages again and again. A record is excluded if all its slots are residue.
 """
 
@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import json
 import re
+from hashlib import blake2b
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,8 +75,17 @@ def _strings(value, key: str = "") -> Iterator[str]:
         yield value
 
 
-def slots(body: str, blocks: list | None = None) -> list[str]:
-    """What a record holds apart from what sites put around their pages; ``blocks`` if the page was read before."""
+def digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def slots(body: str, blocks: list | None = None, site: frozenset = frozenset()) -> list[str]:
+    """What a record holds apart from what sites put around their pages; ``blocks`` if the page was read before, ``site`` for the digests of its site's own shapes."""
+    texts = _texts(body, blocks)
+    return [x for x in texts if digest(shape(x)) not in site] if site else texts
+
+
+def _texts(body: str, blocks: list | None) -> list[str]:
     if blocks is not None:
         return [x for b in blocks if not is_furniture(x := tidy(b.text))]
     if is_json(body):
@@ -100,14 +111,58 @@ def shape(slot: str) -> str:
     return _NUMBER.sub("0", rest) if _DIGIT.search(rest) else rest
 
 
-def shapes(body: str) -> list[str]:
-    return sorted({shape(x) for x in slots(body)} - {""})
+def shapes(body: str, site: frozenset = frozenset()) -> list[str]:
+    return sorted({shape(x) for x in slots(body, None, site)} - {""})
+
+
+def with_address(fetched: DataFrame) -> DataFrame:
+    """With (host, address): of the url without scheme, query, fragment and last slash, in small letters; without an url, no host and the body's digest."""
+    if "url" not in fetched.columns:
+        fetched = fetched.withColumn("url", F.lit(None).cast("string"))
+    plain = F.regexp_replace(F.lower(F.trim("url")), r"^[a-z]+://(?:www\.)?|[?#].*|/+(?=$|[?#])", "")
+    return fetched.withColumn("host", F.nullif(F.substring_index(plain, "/", 1), F.lit(""))).withColumn("address", F.coalesce(F.xxhash64(F.nullif(plain, F.lit(""))), F.xxhash64("body")))
+
+
+def site_shapes(pages: DataFrame, least: int = 8, share: float = 0.3) -> DataFrame:
+    """(host, site array<bigint>): digests of the shapes that the pages of a site have in common.
+
+    A shape is a site's own if it is in ``least`` pages and in the share ``share`` of them, where pages count as different only
+    by their addresses and by what else they hold, whichever are fewer: copies of one page count once, and so does one page
+    fetched again and again. A site has at most (shapes of a page) / share of them. JSON bodies have no blocks of a site.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for host, address, body in b.itertuples(index=False, name=None):
+                if body and body.strip() and not is_json(body) and (forms := shapes(body)):
+                    whole = digest("\n".join(forms))
+                    rows += [(host, digest(f), address, whole) for f in forms]
+                    rows.append((host, 0, address, whole))  # the site's pages
+            yield pd.DataFrame(rows, columns=["host", "form", "address", "whole"])
+
+    seen = pages.where("host is not null").select("host", "address", "body").mapInPandas(run, "host string, form bigint, address bigint, whole bigint")
+    counts = seen.groupBy("host", "form").agg(F.least(F.countDistinct("address"), F.countDistinct("whole")).alias("n"))
+    per = counts.groupBy("host").agg(F.max(F.when(F.col("form") == 0, F.col("n"))).alias("pages"), F.collect_list(F.when((F.col("form") != 0) & (F.col("n") >= least), F.struct("form", "n"))).alias("forms"))
+    kept = F.filter("forms", lambda x: x["n"] >= share * F.col("pages"))
+    return per.select("host", F.transform(kept, lambda x: x["form"]).alias("site")).where(F.size("site") > 0)
+
+
+def with_sites(fetched: DataFrame, small: int = 20_000) -> DataFrame:
+    """With (host, address, site); up to ``small`` sites are broadcast, more are joined by a shuffle."""
+    pages = with_address(fetched)
+    sites = site_shapes(pages).persist(StorageLevel.MEMORY_AND_DISK)
+    return pages.join(F.broadcast(sites) if sites.count() <= small else sites, "host", "left")
+
+
+def as_site(site) -> frozenset:
+    return frozenset() if site is None else frozenset(site.tolist())
 
 
 def residue_shapes(bodies: DataFrame, least: int = 8, least_share: float = 1e-5, alone: float = 0.9) -> DataFrame:
     """(kind, form): shapes, and single words, of which the share ``alone`` of the records that hold them hold nothing but short messages.
 
-    ``bodies`` has a column ``body``; null and empty bodies count for nothing. Each record gives each of its forms once, with
+    ``bodies`` has the columns ``body`` and ``site``; null and empty bodies count for nothing. Each record gives each of its forms once, with
     whether it stands alone; both are summed in the tasks before they are shuffled. A form must be in ``least`` records and
     in the share ``least_share`` of them, so there are at most (forms of a record) / least_share at any size.
     """
@@ -115,10 +170,10 @@ def residue_shapes(bodies: DataFrame, least: int = 8, least_share: float = 1e-5,
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows: dict = {}
-            for body in b["body"]:
+            for body, site in zip(b["body"], b["site"], strict=True):
                 if not body or not body.strip():
                     continue
-                forms = shapes(body)
+                forms = shapes(body, as_site(site))
                 lone = len({u for f in forms for u in _UNITS.findall(f.lower())}) <= ALONE_UNITS
                 words = {w for f in forms for w in _WORDS.findall(f.lower())}
                 for key in [("shape", f) for f in forms if len(f) <= LONGEST] + [("word", w) for w in words]:
@@ -127,7 +182,7 @@ def residue_shapes(bodies: DataFrame, least: int = 8, least_share: float = 1e-5,
                     n[1] += lone
             yield pd.DataFrame([(*k, *n) for k, n in rows.items()], columns=["kind", "form", "n", "lone"])
 
-    counts = bodies.select("body").mapInPandas(run, "kind string, form string, n bigint, lone bigint").groupBy("kind", "form").agg(F.sum("n").alias("n"), F.sum("lone").alias("lone"))
+    counts = bodies.select("body", "site").mapInPandas(run, "kind string, form string, n bigint, lone bigint").groupBy("kind", "form").agg(F.sum("n").alias("n"), F.sum("lone").alias("lone"))
     total = bodies.where("body is not null").agg(F.count("*").alias("total"))  # one row, from a scan of its own: cheaper than reading the pages twice
     kept = counts.where((F.col("n") >= least) & (F.col("lone") >= alone * F.col("n"))).join(F.broadcast(total))
     return kept.where(F.col("n") >= least_share * F.col("total")).select("kind", "form")
@@ -152,11 +207,11 @@ class Residue:
         parts = [p for p in re.split(r"(?<=[.!?])\s+", s) if p]
         return len(parts) > 1 and all(self.empty(p) or self.empty(_AGAIN.match(p)[1]) for p in parts)
 
-    def record(self, body: str | None, blocks: list | None = None) -> bool:
+    def record(self, body: str | None, blocks: list | None = None, site: frozenset = frozenset()) -> bool:
         """True if the record holds something, and all of it is residue. Null, empty and blank bodies aren't cases."""
         if not body or not body.strip():
             return False
-        return all(self.slot(x) for x in slots(body, blocks))
+        return all(self.slot(x) for x in slots(body, blocks, site))
 
 
 def learn(bodies: DataFrame) -> Residue:
@@ -167,11 +222,11 @@ def learn(bodies: DataFrame) -> Residue:
 
 def residue_records(fetched: DataFrame) -> DataFrame:
     """(fetch_id) of the records without content of their own; repeated rows have their own ids and are judged alike."""
-    bodies = spread(fetched.select("fetch_id", "body"))
+    bodies = with_sites(spread(fetched.select("fetch_id", "body", *{"url"} & {*fetched.columns})))
     known = fetched.sparkSession.sparkContext.broadcast(learn(bodies))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.loc[[known.value.record(x) for x in b["body"]], ["fetch_id"]]
+            yield b.loc[[known.value.record(x, None, as_site(site)) for x, site in zip(b["body"], b["site"], strict=True)], ["fetch_id"]]
 
-    return bodies.mapInPandas(run, "fetch_id bigint")
+    return bodies.select("fetch_id", "body", "site").mapInPandas(run, "fetch_id bigint")

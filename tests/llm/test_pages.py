@@ -72,3 +72,14 @@ def test_content_rows(spark):
     got = sorted((r.src, r.record_id, r.block_no) for r in main_content(guides, fetched).collect())
     assert got == [("fetch", 1, n) for n in (3, 3, 4, 4, 5, 5, 7, 7)] + [("guide", 1, 1)]
     assert main_content(guides.limit(0), fetched.limit(0)).count() == 0
+
+
+def test_blocks_of_a_site_are_no_slots(spark):
+    menu = "<div>Quarnel of the Brimstead</div><p>Ovrin helmaker seeks a mirvane</p>"
+    words = [a + b + c for a in "bdfgklmnprst" for b in "aeiou" for c in "nrlsk"]
+    rows = [(i, f"https://one.example/guide/{i}", f"{menu}<p>{' '.join(words[i * 7 : i * 7 + 60])}</p>") for i in range(30)]
+    rows += [(100, "https://one.example/x", f"{menu}<p>404 - this page drove off the map</p>"), (101, "https://one.example/y", f"{menu}<p>{{{{name}}}}</p>")]
+    rows += [(200 + i, f"https://two.example/z?ref={i}", f"<p>{' '.join(words[:60])}</p>") for i in range(30)]
+    rows += [(300, "https://three.example/x", menu), (301, None, menu)]
+    df = spark.createDataFrame(rows, "fetch_id bigint, url string, body string")
+    assert sorted(r.fetch_id for r in residue_records(df).collect()) == [100, 101]
