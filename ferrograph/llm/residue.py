@@ -49,10 +49,9 @@ _WORDS = re.compile(r"[^\W\d_]+")
 _UNITS = re.compile(r"[一-鿿぀-ヿ]|[^\W\d_一-鿿぀-ヿ]+")
 #: A record stands alone if it has at most this many different words (letters, in scripts without blanks); longer forms aren't counted.
 ALONE_UNITS, LONGEST = 48, 600
-# Words of filler texts.
+# Words of the common filler text; those of others are learned.
 FILLER = frozenset("""
 lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua
-ante corpa dolam erator feros finit manet maxim mundal nullis ordine paresco plenia quistam quorum siluet sitora tibera turbo vastum velur
 """.split())
 
 
@@ -120,7 +119,7 @@ def with_address(fetched: DataFrame) -> DataFrame:
     if "url" not in fetched.columns:
         fetched = fetched.withColumn("url", F.lit(None).cast("string"))
     plain = F.regexp_replace(F.lower(F.trim("url")), r"^[a-z]+://(?:www\.)?|[?#].*|/+(?=$|[?#])", "")
-    return fetched.withColumn("host", F.nullif(F.substring_index(plain, "/", 1), F.lit(""))).withColumn("address", F.coalesce(F.xxhash64(F.nullif(plain, F.lit(""))), F.xxhash64("body")))
+    return fetched.withColumn("host", F.nullif(F.substring_index(plain, "/", 1), F.lit(""))).withColumn("address", F.when(plain != "", F.xxhash64(plain)).otherwise(F.xxhash64("body")))
 
 
 def site_shapes(pages: DataFrame, least: int = 8, share: float = 0.3) -> DataFrame:
@@ -159,12 +158,12 @@ def as_site(site) -> frozenset:
     return frozenset() if site is None else frozenset(site.tolist())
 
 
-def residue_shapes(bodies: DataFrame, least: int = 8, least_share: float = 1e-5, alone: float = 0.9) -> DataFrame:
+def residue_shapes(bodies: DataFrame, least: int = 8, least_word: int = 3, least_share: float = 1e-5, alone: float = 0.9) -> DataFrame:
     """(kind, form): shapes, and single words, of which the share ``alone`` of the records that hold them hold nothing but short messages.
 
-    ``bodies`` has the columns ``body`` and ``site``; null and empty bodies count for nothing. Each record gives each of its forms once, with
-    whether it stands alone; both are summed in the tasks before they are shuffled. A form must be in ``least`` records and
-    in the share ``least_share`` of them, so there are at most (forms of a record) / least_share at any size.
+    ``bodies`` has the columns ``address``, ``body`` and ``site``; null and empty bodies count for nothing. Each record gives each of its forms once, with
+    whether it stands alone; both are summed in the tasks before they are shuffled. Of the records of one address one counts, so
+    that copies teach nothing. A shape must be in ``least`` records, a word in ``least_word``, and both in the share ``least_share`` of them, so there are at most (forms of a record) / least_share at any size.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,9 +181,10 @@ def residue_shapes(bodies: DataFrame, least: int = 8, least_share: float = 1e-5,
                     n[1] += lone
             yield pd.DataFrame([(*k, *n) for k, n in rows.items()], columns=["kind", "form", "n", "lone"])
 
-    counts = bodies.select("body", "site").mapInPandas(run, "kind string, form string, n bigint, lone bigint").groupBy("kind", "form").agg(F.sum("n").alias("n"), F.sum("lone").alias("lone"))
-    total = bodies.where("body is not null").agg(F.count("*").alias("total"))  # one row, from a scan of its own: cheaper than reading the pages twice
-    kept = counts.where((F.col("n") >= least) & (F.col("lone") >= alone * F.col("n"))).join(F.broadcast(total))
+    once = bodies.groupBy("address").agg(F.max_by(F.struct("body", "site"), F.xxhash64("body")).alias("one")).select("one.*")
+    counts = once.mapInPandas(run, "kind string, form string, n bigint, lone bigint").groupBy("kind", "form").agg(F.sum("n").alias("n"), F.sum("lone").alias("lone"))
+    total = bodies.where("body is not null").agg(F.countDistinct("address").alias("total"))  # one row, from a scan of its own: cheaper than reading the pages twice
+    kept = counts.where((F.col("n") >= F.when(F.col("kind") == "word", least_word).otherwise(least)) & (F.col("lone") >= alone * F.col("n"))).join(F.broadcast(total))
     return kept.where(F.col("n") >= least_share * F.col("total")).select("kind", "form")
 
 

@@ -83,3 +83,15 @@ def test_blocks_of_a_site_are_no_slots(spark):
     rows += [(300, "https://three.example/x", menu), (301, None, menu)]
     df = spark.createDataFrame(rows, "fetch_id bigint, url string, body string")
     assert sorted(r.fetch_id for r in residue_records(df).collect()) == [100, 101]
+
+
+def test_filler_words_are_learned(spark):
+    words = "brun tavel ostin quade milor pesk ruvan dolt hask wemil".split()
+    filler = ["<p>" + " ".join(words[(3 * k * k + i * k) % 10] for k in range(1, 40)) + " " + " ".join(words[i:] + words[:i]) + "</p>" for i in range(5)]
+    real = "<p>Here we meet {} beside the old gun and hold the line.</p>"
+    long = real.format(" ".join(a + b + "k" for a in "bdfgklmnprst" for b in "aeiou"))
+    rows = [(i, f"https://s{i}.example/a", x) for i, x in enumerate(filler)] + [(50 + i, f"https://r{i}.example/a", real.format("abcdef"[i] * 4)) for i in range(6)] + [(80, "https://l.example/a", long)]
+    rows += [(90 + i, f"https://r.example/q?ref={i}", "<p>Zol merin vash tulo.</p>") for i in range(6)]
+    got = residue_records(spark.createDataFrame(rows, "fetch_id bigint, url string, body string"))
+    assert sorted(r.fetch_id for r in got.collect()) == list(range(5))
+    assert not Residue(set(), set()).empty("ante corpa dolam erator feros")
