@@ -12,13 +12,14 @@ from collections.abc import Iterator
 from math import e, log
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.markup import Block, Node, parse, path
 from ..sources import spread
 from .furniture import is_furniture, tidy
-from .residue import as_site, is_html, learn, with_sites
+from .residue import is_html, residue_keys, with_sites
 
 
 def density(n: Node, body: Node) -> float:
@@ -78,19 +79,18 @@ def main_content(guides: DataFrame, fetched: DataFrame) -> DataFrame:
     """(src, record_id, block_no, text) of the main content of guide texts and fetched HTML bodies.
 
     Records without content (null, empty or blank texts, JSON bodies, template residue and error pages) give no rows.
-    Repeated rows have their own ids. Three map passes over the bodies and one over the guides.
+    Repeated rows have their own ids. Four map passes over the bodies and one over the guides.
     """
     pages = with_sites(spread(fetched.select("fetch_id", "body", *{"url"} & {*fetched.columns})))
-    known = fetched.sparkSession.sparkContext.broadcast(learn(pages))
+    residue = residue_keys(pages).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = pages.join(F.broadcast(residue) if residue.count() <= 100_000 else residue, "key", "left_anti")
 
     def of_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for k, body, site in b.itertuples(index=False, name=None):
+            for k, body in b.itertuples(index=False, name=None):
                 if body and is_html(body):
-                    read = parse(body)
-                    if not known.value.record(body, read[1], as_site(site)):
-                        rows += [("fetch", k, x.no, x.text) for x in main_blocks(body, read)]
+                    rows += [("fetch", k, x.no, x.text) for x in main_blocks(body)]
             yield pd.DataFrame(rows, columns=["src", "record_id", "block_no", "text"])
 
     def of_guides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -99,4 +99,4 @@ def main_content(guides: DataFrame, fetched: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["src", "record_id", "block_no", "text"])
 
     schema = "src string, record_id bigint, block_no bigint, text string"
-    return spread(guides.select("guide_id", "text")).mapInPandas(of_guides, schema).unionAll(pages.select("fetch_id", "body", "site").mapInPandas(of_pages, schema))
+    return spread(guides.select("guide_id", "text")).mapInPandas(of_guides, schema).unionAll(kept.select("fetch_id", "body").mapInPandas(of_pages, schema))

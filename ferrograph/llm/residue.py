@@ -10,9 +10,11 @@ from __future__ import annotations
 import json
 import re
 from hashlib import blake2b
-from collections.abc import Iterator
+from collections.abc import Container, Iterable, Iterator
 from functools import lru_cache
+from zlib import crc32
 
+import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -41,14 +43,13 @@ MESSAGES = [
     r"lorem ipsum\b.*", r"(?:foo bar baz|asdf|xxx|qwerty|blah)(?:[\s.,]+(?:foo|bar|baz|asdf|xxx|qwerty|blah))*",
 ]
 _MESSAGE = re.compile("(?:" + "|".join(f"(?:{x})" for x in MESSAGES) + r")\Z", re.I | re.S)
-_AGAIN = re.compile(r"(.+?)(?:\s+\1)*\Z", re.S)
 _MAYBE_VARIABLE, _DIGIT = re.compile(r"[{%\[@<_]|undefined|null|NaN"), re.compile(r"\d")
 _NUMBER = re.compile(r"\b[0-9a-f]*\d[0-9a-f]*\b", re.I)
 _SITE = re.compile(r"(?<=[a-zа-я,] )[A-ZА-Я][\w-]+(?=[ .,]|$)")
 _WORDS = re.compile(r"[^\W\d_]+")
 _UNITS = re.compile(r"[一-鿿぀-ヿ]|[^\W\d_一-鿿぀-ヿ]+")
-#: A record stands alone if it has at most this many different words (letters, in scripts without blanks); longer forms aren't counted.
-ALONE_UNITS, LONGEST = 48, 600
+#: A record stands alone if it has at most this many different words (letters, in scripts without blanks). Longer ones are told as whole pages.
+ALONE_UNITS = 48
 # Words of the common filler text; those of others are learned.
 FILLER = frozenset("""
 lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua
@@ -97,6 +98,22 @@ def _texts(body: str, blocks: list | None) -> list[str]:
     return [x for t in texts if not is_furniture(x := tidy(t))]
 
 
+def phrase(text: str) -> str:
+    """The phrase that a tidy text repeats from its start to its end, or the text."""
+    words = text.split(" ")
+    if words[0] not in words[1:]:
+        return text
+    back = [0] * len(words)  # of each start of the text: how long its longest other start is that it also ends with
+    k = 0
+    for i in range(1, len(words)):
+        while k and words[i] != words[k]:
+            k = back[k - 1]
+        k += words[i] == words[k]
+        back[i] = k
+    n = len(words) - k
+    return " ".join(words[:n]) if len(words) % n == 0 else text
+
+
 @lru_cache(100_000)
 def shape(slot: str) -> str:
     """A slot without variables, numbers and the names in it; repeats of one phrase count once. Empty if nothing else is left."""
@@ -104,8 +121,7 @@ def shape(slot: str) -> str:
     rest = tidy(VARIABLE.sub(" ", slot)) if had else tidy(slot)
     if had and not LABELS.sub("", rest):
         return ""
-    if rest and len(rest) < 2000 and rest.count(rest.split(" ", 1)[0]) > 1:
-        rest = _AGAIN.match(rest)[1]
+    rest = phrase(rest)
     rest = _SITE.sub("N", rest)
     return _NUMBER.sub("0", rest) if _DIGIT.search(rest) else rest
 
@@ -115,10 +131,15 @@ def shapes(body: str, site: frozenset = frozenset()) -> list[str]:
 
 
 def with_address(fetched: DataFrame) -> DataFrame:
-    """With (host, address): of the url without scheme, query, fragment and last slash, in small letters; without an url, no host and the body's digest."""
+    """With (host, address, slug, key): of the url without scheme, query, fragment and last slash, in small letters; without an url, no host and the body's digest.
+
+    ``slug`` is the last part of an address, ``key`` tells a body on a host.
+    """
     if "url" not in fetched.columns:
         fetched = fetched.withColumn("url", F.lit(None).cast("string"))
     plain = F.regexp_replace(F.lower(F.trim("url")), r"^[a-z]+://(?:www\.)?|[?#].*|/+(?=$|[?#])", "")
+    fetched = fetched.withColumn("slug", F.when(plain != "", F.xxhash64(F.substring_index(plain, "/", -1))).otherwise(F.xxhash64("body")))
+    fetched = fetched.withColumn("key", F.md5(F.concat_ws("\n", F.coalesce(F.substring_index(plain, "/", 1), F.lit("")), "body")))
     return fetched.withColumn("host", F.nullif(F.substring_index(plain, "/", 1), F.lit(""))).withColumn("address", F.when(plain != "", F.xxhash64(plain)).otherwise(F.xxhash64("body")))
 
 
@@ -158,41 +179,76 @@ def as_site(site) -> frozenset:
     return frozenset() if site is None else frozenset(site.tolist())
 
 
-def residue_shapes(bodies: DataFrame, least: int = 8, least_word: int = 3, least_share: float = 1e-5, alone: float = 0.9) -> DataFrame:
-    """(kind, form): shapes, and single words, of which the share ``alone`` of the records that hold them hold nothing but short messages.
+def page_form(forms: Iterable[str]) -> str:
+    """Of a whole record: the digest of its different shapes; empty if it has none."""
+    forms = sorted(set(forms) - {""})
+    return str(digest("\n".join(forms))) if forms else ""
+
+
+def form_key(kind: str, form: str) -> str:
+    """How forms are counted and looked up: long ones by their digest."""
+    return f"{kind} {form}" if len(form) <= 64 else f"{kind} #{digest(form)}"
+
 
-    ``bodies`` has the columns ``address``, ``body`` and ``site``; null and empty bodies count for nothing. Each record gives each of its forms once, with
-    whether it stands alone; both are summed in the tasks before they are shuffled. Of the records of one address one counts, so
-    that copies teach nothing. A shape must be in ``least`` records, a word in ``least_word``, and both in the share ``least_share`` of them, so there are at most (forms of a record) / least_share at any size.
+def residue_forms(bodies: DataFrame, least: int = 8, least_word: int = 3, alone: float = 0.9) -> DataFrame:
+    """(form): keys of what residue is made of, counted over all records and not bounded in number or length.
+
+    Shapes and single words of which the share ``alone`` of the records that hold them hold nothing but short messages; and whole
+    records of any length that are found again under ``least`` different last parts of an address, as copies of an article keep theirs.
+    ``bodies`` has the columns ``address``, ``slug``, ``body`` and ``site``; null and empty bodies count for nothing. Of the records of one
+    address one counts, so that copies teach nothing. A shape must be in ``least`` records, a word in ``least_word``. Shapes and words
+    are summed in the tasks before they are shuffled.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows: dict = {}
-            for body, site in zip(b["body"], b["site"], strict=True):
+            for slug, body, site in zip(b["slug"], b["body"], b["site"], strict=True):
                 if not body or not body.strip():
                     continue
                 forms = shapes(body, as_site(site))
                 lone = len({u for f in forms for u in _UNITS.findall(f.lower())}) <= ALONE_UNITS
                 words = {w for f in forms for w in _WORDS.findall(f.lower())}
-                for key in [("shape", f) for f in forms if len(f) <= LONGEST] + [("word", w) for w in words]:
+                for key in [("shape", f, 0) for f in forms] + [("word", w, 0) for w in words] + [("page", x, slug) for x in [page_form(forms)] if x]:
                     n = rows.setdefault(key, [0, 0])
                     n[0] += 1
                     n[1] += lone
-            yield pd.DataFrame([(*k, *n) for k, n in rows.items()], columns=["kind", "form", "n", "lone"])
+            yield pd.DataFrame([(form_key(k, f), slug, *n) for (k, f, slug), n in rows.items()], columns=["form", "slug", "n", "lone"])
+
+    once = bodies.groupBy("address").agg(F.max_by(F.struct("slug", "body", "site"), F.xxhash64("body")).alias("one")).select("one.*")
+    counts = once.mapInPandas(run, "form string, slug bigint, n bigint, lone bigint").groupBy("form", "slug").agg(F.sum("n").alias("n"), F.sum("lone").alias("lone"))
+    total = counts.groupBy("form").agg(F.sum("n").alias("n"), F.sum("lone").alias("lone"), F.count("*").alias("slugs"))
+    often = F.col("n") >= F.when(F.col("form").startswith("word "), least_word).otherwise(least)
+    return total.where(F.when(F.col("form").startswith("page "), F.col("slugs") >= least).otherwise(often & (F.col("lone") >= alone * F.col("n")))).select("form")
+
+
+class Maybe:
+    """Forms of a kind that may be learned: one bit for each residue of their checksums, of one size for any number of forms."""
+
+    SIZE = 1 << 20
+
+    def __init__(self, kind: str, bits: np.ndarray):
+        self.kind, self.bits = kind, bits
+
+    def __contains__(self, form: str) -> bool:
+        return bool(self.bits[crc32(form_key(self.kind, form).encode("utf-8", "replace")) % self.SIZE])
 
-    once = bodies.groupBy("address").agg(F.max_by(F.struct("body", "site"), F.xxhash64("body")).alias("one")).select("one.*")
-    counts = once.mapInPandas(run, "kind string, form string, n bigint, lone bigint").groupBy("kind", "form").agg(F.sum("n").alias("n"), F.sum("lone").alias("lone"))
-    total = bodies.where("body is not null").agg(F.countDistinct("address").alias("total"))  # one row, from a scan of its own: cheaper than reading the pages twice
-    kept = counts.where((F.col("n") >= F.when(F.col("kind") == "word", least_word).otherwise(least)) & (F.col("lone") >= alone * F.col("n"))).join(F.broadcast(total))
-    return kept.where(F.col("n") >= least_share * F.col("total")).select("kind", "form")
+
+class Exactly:
+    """Forms of a kind among those that a record was found to share with the learned ones."""
+
+    def __init__(self, kind: str, forms: frozenset):
+        self.kind, self.forms = kind, forms
+
+    def __contains__(self, form: str) -> bool:
+        return form_key(self.kind, form) in self.forms
 
 
 class Residue:
     """Decides records by the learned forms and the table."""
 
-    def __init__(self, forms: set[str], words: set[str]):
-        self.forms, self.words = forms, words
+    def __init__(self, forms: Container[str], words: Container[str], pages: Container[str] = frozenset()):
+        self.forms, self.words, self.pages = forms, words, pages
 
     def empty(self, s: str) -> bool:
         if not s or s in self.forms or _MESSAGE.match(s):
@@ -205,28 +261,58 @@ class Residue:
         if self.empty(s) or self.empty(tidy(text)):
             return True
         parts = [p for p in re.split(r"(?<=[.!?])\s+", s) if p]
-        return len(parts) > 1 and all(self.empty(p) or self.empty(_AGAIN.match(p)[1]) for p in parts)
+        return len(parts) > 1 and all(self.empty(p) or self.empty(phrase(p)) for p in parts)
 
     def record(self, body: str | None, blocks: list | None = None, site: frozenset = frozenset()) -> bool:
         """True if the record holds something, and all of it is residue. Null, empty and blank bodies aren't cases."""
         if not body or not body.strip():
             return False
-        return all(self.slot(x) for x in slots(body, blocks, site))
+        texts = slots(body, blocks, site)
+        return all(self.slot(x) for x in texts) or page_form(map(shape, texts)) in self.pages
 
+    def asked(self, body: str, site: frozenset = frozenset()) -> list[str]:
+        """Keys of all forms on which the decision of a record can depend and that may be learned."""
+        texts = slots(body, None, site)
+        forms = {s for x in texts for s in (shape(x), tidy(x))}
+        forms |= {x for f in forms for p in re.split(r"(?<=[.!?])\s+", f) for x in (p, phrase(p))}
+        words = {w for f in forms for w in _WORDS.findall(f.lower())}
+        page = page_form(map(shape, texts))
+        return [form_key(k, f) for k, known, some in (("shape", self.forms, forms), ("word", self.words, words), ("page", self.pages, [page])) for f in some if f and f in known]
 
-def learn(bodies: DataFrame) -> Residue:
-    """The forms of a corpus, brought to the driver: their number is bounded, see residue_shapes."""
-    rows = [(r.kind, r.form) for r in residue_shapes(bodies).toLocalIterator()]
-    return Residue({f for k, f in rows if k == "shape"}, {f for k, f in rows if k == "word"})
 
+def residue_keys(bodies: DataFrame) -> DataFrame:
+    """(key), once each, of the records without content of their own; ``bodies`` as with_sites gives them.
 
-def residue_records(fetched: DataFrame) -> DataFrame:
-    """(fetch_id) of the records without content of their own; repeated rows have their own ids and are judged alike."""
-    bodies = with_sites(spread(fetched.select("fetch_id", "body", *{"url"} & {*fetched.columns})))
-    known = fetched.sparkSession.sparkContext.broadcast(learn(bodies))
+    Records that can't be residue are left out by a filter of constant size; the forms of the others are joined with all learned forms.
+    """
+    spark = bodies.sparkSession
+    learned = residue_forms(bodies).persist(StorageLevel.MEMORY_AND_DISK)
+    kinds = ("shape", "word", "page")
+    bits = {k: np.zeros(Maybe.SIZE, bool) for k in kinds}
+    for r in learned.select(F.substring_index("form", " ", 1).alias("kind"), (F.crc32(F.encode("form", "utf-8")) % Maybe.SIZE).alias("at")).distinct().toLocalIterator():
+        bits[r["kind"]][r["at"]] = True
+    maybe = spark.sparkContext.broadcast(Residue(*(Maybe(k, bits[k]) for k in kinds)))
+
+    def likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(k, x, site, maybe.value.asked(x, own)) for k, x, site in b.itertuples(index=False, name=None) if maybe.value.record(x, None, own := as_site(site))]
+            yield pd.DataFrame(rows, columns=["key", "body", "site", "forms"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def surely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.loc[[known.value.record(x, None, as_site(site)) for x, site in zip(b["body"], b["site"], strict=True)], ["fetch_id"]]
+            keys = []
+            for k, x, site, forms in b.itertuples(index=False, name=None):
+                known = frozenset() if forms is None else frozenset(forms.tolist())
+                if Residue(*(Exactly(kind, known) for kind in kinds)).record(x, None, as_site(site)):
+                    keys.append(k)
+            yield pd.DataFrame({"key": pd.Series(keys, dtype=object)})
+
+    some = bodies.select("key", "body", "site").mapInPandas(likely, "key string, body string, site array<bigint>, forms array<string>").dropDuplicates(["key"]).persist(StorageLevel.MEMORY_AND_DISK)
+    found = some.select("key", F.explode("forms").alias("form")).join(learned, "form").groupBy("key").agg(F.collect_set("form").alias("known"))
+    return some.join(found, "key", "left").select("key", "body", "site", "known").mapInPandas(surely, "key string")
+
 
-    return bodies.select("fetch_id", "body", "site").mapInPandas(run, "fetch_id bigint")
+def residue_records(fetched: DataFrame) -> DataFrame:
+    """(fetch_id) of the records without content of their own; repeated rows have their own ids and are judged alike."""
+    bodies = with_sites(spread(fetched.select("fetch_id", "body", *{"url"} & {*fetched.columns})))
+    return bodies.select("fetch_id", "key").join(residue_keys(bodies), "key", "left_semi").select("fetch_id")

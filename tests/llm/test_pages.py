@@ -95,3 +95,12 @@ def test_filler_words_are_learned(spark):
     got = residue_records(spark.createDataFrame(rows, "fetch_id bigint, url string, body string"))
     assert sorted(r.fetch_id for r in got.collect()) == list(range(5))
     assert not Residue(set(), set()).empty("ante corpa dolam erator feros")
+
+
+def test_long_whole_pages_are_learned(spark):
+    lines = ["<p>" + " ".join(f"{a}{b}{c}{d}ar" for c in "lnrst" for d in "aeiou" for b in "ou") + "</p>" for a in "bdfgk"]
+    notice = "".join(lines)
+    rows = [(i, f"https://s{i % 3}.example/a{i}", notice) for i in range(9)] + [(50 + i, f"https://m{i}.example/one", notice.replace("ar", "em")) for i in range(9)]
+    got = residue_records(spark.createDataFrame(rows, "fetch_id bigint, url string, body string"))
+    assert sorted(r.fetch_id for r in got.collect()) == list(range(9))
+    assert shape("Zarp glim. " * 500) == "Zarp glim."
