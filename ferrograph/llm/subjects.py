@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pandas as pd
 import regex
 from pyspark import StorageLevel
-from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer, StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +33,7 @@ _ASCII = regex.compile(r"[a-z]{2,}")
 
 @dataclass(frozen=True)
 class Settings:
-    """Topics, vocabulary (the terms in most documents of those in at least ``least_docs``), rounds of the online fit and the documents in each."""
+    """Topics, vocabulary (the terms in most documents of those in at least ``least_docs``), least rounds of the online fit and about how many documents are in each."""
 
     topics: int = 90
     vocabulary: int = 20_000
@@ -156,11 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
             return None
         vectors = counter.transform(told).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            lda = LDA(
-                k=settings.topics, maxIter=settings.rounds, seed=settings.seed, optimizer="online", subsamplingRate=min(1.0, max(settings.batch / n_docs, 1e-6)),
-                docConcentration=[0.05], topicConcentration=0.02, optimizeDocConcentration=False, learningOffset=16.0, learningDecay=0.6, checkpointInterval=-1,
-            ).fit(vectors)
-            matrix = lda.topicsMatrix().toArray()  # words x topics
+            matrix = topics(vectors, n_docs, len(vocabulary), settings)  # words x topics
             terms_table = spark.createDataFrame(list(enumerate(vocabulary)), "i int, term string")
             seen = support(bags, known, terms_table).join(F.broadcast(terms_table), "term").select("subject_id", "i", "weight").toPandas()
         finally:
@@ -176,6 +172,32 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     return describe(matrix, vocabulary, subjects, weights, settings)
 
 
+def parts(n_docs: int, settings: Settings) -> tuple[int, int]:
+    """Parts of about a batch that the documents are dealt into, and how often each part is read: every document is read at least once at any size."""
+    n = max(1, round(n_docs / settings.batch))
+    return n, max(1, ceil(settings.rounds / n))
+
+
+def topics(vectors: DataFrame, n_docs: int, n_terms: int, settings: Settings) -> np.ndarray:
+    """(words, topics) of the online fit, whose batches are parts of all documents rather than samples of them.
+
+    The estimator draws its batches by chance, which leaves documents out of a large corpus; its optimizer takes batches as they are given.
+    """
+    jvm = vectors.sparkSession.sparkContext._jvm
+    count, passes = parts(n_docs, settings)
+    old = getattr(getattr(jvm.org.apache.spark.ml.clustering, "LDA$"), "MODULE$").getOldDataset
+    optimizer = jvm.org.apache.spark.mllib.clustering.OnlineLDAOptimizer().setTau0(16.0).setKappa(0.6).setMiniBatchFraction(min(1.0, 1 / count)).setOptimizeDocConcentration(False)
+    lda = jvm.org.apache.spark.mllib.clustering.LDA().setK(settings.topics).setSeed(settings.seed).setDocConcentration(0.05).setTopicConcentration(0.02).setOptimizer(optimizer)
+    optimizer.initialize(old(vectors._jdf, "features"), lda)
+    part = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(count))
+    for _ in range(passes):
+        for i in range(count):
+            optimizer.submitMiniBatch(old(vectors.where(part == i)._jdf, "features"))
+    times = vectors.sparkSession.sparkContext._gateway.new_array(jvm.double, 1)
+    values = np.array(optimizer.getLDAModel(times).topicsMatrix().toArray())
+    return values.reshape(settings.topics, n_terms).T
+
+
 def describe(matrix: np.ndarray, vocabulary: list[str], subjects: list[int], weights: np.ndarray, settings: Settings) -> Model:
     """Inspects the top terms of each topic and sums the topics of a subject."""
     phi = matrix / matrix.sum(0, keepdims=True)

@@ -5,9 +5,10 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.ml.linalg import Vectors
 
 from ferrograph.llm import encoding, leaks
-from ferrograph.llm.subjects import Settings, assign, composition, terms, unlabelled
+from ferrograph.llm.subjects import Settings, assign, composition, parts, terms, topics, unlabelled
 from ferrograph.llm.transducer import Transducer, build
 
 RANKS = Path(encoding.TOKENIZERS) / "byte_bpe_50k.tiktoken"
@@ -135,3 +136,15 @@ def test_subjects(spark):
 
 def test_terms():
     assert terms("Ｔhe GUN-7 守住山口") == ["the", "gun", "守住", "住山", "山口"] and terms("") == []
+
+
+@pytest.mark.parametrize("n_docs", [1, 4_000, 10_000, 100_000, 1_000_000])
+def test_every_document_is_read(n_docs):
+    n, passes = parts(n_docs, Settings())
+    assert n * passes >= 30 and n_docs / n <= 1.5 * Settings.batch and passes >= 1
+
+
+def test_batches_of_the_fit_hold_all_documents(spark):
+    vectors = spark.createDataFrame([(i, Vectors.sparse(50, [i], [30.0])) for i in range(50)], ["doc_id", "features"])
+    matrix = topics(vectors, 50, 50, Settings(topics=4, rounds=1, batch=5))
+    assert matrix.shape == (50, 4) and (matrix.sum(1) > 1).all()
