@@ -56,7 +56,8 @@ _WORD = regex.compile(r"[\p{L}\p{M}]+")
 _CASED = regex.compile(r"[\p{Lu}\p{Ll}\p{Lt}]")
 _THAI_BLANK = regex.compile(r"(?<=[\p{Thai}&&[\p{L}\p{M}]])[^\S\n\r]+(?=[\p{Thai}&&[\p{L}\p{M}]])", regex.V1)
 _DESIGNATION = regex.compile(r"(?:Bau\.\s*|Mk\.\s*|\d[ \-]?|[-–]|\p{Lu}[\p{L}\p{M}]{3,}\s+)\p{L}$")
-_DOC_ABBR = regex.compile(r"(?<![\p{L}\p{M}.])([\p{L}\p{M}]{1,6})\.(?=[,:;]|\s+\p{Ll}(?!\p{Lu}))")
+_DOC_ABBR = regex.compile(r"(?<![\p{L}\p{M}.])([\p{L}\p{M}]+)\.(?=[,:;]|\s+\p{Ll}(?!\p{Lu}))")
+_DOC_PLAIN = regex.compile(r"(?<![\p{L}\p{M}.])([\p{L}\p{M}]{2,})(?=[,:;]|\s+\p{Ll})")
 #: What the corpus pass counts: a short word, then the period if there is one, then what follows.
 CORPUS_TOKEN = r"(?U)(?<![\p{L}\p{M}.])[\p{L}\p{M}]{2,6}(?:\.|(?![\p{L}\p{M}]))"
 FOLLOWED = r"(?U)(?<![\p{L}\p{M}.])([\p{L}\p{M}]{2,6})\.(?=[,:;]|\s+\p{Ll}|\s+\p{Nd})"
@@ -166,12 +167,17 @@ class _Document:
         self._abbr: set | None = None
         self._names: set | None = None
 
-    def abbreviation(self, key: str) -> bool:
-        if key in self.learned:
-            return True
+    def says(self, key: str) -> bool | None:
+        """Whether the word is an abbreviation by its places in the document: before a small letter or comma with a period, or without one; None if there are none or both."""
         if self._abbr is None:
             self._abbr = {glyphs(x).lower() for t in self.texts for x in _DOC_ABBR.findall(t)}
-        return key in self._abbr
+            self._plain = {glyphs(x).lower() for t in self.texts for x in _DOC_PLAIN.findall(t)}
+        held, plain = key in self._abbr, key in self._plain
+        return held if held != plain else None
+
+    def abbreviation(self, key: str) -> bool:
+        said = self.says(key)
+        return key in self.learned or bool(self._abbr and key in self._abbr) if said is None else said
 
     def name(self, word: str) -> bool:
         """Capital inside sentences of the document, and nowhere in small letters."""
@@ -236,6 +242,8 @@ def _ends(s: str, first: int, i: int, stop: int, j: int, k: int, quoted: bool, o
         return False  # a title of one letter
     if len(token) == 1 and token.isupper():  # an initial, or the last letter of a vehicle's designation
         return gap and bool(_DESIGNATION.search(s, max(first, i - 40), i))
+    if key in NEVER and capital and len(key) > 1 and doc.says(key) is False:
+        return True
     if key in NEVER or (last in NEVER and "." in key and len(last) > 1):
         return False
     if token == "Min":

@@ -58,3 +58,9 @@ def test_corpus_and_rows(spark):
     got = sorted((r.src, r.record_id, r.item_no, r.sentence_no, r.start_char) for r in statements(segments, tanks).collect())
     assert got == [("segment", 1, 0, 0, 0)] * 2 + [("segment", 1, 0, 1, 5)] * 2 + [("strategies", 7, 1, 0, 0), ("strategies", 7, 1, 1, 9)]
     assert statements(segments.limit(0), tanks.limit(0)).count() == 0
+
+
+def test_the_document_overrules_the_table():
+    assert len(split_sentences("The answer was no. The crew left. There was no other way.")) == 3
+    assert len(split_sentences("See vol. Three of it.")) == 1
+    assert len(split_sentences("A Regimentz. Kalt came. The Regimentz. unit saw Kalt. With Kalt it held.")) == 3
