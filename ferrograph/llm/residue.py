@@ -1,17 +1,19 @@
 """Template residue and error-page text.
 
-Records made from one template differ only in its slots. The blocks that a site's pages have in common are learned for each
-site, and lines with the form of such blocks are in a table; what else a record holds are its slots. A slot that keeps a variable name, a default or nothing is residue, and so is a message that stands alone on
-whole pages again and again. A record is excluded if all its slots are residue.
+Records of one template differ only in its slots. The records of a site are laid side by side: blocks that they share are the
+template's own, and so are lines whose form density finds outside the body all over the corpus (``lines``); what is left of a record are its
+slots. A slot that keeps a variable or nothing is residue at once. Defaults, filler and messages are learned: what fills the slots of
+records that hold little else is told from what fills the slots of all others, first by length and then by what was learned itself. Whole
+records that come back under many addresses are error pages of any length. A record is excluded if all its slots are residue.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from hashlib import blake2b
-from collections.abc import Container, Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 from zlib import crc32
 
 import numpy as np
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.markup import block_texts
 from ..sources import spread
-from .furniture import is_furniture, tidy
+from .lines import Learned, Lines, tidy
 
 # Forms of variables that a template engine left in place.
 VARIABLE = re.compile(
@@ -30,30 +32,14 @@ VARIABLE = re.compile(
 )
 # Labels that stand before a slot.
 LABELS = re.compile(r"(?:by|von|par|от|tier|stufe|name|author|title|date)\s*:?|[\s,.:;|·/()\"'*-]+", re.I)
-# Messages and defaults that are whole pages or slots.
-MESSAGES = [
-    r"http \d{3}\b.{0,60}", r"error \d+\b.*", r"\d{3} - this page\b.*", r"\d{3} bad gateway\.?", r"\d{3} service (?:temporarily )?unavailable\b.*", r"\d{3} (?:not found|forbidden|gone|internal server error)\b.{0,60}",
-    r"(?:bad luck|sorry|whoops|oops|hm|unfortunately)\b.{0,20}\b(?:not possible|could not|failed|went wrong|unable)\b.*", r"oops\b.*went wrong.*", r"access (?:to this resource )?(?:was )?denied\b.*",
-    r"(?:please )?(?:turn on|switch on|activate|allow|enable) (?:javascript|scripts|cookies)\b.*", r"you need a browser with scripting\b.*", r"this app requires scripts\b.*", r"just a (?:second|moment)\b.*", r"loading the site\b.*", r"checking your browser\b.*",
-    r"(?:testing|validating|verifying|checking) your (?:browser|session|connection)\b.*", r"are you a robot\?.*", r"confirm that you are human\b.*", r"our systems noticed unusual traffic\b.*", r"too many requests\b.*",
-    r"warning: \w+\(\) expects\b.*", r"traceback\b.*", r"exception in \S+:.*", r"database connection failed\b.*", r"the requested page could not be found\b.*", r"this \w+ page has been removed\b.*",
-    r"страница не найдена\b.*", r"включите javascript\b.*", r"(?:внутренняя )?ошибка сервера\b.*", r"доступ (?:запрещ|закрыт).*", r"seite nicht gefunden\b.*", r"bitte aktivieren sie javascript\b.*", r"die datenbank ist\b.*nicht erreichbar.*", r"zugriff verweigert\b.*", r"interner serverfehler\b.*",
-    r"page introuvable\b.*", r"erreur interne du serveur\b.*", r"activez javascript\b.*", r"accès refusé\b.*", r"页面不存在.*", r"请启用\s?javascript.*", r"服务器(?:内部)?错误.*", r"访问被拒绝.*",
-    r"coming soon\.?", r"tbd|todo|n/a", r"sample (?:headline|text|title)\.?", r"your text goes here\.?", r"description to be added\b.*", r"test page, please ignore\.?", r"hier steht ein beispieltext\.?", r"здесь будет текст\.?", r"texte d'exemple à remplacer\.?", r"这里填写内容。?",
-    r"lorem ipsum\b.*", r"(?:foo bar baz|asdf|xxx|qwerty|blah)(?:[\s.,]+(?:foo|bar|baz|asdf|xxx|qwerty|blah))*",
-]
-_MESSAGE = re.compile("(?:" + "|".join(f"(?:{x})" for x in MESSAGES) + r")\Z", re.I | re.S)
 _MAYBE_VARIABLE, _DIGIT = re.compile(r"[{%\[@<_]|undefined|null|NaN"), re.compile(r"\d")
 _NUMBER = re.compile(r"\b[0-9a-f]*\d[0-9a-f]*\b", re.I)
+_CALL = re.compile(r"[\w.]+\(\)")
 _SITE = re.compile(r"(?<=[a-zа-я,] )[A-ZА-Я][\w-]+(?=[ .,]|$)")
-_WORDS = re.compile(r"[^\W\d_]+")
-_UNITS = re.compile(r"[一-鿿぀-ヿ]|[^\W\d_一-鿿぀-ヿ]+")
-#: A record stands alone if it has at most this many different words (letters, in scripts without blanks). Longer ones are told as whole pages.
-ALONE_UNITS = 48
-# Words of the common filler text; those of others are learned.
-FILLER = frozenset("""
-lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua
-""".split())
+_UNSPACED = re.compile(r"[一-鿿぀-ヿ]+")
+_WORDS = re.compile(r"[^\W\d_一-鿿぀-ヿ]+")
+#: Words and whole slots are counted in this many buckets, so that what is learned has one size for any corpus.
+BUCKETS = 1 << 20
 
 
 def is_json(body: str) -> bool:
@@ -79,23 +65,15 @@ def digest(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def slots(body: str, blocks: list | None = None, site: frozenset = frozenset()) -> list[str]:
-    """What a record holds apart from what sites put around their pages; ``blocks`` if the page was read before, ``site`` for the digests of its site's own shapes."""
-    texts = _texts(body, blocks)
-    return [x for x in texts if digest(shape(x)) not in site] if site else texts
-
-
-def _texts(body: str, blocks: list | None) -> list[str]:
-    if blocks is not None:
-        return [x for b in blocks if not is_furniture(x := tidy(b.text))]
+def texts(body: str) -> list[str]:
+    """The tidy blocks or lines of a body, whatever its kind."""
     if is_json(body):
         try:
-            texts = list(_strings(json.loads(body)))
+            values = list(_strings(json.loads(body)))
         except ValueError:
-            texts = re.findall(r'"(?:content|info|text|\*)"\s*:\s*"((?:[^"\\]|\\.)*)', body)
-        return [x for t in texts for x in t.split("\n") if x.strip()]
-    texts = block_texts(body) if is_html(body) else body.splitlines()
-    return [x for t in texts if not is_furniture(x := tidy(t))]
+            values = re.findall(r'"(?:content|info|text|\*)"\s*:\s*"((?:[^"\\]|\\.)*)', body)
+        return [x for t in values for x in t.split("\n") if x.strip()]
+    return [tidy(t) for t in (block_texts(body) if is_html(body) else body.splitlines())]
 
 
 def phrase(text: str) -> str:
@@ -121,198 +99,153 @@ def shape(slot: str) -> str:
     rest = tidy(VARIABLE.sub(" ", slot)) if had else tidy(slot)
     if had and not LABELS.sub("", rest):
         return ""
-    rest = phrase(rest)
-    rest = _SITE.sub("N", rest)
+    rest = _SITE.sub("N", _CALL.sub("f()", phrase(rest)))
     return _NUMBER.sub("0", rest) if _DIGIT.search(rest) else rest
 
 
-def shapes(body: str, site: frozenset = frozenset()) -> list[str]:
-    return sorted({shape(x) for x in slots(body, None, site)} - {""})
+@lru_cache(100_000)
+def units(form: str) -> tuple[int, ...]:
+    """Buckets of a shape's different words (pairs of letters, in scripts without blanks), and of the shape as a whole."""
+    low = form.lower()
+    words = set(_WORDS.findall(low))
+    for run in _UNSPACED.findall(low):
+        words.update(run[i : i + 2] for i in range(max(len(run) - 1, 1)))
+    return tuple(sorted({crc32(w.encode("utf-8", "replace")) % BUCKETS for w in (*words, "= " + form)}))
+
+
+def slots(body: str, lines: Lines) -> list[str]:
+    """Shapes of what a record holds apart from lines that look like what sites put around their texts. Lines of JSON bodies all count."""
+    found = texts(body)
+    return [shape(x) for x in found if is_json(body) or not lines.furniture(x)]
+
+
+def repeats(bodies: DataFrame) -> DataFrame:
+    """(fetch_id) of the rows whose body a row of a lesser id has. Only ids and digests are shuffled."""
+    seen = bodies.where("body is not null").select("fetch_id", F.xxhash64("body").alias("h"), F.length("body").alias("n"))
+    firsts = seen.groupBy("h", "n").agg(F.min("fetch_id").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    return seen.join(firsts, ["h", "n"]).where("fetch_id > first").select("fetch_id")
 
 
 def with_address(fetched: DataFrame) -> DataFrame:
-    """With (host, address, slug, key): of the url without scheme, query, fragment and last slash, in small letters; without an url, no host and the body's digest.
+    """With (host, address, slug): of the url without scheme, query, fragment and last slash, in small letters; without an url, no host and the body's digest.
 
-    ``slug`` is the last part of an address, ``key`` tells a body on a host.
+    ``slug`` is the last part of an address.
     """
     if "url" not in fetched.columns:
         fetched = fetched.withColumn("url", F.lit(None).cast("string"))
     plain = F.regexp_replace(F.lower(F.trim("url")), r"^[a-z]+://(?:www\.)?|[?#].*|/+(?=$|[?#])", "")
-    fetched = fetched.withColumn("slug", F.when(plain != "", F.xxhash64(F.substring_index(plain, "/", -1))).otherwise(F.xxhash64("body")))
-    fetched = fetched.withColumn("key", F.md5(F.concat_ws("\n", F.coalesce(F.substring_index(plain, "/", 1), F.lit("")), "body")))
-    return fetched.withColumn("host", F.nullif(F.substring_index(plain, "/", 1), F.lit(""))).withColumn("address", F.when(plain != "", F.xxhash64(plain)).otherwise(F.xxhash64("body")))
+    given = plain != ""
+    return fetched.select(
+        *[c for c in fetched.columns if c != "url"],
+        F.nullif(F.substring_index(plain, "/", 1), F.lit("")).alias("host"),
+        F.when(given, F.xxhash64(plain)).otherwise(F.xxhash64("body")).alias("address"),
+        F.when(given, F.xxhash64(F.substring_index(plain, "/", -1))).otherwise(F.xxhash64("body")).alias("slug"),
+    )
 
 
-def site_shapes(pages: DataFrame, least: int = 8, share: float = 0.3) -> DataFrame:
-    """(host, site array<bigint>): digests of the shapes that the pages of a site have in common.
+def read_slots(bodies: DataFrame, learned: Learned) -> DataFrame:
+    """(fetch_id, host, address, slug, whole, slots array<struct<form, units>>) of the bodies that aren't null, empty or blank.
 
-    A shape is a site's own if it is in ``least`` pages and in the share ``share`` of them, where pages count as different only
-    by their addresses and by what else they hold, whichever are fewer: copies of one page count once, and so does one page
-    fetched again and again. A site has at most (shapes of a page) / share of them. JSON bodies have no blocks of a site.
+    ``form`` is the digest of a slot's shape, 0 if only variables and labels are in it; ``whole`` tells records of other blocks apart, null for JSON.
     """
+    judge = learned.judge()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for host, address, body in b.itertuples(index=False, name=None):
-                if body and body.strip() and not is_json(body) and (forms := shapes(body)):
-                    whole = digest("\n".join(forms))
-                    rows += [(host, digest(f), address, whole) for f in forms]
-                    rows.append((host, 0, address, whole))  # the site's pages
-            yield pd.DataFrame(rows, columns=["host", "form", "address", "whole"])
-
-    seen = pages.where("host is not null").select("host", "address", "body").mapInPandas(run, "host string, form bigint, address bigint, whole bigint")
-    counts = seen.groupBy("host", "form").agg(F.least(F.countDistinct("address"), F.countDistinct("whole")).alias("n"))
-    per = counts.groupBy("host").agg(F.max(F.when(F.col("form") == 0, F.col("n"))).alias("pages"), F.collect_list(F.when((F.col("form") != 0) & (F.col("n") >= least), F.struct("form", "n"))).alias("forms"))
-    kept = F.filter("forms", lambda x: x["n"] >= share * F.col("pages"))
-    return per.select("host", F.transform(kept, lambda x: x["form"]).alias("site")).where(F.size("site") > 0)
-
-
-def with_sites(fetched: DataFrame, small: int = 20_000) -> DataFrame:
-    """With (host, address, site); up to ``small`` sites are broadcast, more are joined by a shuffle."""
-    pages = with_address(fetched)
-    sites = site_shapes(pages).persist(StorageLevel.MEMORY_AND_DISK)
-    return pages.join(F.broadcast(sites) if sites.count() <= small else sites, "host", "left")
-
-
-def as_site(site) -> frozenset:
-    return frozenset() if site is None else frozenset(site.tolist())
-
-
-def page_form(forms: Iterable[str]) -> str:
-    """Of a whole record: the digest of its different shapes; empty if it has none."""
-    forms = sorted(set(forms) - {""})
-    return str(digest("\n".join(forms))) if forms else ""
+            for fetch_id, host, address, slug, body, ids, shares in b.itertuples(index=False, name=None):
+                found = slots(body, judge(ids, shares))
+                forms = [{"form": digest(s), "units": list(units(s))} if s else {"form": 0, "units": []} for s in found]
+                rows.append((fetch_id, host, address, slug, None if is_json(body) else digest("\n".join(sorted(set(found)))), forms))
+            out = pd.DataFrame(rows, columns=["fetch_id", "host", "address", "slug", "whole", "slots"])
+            out["whole"] = pd.array(out["whole"].tolist(), dtype="Int64")
+            yield out
 
+    real = bodies.where(F.col("body").isNotNull() & F.col("body").rlike(r"(?U)\S"))
+    asked = learned.beside(real, "fetch_id", "body", texts).select("fetch_id", "host", "address", "slug", "body", "known_forms", "known_shares")
+    return asked.mapInPandas(run, "fetch_id bigint, host string, address bigint, slug bigint, whole bigint, slots array<struct<form:bigint,units:array<int>>>")
 
-def form_key(kind: str, form: str) -> str:
-    """How forms are counted and looked up: long ones by their digest."""
-    return f"{kind} {form}" if len(form) <= 64 else f"{kind} #{digest(form)}"
 
+def site_forms(read: DataFrame, least: int = 8, share: float = 0.3) -> DataFrame:
+    """(host, site array<bigint>): what the records of a site have in common when they are laid side by side.
 
-def residue_forms(bodies: DataFrame, least: int = 8, least_word: int = 3, alone: float = 0.9) -> DataFrame:
-    """(form): keys of what residue is made of, counted over all records and not bounded in number or length.
-
-    Shapes and single words of which the share ``alone`` of the records that hold them hold nothing but short messages; and whole
-    records of any length that are found again under ``least`` different last parts of an address, as copies of an article keep theirs.
-    ``bodies`` has the columns ``address``, ``slug``, ``body`` and ``site``; null and empty bodies count for nothing. Of the records of one
-    address one counts, so that copies teach nothing. A shape must be in ``least`` records, a word in ``least_word``. Shapes and words
-    are summed in the tasks before they are shuffled.
+    A form is the template's own if it is in ``least`` records of the site and in the share ``share`` of them, where records count as different only
+    by their addresses and by what else they hold, whichever are fewer: copies of one page count once, and so does one page
+    fetched again and again. A site has at most (forms of a page) / share of them. JSON bodies have no template of a site. A record without an
+    address has no site.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows: dict = {}
-            for slug, body, site in zip(b["slug"], b["body"], b["site"], strict=True):
-                if not body or not body.strip():
-                    continue
-                forms = shapes(body, as_site(site))
-                lone = len({u for f in forms for u in _UNITS.findall(f.lower())}) <= ALONE_UNITS
-                words = {w for f in forms for w in _WORDS.findall(f.lower())}
-                for key in [("shape", f, 0) for f in forms] + [("word", w, 0) for w in words] + [("page", x, slug) for x in [page_form(forms)] if x]:
-                    n = rows.setdefault(key, [0, 0])
-                    n[0] += 1
-                    n[1] += lone
-            yield pd.DataFrame([(form_key(k, f), slug, *n) for (k, f, slug), n in rows.items()], columns=["form", "slug", "n", "lone"])
-
-    once = bodies.groupBy("address").agg(F.max_by(F.struct("slug", "body", "site"), F.xxhash64("body")).alias("one")).select("one.*")
-    counts = once.mapInPandas(run, "form string, slug bigint, n bigint, lone bigint").groupBy("form", "slug").agg(F.sum("n").alias("n"), F.sum("lone").alias("lone"))
-    total = counts.groupBy("form").agg(F.sum("n").alias("n"), F.sum("lone").alias("lone"), F.count("*").alias("slugs"))
-    often = F.col("n") >= F.when(F.col("form").startswith("word "), least_word).otherwise(least)
-    return total.where(F.when(F.col("form").startswith("page "), F.col("slugs") >= least).otherwise(often & (F.col("lone") >= alone * F.col("n")))).select("form")
-
-
-class Maybe:
-    """Forms of a kind that may be learned: one bit for each residue of their checksums, of one size for any number of forms."""
-
-    SIZE = 1 << 20
-
-    def __init__(self, kind: str, bits: np.ndarray):
-        self.kind, self.bits = kind, bits
-
-    def __contains__(self, form: str) -> bool:
-        return bool(self.bits[crc32(form_key(self.kind, form).encode("utf-8", "replace")) % self.SIZE])
+    pages = read.where("host is not null and whole is not null")
+    seen = pages.select("host", "address", "whole", F.explode(F.array_distinct(F.array_append(F.transform("slots", lambda s: s["form"]), F.lit(0)))).alias("form"))
+    counts = seen.groupBy("host", "form").agg(F.least(F.countDistinct("address"), F.countDistinct("whole")).alias("n"))
+    common = F.collect_list(F.when((F.col("form") != 0) & (F.col("n") >= least), F.struct("form", "n")))
+    per = counts.groupBy("host").agg(F.max(F.when(F.col("form") == 0, F.col("n"))).alias("pages"), common.alias("forms"))
+    kept = F.filter("forms", lambda x: x["n"] >= share * F.col("pages"))
+    return per.select("host", F.transform(kept, lambda x: x["form"]).alias("site")).where(F.size("site") > 0)
 
 
-class Exactly:
-    """Forms of a kind among those that a record was found to share with the learned ones."""
+def induced(read: DataFrame, small: int = 20_000) -> DataFrame:
+    """``read`` with only the slots that aren't their site's own, and ``page``, which tells a record by its different slots (null if all are empty)."""
+    sites = site_forms(read).persist(StorageLevel.MEMORY_AND_DISK)
+    joined = read.join(F.broadcast(sites) if sites.count() <= small else sites, "host", "left")
+    own = F.col("site").isNotNull() & F.col("whole").isNotNull()
+    joined = joined.withColumn("slots", F.when(own, F.filter("slots", lambda s: ~F.array_contains("site", s["form"]))).otherwise(F.col("slots")))
+    forms = F.array_sort(F.array_distinct(F.filter(F.transform("slots", lambda s: s["form"]), lambda f: f != 0)))
+    return joined.select("fetch_id", "address", "slug", "slots", F.when(F.size(forms) > 0, F.xxhash64(forms)).alias("page"))
 
-    def __init__(self, kind: str, forms: frozenset):
-        self.kind, self.forms = kind, forms
 
-    def __contains__(self, form: str) -> bool:
-        return form_key(self.kind, form) in self.forms
+class Odds:
+    """Log odds of each bucket between the records that hold nothing but residue and all others; 0 for what one record has, and where there are hardly others to tell from."""
 
+    def __init__(self, lone: np.ndarray, rest: np.ndarray, n_lone: int, n_rest: int, least: int = 2, others: int = 8):
+        overall = (lone + rest) / max(n_lone + n_rest, 1)
+        odds = np.log(np.maximum(lone + overall, 1e-12) / (n_lone + 1)) - np.log((rest + 0.5) / (n_rest + 1))
+        self.odds = np.where((lone + rest >= least) & (n_rest >= others), odds, 0.0).astype(np.float32)
 
-class Residue:
-    """Decides records by the learned forms and the table."""
+    def residue(self, slots, least: float) -> bool:
+        """Whether every slot, given by its buckets, is empty or speaks for residue."""
+        return all(not len(s) or float(self.odds[s].sum()) > least for s in slots)
 
-    def __init__(self, forms: Container[str], words: Container[str], pages: Container[str] = frozenset()):
-        self.forms, self.words, self.pages = forms, words, pages
 
-    def empty(self, s: str) -> bool:
-        if not s or s in self.forms or _MESSAGE.match(s):
-            return True
-        words = _WORDS.findall(s.lower())
-        return len(words) >= 4 and sum(w in self.words or w in FILLER for w in words) >= 0.9 * len(words)
+def _odds(records: DataFrame, lone) -> Odds:
+    """Counted over all records, in buckets: sums of each task before the shuffle, and no more rows than buckets for the driver."""
+    one = records.where(F.size("slots") > 0).select(lone.alias("lone"), F.array_distinct(F.flatten(F.transform("slots", lambda s: s["units"]))).alias("units"))
+    counts = one.select("lone", F.explode(F.array_append("units", F.lit(-1))).alias("unit")).groupBy("unit").agg(F.sum(F.col("lone").cast("long")).alias("lone"), F.count("*").alias("n")).toArrow()
+    lone_, all_ = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
+    at = counts["unit"].to_numpy()
+    lone_[at], all_[at] = counts["lone"].to_numpy(), counts["n"].to_numpy()  # -1, the number of records, is the last
+    return Odds(lone_[:-1], (all_ - lone_)[:-1], int(lone_[-1]), int(all_[-1] - lone_[-1]))
 
-    def slot(self, text: str) -> bool:
-        s = shape(text)
-        if self.empty(s) or self.empty(tidy(text)):
-            return True
-        parts = [p for p in re.split(r"(?<=[.!?])\s+", s) if p]
-        return len(parts) > 1 and all(self.empty(p) or self.empty(phrase(p)) for p in parts)
 
-    def record(self, body: str | None, blocks: list | None = None, site: frozenset = frozenset()) -> bool:
-        """True if the record holds something, and all of it is residue. Null, empty and blank bodies aren't cases."""
-        if not body or not body.strip():
-            return False
-        texts = slots(body, blocks, site)
-        return all(self.slot(x) for x in texts) or page_form(map(shape, texts)) in self.pages
+def _says(odds, least: float):
+    @F.pandas_udf("boolean")
+    def says(slots: pd.Series) -> pd.Series:
+        return pd.Series([odds.value.residue(s, least) for s in slots], dtype=bool)
 
-    def asked(self, body: str, site: frozenset = frozenset()) -> list[str]:
-        """Keys of all forms on which the decision of a record can depend and that may be learned."""
-        texts = slots(body, None, site)
-        forms = {s for x in texts for s in (shape(x), tidy(x))}
-        forms |= {x for f in forms for p in re.split(r"(?<=[.!?])\s+", f) for x in (p, phrase(p))}
-        words = {w for f in forms for w in _WORDS.findall(f.lower())}
-        page = page_form(map(shape, texts))
-        return [form_key(k, f) for k, known, some in (("shape", self.forms, forms), ("word", self.words, words), ("page", self.pages, [page])) for f in some if f and f in known]
+    return says
 
 
-def residue_keys(bodies: DataFrame) -> DataFrame:
-    """(key), once each, of the records without content of their own; ``bodies`` as with_sites gives them.
+def residue_ids(fetched: DataFrame, learned: Learned, short: int = 48, pages: int = 8, rounds: int = 2, least: float = 1.0) -> DataFrame:
+    """(fetch_id) of the records without content of their own. ``fetched`` is (fetch_id, url, body).
 
-    Records that can't be residue are left out by a filter of constant size; the forms of the others are joined with all learned forms.
+    Odds are counted over all records, one of each address, so that copies teach nothing. In the first round a record counts as one that may hold nothing but
+    residue if it has at most ``short`` different words, in the next ones if the round before says so, at any length; the last one decides. ``least`` is
+    the log odds that a slot must exceed. A whole record found under ``pages`` different last parts of an address is a template too (copies of an
+    article keep theirs). Null, empty and blank bodies are no cases. Repeated rows have their own ids and are judged alike. An empty table has none.
     """
-    spark = bodies.sparkSession
-    learned = residue_forms(bodies).persist(StorageLevel.MEMORY_AND_DISK)
-    kinds = ("shape", "word", "page")
-    bits = {k: np.zeros(Maybe.SIZE, bool) for k in kinds}
-    for r in learned.select(F.substring_index("form", " ", 1).alias("kind"), (F.crc32(F.encode("form", "utf-8")) % Maybe.SIZE).alias("at")).distinct().toLocalIterator():
-        bits[r["kind"]][r["at"]] = True
-    maybe = spark.sparkContext.broadcast(Residue(*(Maybe(k, bits[k]) for k in kinds)))
-
-    def likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [(k, x, site, maybe.value.asked(x, own)) for k, x, site in b.itertuples(index=False, name=None) if maybe.value.record(x, None, own := as_site(site))]
-            yield pd.DataFrame(rows, columns=["key", "body", "site", "forms"])
-
-    def surely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            keys = []
-            for k, x, site, forms in b.itertuples(index=False, name=None):
-                known = frozenset() if forms is None else frozenset(forms.tolist())
-                if Residue(*(Exactly(kind, known) for kind in kinds)).record(x, None, as_site(site)):
-                    keys.append(k)
-            yield pd.DataFrame({"key": pd.Series(keys, dtype=object)})
-
-    some = bodies.select("key", "body", "site").mapInPandas(likely, "key string, body string, site array<bigint>, forms array<string>").dropDuplicates(["key"]).persist(StorageLevel.MEMORY_AND_DISK)
-    found = some.select("key", F.explode("forms").alias("form")).join(learned, "form").groupBy("key").agg(F.collect_set("form").alias("known"))
-    return some.join(found, "key", "left").select("key", "body", "site", "known").mapInPandas(surely, "key string")
+    read = induced(read_slots(with_address(fetched), learned)).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = fetched.sparkSession
+    one = read.groupBy("address").agg(F.max_by(F.struct("slug", "slots", "page"), F.xxhash64("page", "slug")).alias("o")).select("o.*").persist(StorageLevel.MEMORY_AND_DISK)
+    buckets = F.transform("slots", lambda s: s["units"])
+    lone = F.size(F.array_distinct(F.flatten(buckets))) <= short
+    for _ in range(rounds):
+        lone = _says(spark.sparkContext.broadcast(_odds(one, lone)), least)(buckets)
+    often = one.where("page is not null").groupBy("page").agg(F.countDistinct("slug").alias("slugs")).where(F.col("slugs") >= pages).select("page", F.lit(True).alias("often"))
+    return read.join(often, "page", "left").where(F.coalesce("often", F.lit(False)) | lone).select("fetch_id")
 
 
 def residue_records(fetched: DataFrame) -> DataFrame:
     """(fetch_id) of the records without content of their own; repeated rows have their own ids and are judged alike."""
-    bodies = with_sites(spread(fetched.select("fetch_id", "body", *{"url"} & {*fetched.columns})))
-    return bodies.select("fetch_id", "key").join(residue_keys(bodies), "key", "left_semi").select("fetch_id")
+    from .boilerplate import line_forms
+
+    bodies = spread(fetched.select("fetch_id", "body", *{"url"} & {*fetched.columns}))
+    return residue_ids(bodies, line_forms(bodies))

@@ -1,17 +1,49 @@
 import json
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ferrograph.functions.markup import parse
-from ferrograph.llm.boilerplate import guide_lines, main_blocks, main_content
-from ferrograph.llm.furniture import is_furniture
-from ferrograph.llm.residue import Residue, residue_records, shape, slots
-
-SENTENCE = "The armor scheme hides a flat weak zone and shrugs off most hits at thirty degrees. "
-PAGE = f"""<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><BODY><script>var t="<p>menu</p>";</script><!-- <p>old</p> -->
-<div class="content"><a href="/a">Cookies help X show you better offers. OK</a></div><ul><li><a href="/b">Home</a></li><li>Shop</li></ul>
-<div><h1>Title</h1><p>{SENTENCE * 2}<a href="/x">link</a> more &amp; text<li>Hold fire<li>[edit]<blockquote>{SENTENCE}</blockquote><p>Tags: Y, tier 3, guide</div>
-<h3>Comments (3)</h3><p>#1 user: {SENTENCE}<p>Read also: how to unlock the Z<div>© 2024 X. All rights reserved.</div></BODY></html>"""
+from ferrograph.llm import lines
+from ferrograph.llm.boilerplate import guide_lines, line_forms, main_blocks, main_content, placed
+from ferrograph.llm.residue import residue_records, shape, slots, texts
+
+WORDS = [a + b + c for a in "bdfgklmnprst" for b in "aeiou" for c in "nrlsk"]
+MENU = ["Quarn", "Brim", "Ovrin", "Helm", "Mirv", "Stead", "Tolb", "Wend"]
+DEFAULTS = ["Zarp glim: the vat is on holiday.", "Grib the text comes later", "Wot no scripts, turn them on"]
+
+
+def sentence(r: random.Random) -> str:
+    return " ".join(r.choice(WORDS) for _ in range(r.randint(8, 14))).capitalize() + "."
+
+
+def page(r: random.Random, site: int) -> tuple[str, list[int]]:
+    """A page of a site and the numbers of its article's blocks."""
+    menu = [f"<li><a href='/{w}'>{w}</a></li>" if r.random() < 0.7 else f"<li>{w}</li>" for w in r.sample(MENU, 5)]
+    article = ["<h1>" + sentence(r)[:30] + "</h1>"] + [f"<p>{' '.join(sentence(r) for _ in range(r.randint(2, 4)))}</p>" for _ in range(r.randint(2, 5))] + ["<li>Aim low</li>"]
+    inside = [f"<p>Glosed by {r.choice(WORDS)} on {r.randint(1, 28)} May</p>"] if r.random() < 0.4 else []
+    below = [f"<div><a href='/x'>Perl also: {sentence(r)}</a></div>", f"<p>Glosed by {r.choice(WORDS)} on {r.randint(1, 28)} May</p>", f"<div>{r.choice(WORDS)} is an owl project</div>"]
+    html = f"<html><head><title>x</title></head><body><ul>{''.join(menu)}</ul><div><div>{''.join(article)}{''.join(inside)}</div></div><div>{''.join(below)}</div></body></html>"
+    return html, list(range(5, 5 + len(article)))
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    r = random.Random(4)
+    rows, truth, cases = [], [], []
+    for i in range(240):
+        body, main = page(r, i % 6)
+        rows.append((i, f"https://s{i % 6}.example/guide/{i}", body))
+        truth += [("fetch", i, n) for n in main]
+    for i in range(240, 300):
+        menu = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in r.sample(MENU, 5))
+        rows.append((i, f"https://s{i % 6}.example/a/{i}", f"<body><ul>{menu}</ul><div><p>{DEFAULTS[i % 3]}</p></div></body>" if i % 2 else DEFAULTS[i % 3]))
+        cases.append(i)
+    rows += [(300, "https://s1.example/x", "<h1>{title}</h1><p>by ${user.nick}</p>"), (301, None, None), (302, "https://s1.example/y", ""), (303, None, " \n"), (304, None, '{"query":{"pages":[{"revisions":[{"content":"{{Infobox}} It climbs well in snow."}]}]}}')]
+    rows += [(305, "https://s1.example/z", '{"error":{"info":"' + DEFAULTS[0] + '"}}')]
+    cases += [300, 305]
+    return spark.createDataFrame([(*x, "clash") for x in rows], "fetch_id bigint, url string, body string, host string").drop("host"), truth, cases
 
 
 def test_blocks_follow_the_definition():
@@ -19,88 +51,80 @@ def test_blocks_follow_the_definition():
     assert [b.text.split() for b in blocks] == [["a"], ["b", "c", "de"], ["f"], ["g"]]
 
 
-def test_main_blocks():
-    got = [b.text.split()[0] for b in main_blocks(PAGE)]
-    assert got == ["Title", "The", "Hold", "The"]
-    assert [b.no for b in main_blocks(PAGE)] == [3, 4, 5, 7]
-    assert main_blocks("") == [] and main_blocks("<p></p>") == []
-    assert len(main_blocks("<p>" + "x y " * 200_000)) == 1
+def test_density_places_blocks():
+    body = f"<body><ul><li><a href='/b'>Home</a></li><li><a href='/c'>Shop</a></li></ul><div><h1>Title</h1><p>{'The gun holds two shells in the rack. ' * 8}</p></div><p><a href='/d'>Imprint</a></p></body>"
+    assert [(b.text.split()[0], inside) for b, inside in placed(body)] == [("Home", False), ("Shop", False), ("Title", True), ("The", True), ("Imprint", False)]
+    nothing = lines.Lines(lambda ids: [None] * len(ids))
+    assert [b.no for b in main_blocks(body, nothing)] == [2, 3]
+    assert main_blocks("", nothing) == [] and main_blocks("<p></p>", nothing) == []
+    assert len(main_blocks("<p>" + "x y " * 200_000, nothing)) == 1
+
+
+def test_the_most_specific_known_form_decides():
+    shares = {lines.form_id("phome"): 0.9, lines.form_id("phome >"): 0.8, lines.form_id("whome fire"): 0.01, lines.form_id("sread more"): 0.7}
+    judge = lines.Lines(lambda ids: [shares.get(i) for i in ids])
+    assert judge.outside("Home > Guides > X") == 0.8 and judge.outside("Home stretch") == 0.9
+    assert judge.outside("Home fire") == 0.01  # known as a whole
+    assert judge.outside("The gun is loaded … read more") == 0.7 and judge.outside("The gun") == 0.0
+    assert judge.furniture("") and judge.furniture("Home > x") and not judge.furniture("The gun")
+    assert guide_lines("Home > Shop\r\n\r\nHold fire\n \nHome > y\nEnd.", judge) == [(1, "Hold fire"), (3, "End.")]
+    assert judge.outside("·") == 0.0 and judge.outside("x" * 100_000) == 0.0
 
 
-@pytest.mark.parametrize("line", ["Home > Guides > X", "Forum | Download | My garage", "新闻 · 搜索", "Posted by user_1 on 4 May", "评论 18", "Implausible plot never ended… Read more", "x wrote: yes", "3 replies", ""])
-def test_furniture(line):
-    assert is_furniture(line)
+def test_articles_are_found(spark, corpus):
+    fetched, truth, _ = corpus
+    guides = spark.createDataFrame([(1, "Glosed by bak on 3 May\nAim low\n" + sentence(random.Random(9)) + "\nPerl also: fen"), (2, None), (3, ""), (3, " ")], "guide_id bigint, text string")
+    got = sorted((r.src, r.record_id, r.block_no) for r in main_content(guides, fetched).collect())
+    assert [x for x in got if x[0] == "guide"] == [("guide", 1, 1), ("guide", 1, 2)]
+    pages = {x for x in got if x[0] == "fetch"}
+    assert len(pages & set(truth)) >= 0.95 * len(truth) and len(pages & set(truth)) >= 0.98 * len(pages)
+    assert main_content(guides.limit(0), fetched.limit(0)).count() == 0
+    copies = fetched.where("fetch_id < 240").withColumn("fetch_id", F.col("fetch_id") + 1000)
+    both = {(r.record_id, r.block_no) for r in main_content(guides, fetched.unionAll(copies)).where("src = 'fetch'").collect()}
+    assert {(k % 1000, n) for k, n in both if k >= 1000} == {x[1:] for x in pages} == {x for x in both if x[0] < 1000}
 
 
-@pytest.mark.parametrize("line", ["Hold fire", "Tier 7", "416毫米", "Aim low", "Wait... then hold the ridge.", "The trade-in offer", "Hmm … maybe leave early?"])
-def test_not_furniture(line):
-    assert not is_furniture(line)
+def test_many_forms_are_joined_instead(spark, corpus):
+    fetched, _, _ = corpus
+    few = line_forms(fetched)
+    many = lines.Learned(few.shares, few=0)
+    row = many.beside(fetched, "fetch_id", "body", texts).where("fetch_id = 7").head()
+    a, b = few.judge()(None, None), many.judge()(row.known_forms, row.known_shares)
+    assert many.broadcast is None and len(row.known_forms) > 10
+    assert [x.no for x in main_blocks(row.body, a)] == [x.no for x in main_blocks(row.body, b)]
 
 
-def test_guide_lines_count_blank_lines_out():
-    assert guide_lines("Home | Shop\r\n\r\nHold fire\n \nAdvertisement\nEnd.") == [(1, "Hold fire"), (3, "End.")]
+def test_residue_is_learned(spark, corpus):
+    fetched, _, cases = corpus
+    assert sorted(r.fetch_id for r in residue_records(fetched).collect()) == cases
+    assert residue_records(fetched.limit(0)).count() == 0
+    again = residue_records(fetched.unionAll(fetched.where("fetch_id = 300")))
+    assert sorted(r.fetch_id for r in again.collect()) == sorted([*cases, 300])
 
 
 def test_shapes():
     assert shape("by {{name}} Tier: %tier%") == "" and shape("[object Object] null") == ""
     assert shape("foo bar foo bar") == shape("foo bar") and shape("Error 12 at 3") == shape("Error 7 at 99")
-    assert slots(json.dumps({"query": {"pages": [{"title": "T", "revisions": [{"content": "Real text.\n{{x}}"}]}]}})) == ["Real text.", "{{x}}"]
-
+    assert shape("Exception in a.b(): x") == shape("Exception in cd.e(): x") and shape("Zarp glim. " * 500) == "Zarp glim."
+    nothing = lines.Lines(lambda ids: [None] * len(ids))
+    assert slots(json.dumps({"query": {"pages": [{"title": "T", "revisions": [{"content": "Real text.\n{{x}}"}]}]}}), nothing) == ["Real text.", ""]
 
-RESIDUE = ["<h1>{title}</h1><p>by ${user.nick}</p>", "<p>404 - this page drove off the map</p>", "Please enable JavaScript and cookies to continue.", '{"error":{"code":"x","info":"502 Bad Gateway"}}', "<div>Home | Shop</div><p>TBD TBD</p>", "<h1>undefined</h1>"]
-REAL = ["<h1>{title}</h1><p>The gun holds two shells in the rack.</p>", "<p>The error page reading 404 became a running joke.</p>", '{"query":{"pages":[{"revisions":[{"content":"{{Infobox vehicle}} It climbs well."}]}]}}', "The gun.", None, "", " \n"]
 
+def test_records_that_only_repeat_themselves_are_no_cases(spark):
+    rows = [(i, f"https://one.example/a/{i}", "<p>The gun holds two shells.</p>") for i in range(6)] + [(9, None, "<p>The gun.</p>")]
+    assert residue_records(spark.createDataFrame(rows, "fetch_id bigint, url string, body string")).count() == 0
 
-def test_records(spark):
-    rows = list(enumerate(RESIDUE + REAL)) + [(0, RESIDUE[0])]
-    df = spark.createDataFrame([(i, b, True) for i, b in rows], "fetch_id bigint, body string, blocked boolean")
-    assert sorted(r.fetch_id for r in residue_records(df).collect()) == [0, 0, 1, 2, 3, 4, 5]
-    assert residue_records(df.limit(0)).count() == 0
 
-
-def test_unknown_messages_are_learned(spark):
-    odd = "<p>Zarp glim: the vat is on holiday since 12:30</p>"
-    real = "".join(f"<p>Here {a}{b}a meets {b}{a}o beside {a}u{b} gun.</p>" for a in "klmnp" for b in "rstv")
-    df = spark.createDataFrame([(i, odd.replace("12", str(i))) for i in range(12)] + [(100 + i, real) for i in range(12)], "fetch_id bigint, body string")
-    assert sorted(r.fetch_id for r in residue_records(df).collect()) == list(range(12))
-    assert not Residue(set(), set()).record(odd)
-
-
-def test_content_rows(spark):
-    fetched = spark.createDataFrame([(1, PAGE, "x"), (2, "<p>Coming soon</p>", None), (3, '{"a":"<p>b</p>"}', None), (4, None, None), (5, "", None), (1, PAGE, "x")], "fetch_id bigint, body string, text string")
-    guides = spark.createDataFrame([(1, "Shop\nHold fire"), (2, None), (3, "")], "guide_id bigint, text string")
-    got = sorted((r.src, r.record_id, r.block_no) for r in main_content(guides, fetched).collect())
-    assert got == [("fetch", 1, n) for n in (3, 3, 4, 4, 5, 5, 7, 7)] + [("guide", 1, 1)]
-    assert main_content(guides.limit(0), fetched.limit(0)).count() == 0
+def test_long_whole_pages_are_learned(spark):
+    notice = "".join("<p>" + " ".join(f"{a}{b}{c}{d}ar" for c in "lnrst" for d in "aeiou" for b in "ou") + "</p>" for a in "bdfgk")
+    rows = [(i, f"https://s{i % 3}.example/a{i}", notice) for i in range(9)] + [(50 + i, f"https://m{i}.example/one", notice.replace("ar", "em")) for i in range(9)]
+    got = residue_records(spark.createDataFrame(rows, "fetch_id bigint, url string, body string"))
+    assert sorted(r.fetch_id for r in got.collect()) == list(range(9))
 
 
 def test_blocks_of_a_site_are_no_slots(spark):
     menu = "<div>Quarnel of the Brimstead</div><p>Ovrin helmaker seeks a mirvane</p>"
-    words = [a + b + c for a in "bdfgklmnprst" for b in "aeiou" for c in "nrlsk"]
-    rows = [(i, f"https://one.example/guide/{i}", f"{menu}<p>{' '.join(words[i * 7 : i * 7 + 60])}</p>") for i in range(30)]
-    rows += [(100, "https://one.example/x", f"{menu}<p>404 - this page drove off the map</p>"), (101, "https://one.example/y", f"{menu}<p>{{{{name}}}}</p>")]
-    rows += [(200 + i, f"https://two.example/z?ref={i}", f"<p>{' '.join(words[:60])}</p>") for i in range(30)]
-    rows += [(300, "https://three.example/x", menu), (301, None, menu)]
+    rows = [(i, f"https://one.example/guide/{i}", f"{menu}<p>{' '.join(WORDS[i * 7 : i * 7 + 60])}</p>") for i in range(30)]
+    rows += [(101, "https://one.example/y", f"{menu}<p>{{{{name}}}}</p>"), (301, None, menu)]
     df = spark.createDataFrame(rows, "fetch_id bigint, url string, body string")
-    assert sorted(r.fetch_id for r in residue_records(df).collect()) == [100, 101]
-
-
-def test_filler_words_are_learned(spark):
-    words = "brun tavel ostin quade milor pesk ruvan dolt hask wemil".split()
-    filler = ["<p>" + " ".join(words[(3 * k * k + i * k) % 10] for k in range(1, 40)) + " " + " ".join(words[i:] + words[:i]) + "</p>" for i in range(5)]
-    real = "<p>Here we meet {} beside the old gun and hold the line.</p>"
-    long = real.format(" ".join(a + b + "k" for a in "bdfgklmnprst" for b in "aeiou"))
-    rows = [(i, f"https://s{i}.example/a", x) for i, x in enumerate(filler)] + [(50 + i, f"https://r{i}.example/a", real.format("abcdef"[i] * 4)) for i in range(6)] + [(80, "https://l.example/a", long)]
-    rows += [(90 + i, f"https://r.example/q?ref={i}", "<p>Zol merin vash tulo.</p>") for i in range(6)]
-    got = residue_records(spark.createDataFrame(rows, "fetch_id bigint, url string, body string"))
-    assert sorted(r.fetch_id for r in got.collect()) == list(range(5))
-    assert not Residue(set(), set()).empty("ante corpa dolam erator feros")
-
-
-def test_long_whole_pages_are_learned(spark):
-    lines = ["<p>" + " ".join(f"{a}{b}{c}{d}ar" for c in "lnrst" for d in "aeiou" for b in "ou") + "</p>" for a in "bdfgk"]
-    notice = "".join(lines)
-    rows = [(i, f"https://s{i % 3}.example/a{i}", notice) for i in range(9)] + [(50 + i, f"https://m{i}.example/one", notice.replace("ar", "em")) for i in range(9)]
-    got = residue_records(spark.createDataFrame(rows, "fetch_id bigint, url string, body string"))
-    assert sorted(r.fetch_id for r in got.collect()) == list(range(9))
-    assert shape("Zarp glim. " * 500) == "Zarp glim."
+    assert sorted(r.fetch_id for r in residue_records(df).collect()) == [101]
