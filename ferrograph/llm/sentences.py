@@ -2,8 +2,8 @@
 
 Document-centred disambiguation: whether a period belongs to an abbreviation, and whether a capital belongs to
 a proper name, is read from the places of the same document where neither is in doubt; where the document
-is silent, statistics of the whole corpus and then a table of common abbreviations decide. Scripts without
-letter case have terminators of their own; Thai has blanks.
+is silent, the whole corpus decides, by how often a token with a period ends a text; a table of common abbreviations is asked
+last, for tokens the corpus has too few of. Scripts without letter case have terminators of their own; Thai has blanks.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from ..sources import spread
 from .glyphs import glyphs, zero_cost
 
-# Abbreviations that don't end a sentence, whatever follows.
+# Abbreviations that don't end a sentence, whatever follows. Asked where document and corpus are silent.
 NEVER_FINAL = """
 dr mr mrs ms prof gen col lt sgt capt maj cpl cmdr adm rev hon st mt no nos nr fig figs vol vols ch chap p pp ed eds
-approx ca cf vs v max mk bau dept est e.g i.e a.k.a viz jan feb mar apr jun jul aug sep sept oct nov dec
+approx ca cf vs v max dept est e.g i.e a.k.a viz jan feb mar apr jun jul aug sep sept oct nov dec
 abb vgl bzw z b d h s str inkl exkl evtl ggf sog geb hr fr dipl ing tab kap bd
 mme mlle art env av éd n sr sra srta dra pág págs aprox núm ud uds cap ej
 рис табл гл с ср им см т тыс млн ул стр проф акад ген полк св е
@@ -55,12 +55,15 @@ _GREEK = regex.compile(r"\p{Greek}")
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 _CASED = regex.compile(r"[\p{Lu}\p{Ll}\p{Lt}]")
 _THAI_BLANK = regex.compile(r"(?<=[\p{Thai}&&[\p{L}\p{M}]])[^\S\n\r]+(?=[\p{Thai}&&[\p{L}\p{M}]])", regex.V1)
-_DESIGNATION = regex.compile(r"(?:Bau\.\s*|Mk\.\s*|\d[ \-]?|[-–]|\p{Lu}[\p{L}\p{M}]{3,}\s+)\p{L}$")
+_DESIGNATION = regex.compile(r"(?r)(?:\d[ \-]?|[-–]|\p{Lu}[\p{L}\p{M}]{3,}\s+)\p{L}")
+_AFTER_MARK = regex.compile(r"(?r)([\p{L}\p{M}]+)\.\s*\p{L}")
 _DOC_ABBR = regex.compile(r"(?<![\p{L}\p{M}.])([\p{L}\p{M}]+)\.(?=[,:;]|\s+\p{Ll}(?!\p{Lu}))")
 _DOC_PLAIN = regex.compile(r"(?<![\p{L}\p{M}.])([\p{L}\p{M}]{2,})(?=[,:;]|\s+\p{Ll})")
-#: What the corpus pass counts: a short word, then the period if there is one, then what follows.
-CORPUS_TOKEN = r"(?U)(?<![\p{L}\p{M}.])[\p{L}\p{M}]{2,6}(?:\.|(?![\p{L}\p{M}]))"
-FOLLOWED = r"(?U)(?<![\p{L}\p{M}.])([\p{L}\p{M}]{2,6})\.(?=[,:;]|\s+\p{Ll}|\s+\p{Nd})"
+#: What the corpus pass counts: a token with a period, and what follows it (nothing or an empty line, a mark, or a blank and up to two characters).
+CORPUS_TOKEN = r"(?U)(?<![\p{L}\p{M}\p{N}.])((?:[\p{L}\p{M}]\.)*[\p{L}\p{M}]+)\.(?=(\s*\z|\s*\n\s*\n|[,:;)\]]|\s+\p{Lu}(?![\p{L}\p{M}.])|\s+\S.?))"
+NEVER_KIND, MAYBE_KIND, MARK_KIND, WORD_KIND = "never", "maybe", "mark", "word"
+#: Learned tokens of at most this many are sent to the tasks; more are joined by a shuffle.
+FEW = 500_000
 
 
 class _Styles(dict):
@@ -162,7 +165,7 @@ def _spans(s: str, a: int, b: int) -> tuple[list[tuple[int, int]], set[int]]:
 class _Document:
     """What the document's own unambiguous places tell."""
 
-    def __init__(self, texts: Iterable[str], learned: frozenset):
+    def __init__(self, texts: Iterable[str], learned: dict[str, str]):
         self.texts, self.learned = list(texts), learned
         self._abbr: set | None = None
         self._names: set | None = None
@@ -175,9 +178,12 @@ class _Document:
         held, plain = key in self._abbr, key in self._plain
         return held if held != plain else None
 
-    def abbreviation(self, key: str) -> bool:
-        said = self.says(key)
-        return key in self.learned or bool(self._abbr and key in self._abbr) if said is None else said
+    def kind(self, key: str) -> str | None:
+        """What the corpus says of a token with a period, else the table: that it never ends a sentence (``mark``: and stands before a letter), may end one, or is a word; None if neither knows it."""
+        if (found := self.learned.get(key)) is not None:
+            return found
+        last = key.rpartition(".")[2]
+        return NEVER_KIND if key in NEVER or (last in NEVER and last != key and len(last) > 1) else MAYBE_KIND if key in MAYBE else None
 
     def name(self, word: str) -> bool:
         """Capital inside sentences of the document, and nowhere in small letters."""
@@ -224,7 +230,7 @@ def _ends(s: str, first: int, i: int, stop: int, j: int, k: int, quoted: bool, o
     # a single period
     if quoted or s[i - 1] in ")]%" or not s[i - 1].isalnum() and not regex.match(r"\p{M}", s[i - 1]):
         return gap or capital or opener or caseless
-    m = _TOKEN.match(s, max(first, i - 40), i)
+    m = _TOKEN.match(s, first, i)
     token = m[0] if m else prev
     if token.isdigit():
         if not gap and nxt.isdigit():
@@ -241,21 +247,22 @@ def _ends(s: str, first: int, i: int, stop: int, j: int, k: int, quoted: bool, o
     if not _CASED.search(token) and token.isalpha() and len(token) == 1:
         return False  # a title of one letter
     if len(token) == 1 and token.isupper():  # an initial, or the last letter of a vehicle's designation
-        return gap and bool(_DESIGNATION.search(s, max(first, i - 40), i))
-    if key in NEVER and capital and len(key) > 1 and doc.says(key) is False:
+        before = _AFTER_MARK.match(s, first, i)
+        return gap and bool(_DESIGNATION.match(s, first, i) or (before and doc.kind(glyphs(before[1]).lower()) == MARK_KIND))
+    said = doc.says(key) if len(key) > 1 else None
+    if said is False and capital:
         return True
-    if key in NEVER or (last in NEVER and "." in key and len(last) > 1):
+    kind = doc.kind(key)
+    if kind in (NEVER_KIND, MARK_KIND):
         return False
-    if token == "Min":
-        return False
-    if key in MAYBE:
+    if kind == MAYBE_KIND or (kind == WORD_KIND and not said):
         return True
     if len(token) == 1 and token.isalpha():
         return False
+    if said:
+        return not nxt.isdigit() and not doc.name((_WORD.match(s, k) or [""])[0])
     if "." in token and len(last) == 1:
         return gap and not doc.name((_WORD.match(s, k) or [""])[0])
-    if doc.abbreviation(key):
-        return not nxt.isdigit() and not doc.name((_WORD.match(s, k) or [""])[0])
     return True
 
 
@@ -264,7 +271,7 @@ def sentence_starts(text: str, doc: _Document | None = None) -> list[int]:
 
     Empty and blank texts have none. Any length is processed in one pass.
     """
-    doc = doc or _Document([text], frozenset())
+    doc = doc or _Document([text], {})
     s, at = _shadow(text)
     starts: list[tuple[int, int]] = []
     for a, b in _blocks(s):
@@ -316,53 +323,71 @@ def split_sentences(text: str, doc: _Document | None = None) -> list[tuple[int,
     return [(a, regex.sub(r"[^\S\n]*[\r\n]+\s*(?:(?:[-–*•‣◦▪●○·]|\d{1,3}[.)])\s*)?$", "", text[a:b]).rstrip()) for a, b in zip(starts, [*starts[1:], len(text)], strict=True)]
 
 
-def abbreviation_counts(texts: DataFrame) -> DataFrame:
-    """(token, n, periods, inner): words of at most 6 letters, how often they occur, with a period, and with one before a small letter, digit or comma.
+def period_counts(texts: DataFrame) -> DataFrame:
+    """(token, n, ends, inner, marks): tokens in small letters, how often they have a period, and how often that is at the end of a text or paragraph, before a
+    small letter or a mark, and before a single capital letter without a period.
 
     ``texts`` has a column ``text``. Counted over the whole corpus, combined in each task before the shuffle.
     """
-    hits = texts.select(F.explode(F.regexp_extract_all("text", F.lit(CORPUS_TOKEN), F.lit(0))).alias("hit"))
-    # the look-ahead isn't part of a match, so what follows a period is taken from matches that have it
-    followed = texts.select(F.explode(F.regexp_extract_all("text", F.lit(FOLLOWED), F.lit(1))).alias("token"))
-    return (
-        hits.select(F.rtrim(F.col("hit"), F.lit(".")).alias("token"), F.col("hit").endswith(".").cast("long").alias("period"), F.lit(0).alias("inner"))
-        .unionAll(followed.select("token", F.lit(None).cast("long"), F.lit(1)))
-        .groupBy("token")
-        .agg(F.count("period").alias("n"), F.sum("period").alias("periods"), F.sum("inner").alias("inner"))
+    hits = F.arrays_zip(F.regexp_extract_all("text", F.lit(CORPUS_TOKEN), F.lit(1)).alias("token"), F.regexp_extract_all("text", F.lit(CORPUS_TOKEN), F.lit(2)).alias("then"))
+    one = texts.select(F.inline(hits)).select(F.lower("token").alias("token"), F.trim(F.col("then"), F.lit(" \t\r\n\u00a0")).alias("then"))
+    first = F.substring("then", 1, 1)
+    return one.groupBy("token").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("then") == "").alias("ends"),
+        F.count_if(first.isin(*",:;)]") | ((first == F.lower(first)) & (first != F.upper(first)))).alias("inner"),
+        F.count_if((F.length("then") == 1) & (first != F.lower(first))).alias("marks"),
     )
 
 
-def corpus_abbreviations(counts: DataFrame, least: int = 5, least_share: float = 1e-5, periods: float = 0.9, lower: float = 0.8) -> DataFrame:
-    """(token): those that nearly always have a period, mostly inside a sentence.
+def token_kinds(counts: DataFrame, expected: float = 5.0, few: float = 0.1, inner: float = 0.3, least: int = 8, marks: float = 0.01) -> DataFrame:
+    """(token, kind) of what the corpus tells.
 
-    As a token must make up at least ``least_share`` of all occurrences, there are at most 1 / least_share of them at any
-    size, which is what makes their broadcast safe.
+    If tokens ended texts at random, each would do so in the corpus' share of its periods. One of which ``expected`` ends are expected, but at most the share
+    ``few`` of them are seen, never ends a sentence (``mark`` if a single letter follows it in the share ``marks`` or more). Others may end one if the share
+    ``inner`` of ``least`` or more stands inside sentences. Words are kept only where the table says otherwise. Shares are of the corpus at any size.
     """
-    total = counts.agg(F.sum("n").alias("total"))
-    return (
-        counts.where((F.col("periods") >= least) & (F.col("periods") >= periods * F.col("n")) & (F.col("inner") >= lower * F.col("periods")))
-        .join(F.broadcast(total))
-        .where(F.col("n") >= least_share * F.col("total"))
-        .select("token")
+    total = counts.agg((F.sum("ends") / F.sum("n")).alias("p"))
+    expect = F.col("p") * F.col("n")
+    never = (expect >= expected) & (F.col("ends") <= few * expect)
+    kind = (
+        F.when(never & (F.col("marks") >= marks * F.col("n")), MARK_KIND)
+        .when(never, NEVER_KIND)
+        .when((F.col("n") >= least) & (F.col("inner") >= inner * F.col("n")), MAYBE_KIND)
+        .when((expect >= expected) & F.col("token").isin(*sorted(NEVER | MAYBE)), WORD_KIND)
     )
+    return counts.join(F.broadcast(total)).select("token", kind.alias("kind")).where("kind is not null")
+
+
+def with_kinds(docs: DataFrame, learned: DataFrame | None, few: int = FEW) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with ``kinds`` and the learned tokens for a broadcast: one of both is empty. Up to ``few`` are sent to the tasks, more are joined with the tokens of each record."""
+    none = docs.withColumn("kinds", F.lit(None).cast("array<struct<token:string,kind:string>>"))
+    if learned is None:
+        return none, {}
+    if learned.count() <= few:
+        return none, {glyphs(r.token).lower(): r.kind for r in learned.toLocalIterator()}
+    tokens = docs.select("src", "record_id", F.explode("texts").alias("text")).select("src", "record_id", F.explode(F.regexp_extract_all("text", F.lit(CORPUS_TOKEN), F.lit(1))).alias("token"))
+    asked = tokens.select("src", "record_id", F.lower("token").alias("token")).distinct()
+    found = asked.join(learned, "token").groupBy("src", "record_id").agg(F.collect_list(F.struct("token", "kind")).alias("kinds"))
+    return docs.join(found, ["src", "record_id"], "left"), {}
 
 
-def sentences(docs: DataFrame, learned: DataFrame | None = None, text: bool = True) -> DataFrame:
+def sentences(docs: DataFrame, learned: DataFrame | None = None, text: bool = True, few: int = FEW) -> DataFrame:
     """(src, record_id, item_no, sentence_no, start_char, and with ``text`` sentence) of every text in ``docs``: (src, record_id, texts array<string>).
 
-    The texts of one record are one document. Null, empty and blank texts have no sentences; nulls keep their
-    item_no. Equal rows give equal sentences. One map pass; records aren't moved.
+    The texts of one record are one document. ``learned`` is (token, kind). Null, empty and blank texts have no sentences; nulls keep their
+    item_no. Equal rows give equal sentences. One map pass; records aren't moved unless more than ``few`` tokens are learned.
     """
-    spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(frozenset(glyphs(r.token).lower() for r in learned.toLocalIterator()) if learned is not None else frozenset())
+    rows_, kinds_ = with_kinds(docs.select("src", "record_id", "texts"), learned, few)
+    known = docs.sparkSession.sparkContext.broadcast(kinds_)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for src, rid, texts in b.itertuples(index=False, name=None):
+            for src, rid, texts, kinds in b.itertuples(index=False, name=None):
                 if texts is None:
                     continue
-                doc = _Document([t for t in texts if t], known.value)
+                doc = _Document([t for t in texts if t], known.value if kinds is None else {glyphs(x["token"]).lower(): x["kind"] for x in kinds})
                 for no, t in enumerate(texts):
                     if t and text:
                         rows += [(src, rid, no, n, at, x) for n, (at, x) in enumerate(split_sentences(t, doc))]
@@ -371,7 +396,8 @@ def sentences(docs: DataFrame, learned: DataFrame | None = None, text: bool = Tr
             yield pd.DataFrame(rows, columns=columns)
 
     columns = ["src", "record_id", "item_no", "sentence_no", "start_char"] + ["sentence"] * text
-    return docs.select("src", "record_id", "texts").mapInPandas(run, "src string, record_id bigint, item_no bigint, sentence_no int, start_char bigint" + ", sentence string" * text)
+    schema = "src string, record_id bigint, item_no bigint, sentence_no int, start_char bigint" + ", sentence string" * text
+    return rows_.select("src", "record_id", "texts", "kinds").mapInPandas(run, schema)
 
 
 def statement_documents(segments: DataFrame, tanks: DataFrame) -> DataFrame:
@@ -382,8 +408,5 @@ def statement_documents(segments: DataFrame, tanks: DataFrame) -> DataFrame:
 
 def statements(segments: DataFrame, tanks: DataFrame, text: bool = True) -> DataFrame:
     docs = statement_documents(segments, tanks)
-    counts = abbreviation_counts(docs.select(F.explode("texts").alias("text")).where("text is not null")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:  # the counts are few and are used twice
-        return sentences(docs, corpus_abbreviations(counts), text)
-    finally:
-        counts.unpersist()
+    learned = token_kinds(period_counts(docs.select(F.explode("texts").alias("text")).where("text is not null"))).persist(StorageLevel.MEMORY_AND_DISK)
+    return sentences(docs, learned, text)

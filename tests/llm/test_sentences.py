@@ -1,6 +1,6 @@
 import pytest
 
-from ferrograph.llm.sentences import _Document, abbreviation_counts, corpus_abbreviations, sentence_starts, split_sentences, statements
+from ferrograph.llm.sentences import _Document, period_counts, sentence_starts, sentences, split_sentences, statements, token_kinds
 
 CASES = [
     ("See fig. 8 and p. 510. The K.D.F. hull holds, i.e. most of it.", 2),
@@ -40,9 +40,9 @@ def test_offsets_are_of_the_stored_text():
 def test_the_document_decides():
     alone = "He met Zorb. Kalt there."
     assert len(split_sentences(alone)) == 2
-    told = _Document([alone, "The Zorb. unit saw Kalt again. With Kalt it held."], frozenset())
+    told = _Document([alone, "The Zorb. unit saw Kalt again. With Kalt it held."], {})
     assert len(split_sentences(alone, told)) == 1
-    learned = _Document([alone, "They saw Kalt."], frozenset({"zorb"}))
+    learned = _Document([alone, "They saw Kalt."], {"zorb": "never"})
     assert len(split_sentences(alone, learned)) == 1
 
 
@@ -51,8 +51,10 @@ def test_long_text_in_one_pass():
 
 
 def test_corpus_and_rows(spark):
-    texts = [("The qx. unit, the qx. gun, qx. of it.",)] * 3 + [("A unit. Next unit holds the gun.",)]
-    assert [r.token for r in corpus_abbreviations(abbreviation_counts(spark.createDataFrame(texts, "text string")), least=2).collect()] == ["qx"]
+    texts = [("The qx. Unit met the Lork. F at the gun.",)] * 8 + [("A no. The unit. So we hold etk. and go etk.",)] * 8 + [(None,), ("",)]
+    kinds = token_kinds(period_counts(spark.createDataFrame(texts, "text string")), expected=2.0)
+    assert {r.token: r.kind for r in kinds.collect()} == {"qx": "never", "lork": "mark", "etk": "maybe", "unit": "never", "no": "never"}
+    assert token_kinds(period_counts(spark.createDataFrame([], "text string"))).count() == 0
     segments = spark.createDataFrame([(1, "One. Two.", "x"), (1, "One. Two.", "x"), (2, None, None), (3, " ", "")], "segment_id bigint, text string, record_id string")
     tanks = spark.createDataFrame([(7, [None, "Hold it. Cd went.", ""]), (8, None), (9, [])], "row_id bigint, strategies array<string>")
     got = sorted((r.src, r.record_id, r.item_no, r.sentence_no, r.start_char) for r in statements(segments, tanks).collect())
@@ -64,3 +66,20 @@ def test_the_document_overrules_the_table():
     assert len(split_sentences("The answer was no. The crew left. There was no other way.")) == 3
     assert len(split_sentences("See vol. Three of it.")) == 1
     assert len(split_sentences("A Regimentz. Kalt came. The Regimentz. unit saw Kalt. With Kalt it held.")) == 3
+
+
+def test_the_corpus_overrules_the_table_and_the_document_the_corpus():
+    text = "He met Zorb. Kalt there. Bring etc. Kalt came."
+    assert len(split_sentences(text)) == 4
+    assert len(split_sentences(text, _Document([text], {"zorb": "never", "etc": "never"}))) == 2
+    assert len(split_sentences("He met Dr. Kalt.", _Document([], {"dr": "word"}))) == 2
+    said = text + " The zorb is big, zorb of old."
+    assert len(split_sentences(said, _Document([said], {"zorb": "never"}))) == 5
+    assert len(split_sentences("The Lork. F left. The Qx. F. Kalt left.", _Document([], {"lork": "mark", "qx": "never"}))) == 2
+
+
+def test_many_learned_tokens_are_joined_instead(spark):
+    docs = spark.createDataFrame([("a", 1, ["He met Zorb. Kalt there.", None]), ("a", 2, ["Go on."]), ("b", 1, None)], "src string, record_id bigint, texts array<string>")
+    learned = spark.createDataFrame([("zorb", "never"), ("x", "never")], "token string, kind string")
+    a, b = (sorted((r.src, r.record_id, r.start_char) for r in sentences(docs, learned, few=n).collect()) for n in (10, 0))
+    assert a == b == [("a", 1, 0), ("a", 2, 0)]
