@@ -1,28 +1,26 @@
 """Subject areas of documents from latent Dirichlet topics.
 
-A distributed LDA finds topics over the words of all documents. Each topic is given the subject that its top terms
-point to, as they occur in the labelled documents; a topic whose terms point nowhere stays without subject. The words of
-a subject's topics then tell which sentences deal with it, and a document has the subjects of at least a sixth of
-its sentences.
+Each language gets topics of its own over the words of all its documents, fitted by online expectation maximization: a round sends the
+topics to the tasks, which infer the proportions of their documents and return the expected counts of words under topics, summed by word. A topic is given the subject
+that its top terms point to, as they occur in the labelled documents; a topic whose terms point nowhere has none. Labels serve for nothing else.
+A document has the subjects whose topics together reach a share of its topic proportions.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil
 
 import numpy as np
 import pandas as pd
 import regex
 from pyspark import StorageLevel
-from pyspark.ml.feature import CountVectorizer, StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import spread
 from .glyphs import glyphs
-from .sentences import sentence_starts
 
 _WORD = regex.compile(r"[\p{L}][\p{L}\p{M}]+")
 _UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}ー]")
@@ -33,23 +31,32 @@ _ASCII = regex.compile(r"[a-z]{2,}")
 
 @dataclass(frozen=True)
 class Settings:
-    """Topics, vocabulary (the terms in most documents of those in at least ``least_docs``), least rounds of the online fit and about how many documents are in each."""
+    """Parameters of the fit and of the assignment. Nothing of the corpus is left out of the fit; ``labels`` bounds the labelled documents that name topics.
 
-    topics: int = 90
-    vocabulary: int = 20_000
-    least_docs: int = 5
-    most_share: float = 0.25
+    ``topics`` of a language; a term is in at least ``least_docs`` and in the share ``least_share`` of its language's documents, which bounds the terms of a language
+    by (different terms of a document) / least_share, and in at most ``most_share`` (``most_share_few`` in a language of few terms); ``rounds`` are made at least and, however large the corpus, about ``rounds`` for one reading
+    of it, as parts of at least ``batch`` documents grow with it. ``share`` of a document's topic proportions makes a subject: a sixth of the sentences, of whose words
+    some are of topics without subject.
+    """
+
+    topics: int = 24
+    least_docs: int = 4
+    least_share: float = 2e-4
+    most_share: float = 0.4
+    most_share_few: float = 0.9
+    language_docs: int = 20
     rounds: int = 30
     batch: int = 4_000
+    steps: int = 12
+    doc_prior: float = 0.1
+    word_prior: float = 0.05
+    delay: float = 2.0
+    decay: float = 0.6
     top_terms: int = 30
     lift: float = 2.0
-    labels: int = 200_000
-    margin: float = 1.6
-    share: float = 1 / 6
-    frame: float = 0.25
-    pure: float = 0.7
     clear: float = 0.35
-    trust: float = 4.0
+    labels: int = 200_000
+    share: float = 0.13
     seed: int = 17
 
 
@@ -70,207 +77,263 @@ def terms(text: str) -> list[str]:
     return out
 
 
-def document_terms(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, terms); lang is the first two letters of the stated language, which may be wrong."""
+def with_language(docs: DataFrame) -> DataFrame:
+    """(doc_id, lang, text): the two letters of the stated language, empty where none is stated in this form."""
+    return docs.select("doc_id", F.regexp_extract(F.lower(F.coalesce("lang", F.lit(""))), r"^\s*([a-z]{2})(?:[-_].*)?\s*$", 1).alias("lang"), "text")
+
+
+def document_counts(stated: DataFrame) -> DataFrame:
+    """(lang, term, n): in how many documents of each stated language a term occurs; the empty term counts the documents with terms. Summed in the tasks before the shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "lang": b["lang"], "terms": [terms(t) if t else [] for t in b["text"]]})
+            counts: Counter = Counter()
+            for lang, text in zip(b["lang"], b["text"], strict=True):
+                if found := set(terms(text)):
+                    counts.update((lang, t) for t in found)
+                    counts[lang, ""] += 1
+            yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["lang", "term", "n"])
+
+    used = stated.where("lang != '' and text is not null").select("lang", "text")
+    return used.mapInPandas(run, "lang string, term string, n bigint").groupBy("lang", "term").agg(F.sum("n").alias("n"))
+
+
+class Vocabulary:
+    """Terms of each language, numbered through, and what tells the languages apart."""
+
+    def __init__(self, counts: pd.DataFrame, settings: Settings):
+        self.langs: list[str] = []
+        self.words: list[dict[str, int]] = []
+        self.terms: list[str] = []
+        self.topics: list[int] = []
+        docs = counts[counts["term"] == ""].set_index("lang")["n"]
+        usual: list[dict[str, float]] = []
+        for lang, own in counts[counts["term"] != ""].sort_values(["lang", "term"]).groupby("lang"):
+            if docs[lang] < settings.language_docs:
+                continue
+            kept, topics = own[own["n"] <= settings.most_share * docs[lang]], settings.topics
+            if len(kept) < 8 * topics:  # a language of few sentences: more of its terms, and fewer topics
+                kept = own[own["n"] <= settings.most_share_few * docs[lang]]
+                kept = kept if len(kept) >= 8 else own
+                topics = max(2, min(topics, len(kept) // 3))
+            if len(kept) < topics:
+                continue
+            self.langs.append(lang)
+            self.topics.append(topics)
+            self.words.append({t: len(self.terms) + i for i, t in enumerate(kept["term"])})
+            self.terms += kept["term"].tolist()
+            frequent = own[own["n"] >= 0.02 * docs[lang]]
+            usual.append(dict(zip(frequent["term"], (frequent["n"] / docs[lang]).tolist(), strict=True)))
+        self.first = np.cumsum([0] + [len(w) for w in self.words])
+        self.told: dict[str, np.ndarray] = {}
+        for i, u in enumerate(usual):
+            for t, share in u.items():
+                self.told.setdefault(t, np.full(len(self.langs), np.log(1e-3)))[i] = np.log(share)
+
+    def language(self, found: Counter, stated: str) -> int | None:
+        """The language whose documents have such terms; the stated one if nothing tells."""
+        rows = [self.told[t] for t in found if t in self.told]
+        if rows:
+            return int(np.sum(rows, 0).argmax())
+        return self.langs.index(stated) if stated in self.langs else None
+
+
+def document_vectors(stated: DataFrame, vocabulary, settings: Settings, parts: int) -> DataFrame:
+    """(doc_id, lang, part, ids, counts) of each document; those without a known term have empty ids. ``lang`` is told by the terms, as the stated one may be wrong or missing."""
 
-    lang = F.lower(F.substring(F.coalesce("lang", F.lit("")), 1, 2)).alias("lang")
-    return docs.select("doc_id", lang, "text").mapInPandas(run, "doc_id bigint, lang string, terms array<string>")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        v = vocabulary.value
+        for b in batches:
+            rows = []
+            for doc_id, stated_, text, part in b.itertuples(index=False, name=None):
+                found = Counter(terms(text)) if text else Counter()
+                lang = v.language(found, stated_) if found else None
+                known = [] if lang is None else [(w, n) for t, n in found.items() if (w := v.words[lang].get(t)) is not None]
+                rows.append((doc_id, -1 if lang is None else lang, part, [w for w, _ in known], [n for _, n in known]))
+            yield pd.DataFrame(rows, columns=["doc_id", "lang", "part", "ids", "counts"])
 
+    part = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(parts)).cast("int").alias("part")
+    return stated.select("doc_id", "lang", "text", part).mapInPandas(run, "doc_id bigint, lang int, part int, ids array<int>, counts array<int>")
 
-def support(bags: DataFrame, known: DataFrame, some: DataFrame) -> DataFrame:
-    """(subject_id, term, weight): of the terms in ``some``, in how many labelled documents of each subject they occur; a document of m subjects counts 1 / m for each."""
-    per = known.groupBy("doc_id").agg(F.collect_set("subject_id").alias("subjects"))
-    return (
-        bags.join(per, "doc_id")
-        .select(F.explode("subjects").alias("subject_id"), F.size("subjects").alias("m"), F.array_distinct("terms").alias("terms"))
-        .select("subject_id", "m", F.explode("terms").alias("term"))
-        .join(F.broadcast(some), "term")
-        .groupBy("subject_id", "term")
-        .agg(F.sum(1 / F.col("m")).alias("weight"))
-    )
 
+def proportions(ids: np.ndarray, counts: np.ndarray, starts: np.ndarray, phi: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """(of each word its expected counts under topics, of each document its share of each topic) for documents that lie one behind the other, each with a word at least."""
+    word = phi[ids]
+    sizes = np.diff(np.append(starts, len(ids)))
+    theta = np.full((len(starts), phi.shape[1]), 1 / phi.shape[1], np.float32)
+    for _ in range(settings.steps):
+        each = np.repeat(theta, sizes, 0) * word
+        each *= (counts / np.maximum(each.sum(1), 1e-30))[:, None]
+        mass = np.add.reduceat(each, starts)
+        theta = mass + np.float32(settings.doc_prior)
+        theta /= theta.sum(1, keepdims=True)
+    return each, mass / mass.sum(1, keepdims=True)
 
-def frame_terms(bags: DataFrame, known: DataFrame, settings: Settings) -> list[str]:
-    """Terms in more than ``settings.frame`` of a language's documents that don't point to one subject: what every text of the language is made of.
 
-    A language of n documents with d different terms each on average has at most d / frame of them.
-    """
-    langs = bags.groupBy("lang").agg(F.count("*").alias("docs")).where(F.col("docs") >= 20)
-    often = (
-        bags.select("lang", F.explode(F.array_distinct("terms")).alias("term"))
-        .groupBy("lang", "term")
-        .agg(F.count("*").alias("df"))
-        .join(F.broadcast(langs), "lang")
-        .where(F.col("df") > settings.frame * F.col("docs"))
-        .select("term")
-        .distinct()
-    )
-    candidates = sorted(r.term for r in often.toLocalIterator())
-    if not candidates:
-        return []
-    spark = bags.sparkSession
-    weights = support(bags, known, spark.createDataFrame([(x,) for x in candidates], "term string"))
-    pure = weights.groupBy("term").agg(F.max("weight").alias("most"), F.sum("weight").alias("all")).where((F.col("most") >= settings.pure * F.col("all")) & (F.col("all") >= 3))
-    keep = {r.term for r in pure.toLocalIterator()}
-    return [x for x in candidates if x not in keep]
+def _by_language(b: pd.DataFrame, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(language, places of its documents in the batch, ids, counts, starts), documents without words left out; in groups, so that a batch of any size fits."""
+    sizes = b["ids"].map(len).to_numpy()
+    for lang in range(n):
+        own = np.flatnonzero((b["lang"].to_numpy() == lang) & (sizes > 0))
+        while len(own):
+            take = max(1, int(np.searchsorted(np.cumsum(sizes[own]), 200_000)))
+            at, own = own[:take], own[take:]
+            yield lang, at, np.concatenate(b["ids"].to_numpy()[at]), np.concatenate(b["counts"].to_numpy()[at]).astype(np.float32), np.concatenate([[0], np.cumsum(sizes[at])[:-1]])
 
 
-@dataclass
-class Model:
-    """Words of subjects: log odds of each word under each subject against the words of all documents."""
+def parts_of(n_docs: int, settings: Settings) -> int:
+    """Parts that the documents are dealt into: of about ``batch`` documents, larger ones where there would be more parts than rounds."""
+    return max(1, min(settings.rounds, round(n_docs / settings.batch)))
 
-    words: dict[str, int]
-    subjects: list[int]
-    odds: np.ndarray  # (words, subjects)
-    topic_subjects: list[int | None]
-    top: list[list[str]]
 
+def rounds_of(parts: int, settings: Settings) -> int:
+    """Rounds in which each part is read as often as any other, and at least once."""
+    return parts * max(1, round(settings.rounds / parts))
 
-def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
-    """Fits the topics on all documents and gives them subjects; None if there are no labels or no usable terms.
 
-    Nothing that grows with the corpus reaches the driver: the vocabulary and the topic matrix are bounded by the settings, and so is
-    what the labels give (each term's documents of each subject). Labels beyond ``settings.labels`` documents are sampled by hash.
-    """
-    spark = docs.sparkSession
-    bags = document_terms(docs).where(F.size("terms") > 0)
-    bags = bags.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n_docs = bags.count()
-        if not n_docs:
-            return None
-        known = labels.where("doc_id is not null and subject_id is not null").select("doc_id", "subject_id").distinct()
-        n_labelled = known.select("doc_id").distinct().count()
-        if n_labelled > settings.labels:
-            known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * settings.labels / n_labelled))
-        frames = frame_terms(bags, known, settings)
-        told = StopWordsRemover(inputCol="terms", outputCol="told", stopWords=frames, caseSensitive=True, locale="en_US").transform(bags)
-        vectorizer = CountVectorizer(inputCol="told", outputCol="features", vocabSize=settings.vocabulary, minDF=float(min(settings.least_docs, n_docs)), maxDF=max(settings.most_share, 1.5 / n_docs))
-        counter = vectorizer.fit(told)
-        vocabulary = counter.vocabulary
-        if len(vocabulary) < 2:
-            return None
-        vectors = counter.transform(told).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            matrix = topics(vectors, n_docs, len(vocabulary), settings)  # words x topics
-            terms_table = spark.createDataFrame(list(enumerate(vocabulary)), "i int, term string")
-            seen = support(bags, known, terms_table).join(F.broadcast(terms_table), "term").select("subject_id", "i", "weight").toPandas()
-        finally:
-            vectors.unpersist()
-    finally:
-        bags.unpersist()
-    if seen.empty:
-        return None
-    subjects = sorted(int(x) for x in seen["subject_id"].unique())
-    place = {s: i for i, s in enumerate(subjects)}
-    weights = np.zeros((len(vocabulary), len(subjects)))
-    np.add.at(weights, (seen["i"].to_numpy(), seen["subject_id"].map(place).to_numpy()), seen["weight"].to_numpy(float))
-    return describe(matrix, vocabulary, subjects, weights, settings)
-
-
-def parts(n_docs: int, settings: Settings) -> tuple[int, int]:
-    """Parts of about a batch that the documents are dealt into, and how often each part is read: every document is read at least once at any size."""
-    n = max(1, round(n_docs / settings.batch))
-    return n, max(1, ceil(settings.rounds / n))
-
-
-def topics(vectors: DataFrame, n_docs: int, n_terms: int, settings: Settings) -> np.ndarray:
-    """(words, topics) of the online fit, whose batches are parts of all documents rather than samples of them.
-
-    The estimator draws its batches by chance, which leaves documents out of a large corpus; its optimizer takes batches as they are given.
+def fit_topics(vectors: DataFrame, vocabulary: Vocabulary, sent, parts: int, settings: Settings) -> list[np.ndarray]:
+    """Of each language, the expected counts of its words (rows) under its topics, from rounds over parts of all documents.
+
+    Nothing but sums by word comes to the driver: no more rows than the vocabulary has, which its settings bound.
     """
-    jvm = vectors.sparkSession.sparkContext._jvm
-    count, passes = parts(n_docs, settings)
-    old = getattr(getattr(jvm.org.apache.spark.ml.clustering, "LDA$"), "MODULE$").getOldDataset
-    optimizer = jvm.org.apache.spark.mllib.clustering.OnlineLDAOptimizer().setTau0(16.0).setKappa(0.6).setMiniBatchFraction(min(1.0, 1 / count)).setOptimizeDocConcentration(False)
-    lda = jvm.org.apache.spark.mllib.clustering.LDA().setK(settings.topics).setSeed(settings.seed).setDocConcentration(0.05).setTopicConcentration(0.02).setOptimizer(optimizer)
-    optimizer.initialize(old(vectors._jdf, "features"), lda)
-    part = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(count))
-    for _ in range(passes):
-        for i in range(count):
-            optimizer.submitMiniBatch(old(vectors.where(part == i)._jdf, "features"))
-    times = vectors.sparkSession.sparkContext._gateway.new_array(jvm.double, 1)
-    values = np.array(optimizer.getLDAModel(times).topicsMatrix().toArray())
-    return values.reshape(settings.topics, n_terms).T
-
-
-def describe(matrix: np.ndarray, vocabulary: list[str], subjects: list[int], weights: np.ndarray, settings: Settings) -> Model:
-    """Inspects the top terms of each topic and sums the topics of a subject."""
-    phi = matrix / matrix.sum(0, keepdims=True)
-    weight = matrix.sum(0) / matrix.sum()
-    overall = phi @ weight
-    prior = (weights.sum(0) + 1) / (weights.sum() + len(subjects))
-    share = (weights + prior) / (weights.sum(1, keepdims=True) + 1)  # of each term's labelled documents, the share of each subject
-    topic_subjects: list[int | None] = []
-    top: list[list[str]] = []
-    told = np.tile(prior, (phi.shape[1], 1))  # topics without subject tell nothing
-    for t in range(phi.shape[1]):
-        # top terms: those most of the topic's own, by how much likelier the topic makes them
-        score = phi[:, t] * np.log(np.maximum(phi[:, t], 1e-12) / np.maximum(overall, 1e-12))
-        best = np.argsort(-score)[: settings.top_terms]
-        top.append([vocabulary[i] for i in best[:12]])
-        w = np.maximum(score[best], 0)
-        points = (w[:, None] * share[best]).sum(0) / max(w.sum(), 1e-12)
-        s = int(np.argmax(points / prior))
-        if points[s] >= settings.lift * prior[s] and points[s] >= settings.clear:
-            topic_subjects.append(subjects[s])
-            told[t] = points
-        else:
-            topic_subjects.append(None)
-    # a word has the subjects of the topics it comes from, corrected by the documents it was itself seen in
-    of_topic = phi * weight
-    of_topic /= np.maximum(of_topic.sum(1, keepdims=True), 1e-300)
-    given = (weights + settings.trust * (of_topic @ told)) / (weights.sum(1, keepdims=True) + settings.trust)
-    odds = np.log(np.maximum(given, 1e-4) / prior)
-    return Model({w: i for i, w in enumerate(vocabulary)}, subjects, odds.astype(np.float32), topic_subjects, top)
-
-
-def sentence_subject(model: Model, sentence: str, margin: float) -> int | None:
-    """Place of the subject a sentence deals with, or None."""
-    at = [i for w in terms(sentence) if (i := model.words.get(w)) is not None]
-    if not at:
-        return None
-    score = model.odds[at].sum(0)
-    best = int(score.argmax())
-    return best if score[best] >= margin else None
-
-
-def document_subjects(model: Model, text: str | None, settings: Settings) -> list[tuple[int, float]]:
-    """(subject, share of the sentences) of the subjects with at least the share."""
-    if not text:
-        return []
-    starts = sentence_starts(text)
-    if not starts:
-        return []
-    counts = np.zeros(len(model.subjects))
-    for a, b in zip(starts, [*starts[1:], len(text)], strict=True):
-        if (s := sentence_subject(model, text[a:b], settings.margin)) is not None:
-            counts[s] += 1
-    return [(model.subjects[i], n / len(starts)) for i, n in enumerate(counts) if n and n / len(starts) >= settings.share - 1e-9]
+    spark = vectors.sparkSession
+    rng = np.random.default_rng(settings.seed)
+    sums = [rng.gamma(100.0, 0.01, (len(w), k)).astype(np.float32) for w, k in zip(vocabulary.words, vocabulary.topics, strict=True)]
+    n_docs = {r.lang: r.n for r in vectors.where(F.size("ids") > 0).groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    most = max(vocabulary.topics)
+    names = [f"t{i}" for i in range(most)]
+    for step in range(rounds_of(parts, settings)):
+        known = spark.sparkContext.broadcast([(s + settings.word_prior) / (s + settings.word_prior).sum(0) for s in sums])
+
+        def run(batches: Iterator[pd.DataFrame], known=known) -> Iterator[pd.DataFrame]:
+            first = sent.value.first
+            got = [np.zeros((first[i + 1] - first[i], p.shape[1]), np.float32) for i, p in enumerate(known.value)]
+            docs = np.zeros(len(got))
+            for b in batches:
+                for lang, at, ids, counts, starts in _by_language(b, len(got)):
+                    own = ids - first[lang]
+                    each, _ = proportions(own, counts, starts, known.value[lang], settings)
+                    order = np.argsort(own, kind="stable")
+                    heads = np.flatnonzero(np.diff(own[order], prepend=-1))
+                    got[lang][own[order][heads]] += np.add.reduceat(each[order], heads)
+                    docs[lang] += len(at)
+            for lang, g in enumerate(got):
+                if docs[lang]:
+                    some = np.flatnonzero(g.any(1))
+                    rows = np.zeros((len(some) + 1, most), np.float32)
+                    rows[:-1, : g.shape[1]] = g[some]
+                    rows[-1, 0] = docs[lang]  # under a word below zero, the documents
+                    yield pd.DataFrame(rows, columns=names).assign(word=np.append(some + first[lang], -1 - lang).astype(np.int32))[["word", *names]]
+
+        some = vectors.where(F.col("part") == step % parts) if parts > 1 else vectors
+        stats = some.select("lang", "ids", "counts").mapInPandas(run, "word int, " + ", ".join(f"{n} float" for n in names))
+        total = stats.groupBy("word").agg(*[F.sum(n).cast("float").alias(n) for n in names]).toArrow()
+        word = total["word"].to_numpy()
+        values = np.stack([total[n].to_numpy() for n in names], 1) if len(word) else np.zeros((0, most), np.float32)
+        rate = (settings.delay + step) ** -settings.decay if parts > 1 else 1.0
+        for lang, s in enumerate(sums):
+            if (here := values[word == -1 - lang, 0]).size:
+                own = (word >= vocabulary.first[lang]) & (word < vocabulary.first[lang + 1])
+                fresh = np.zeros_like(s)
+                fresh[word[own] - vocabulary.first[lang]] = values[own, : s.shape[1]]
+                sums[lang] = (1 - rate) * s + rate * fresh * (n_docs[lang] / here[0])
+        known.unpersist()
+    return sums
+
+
+def support(vectors: DataFrame, known: DataFrame) -> pd.DataFrame:
+    """(word, subject_id, weight): in how many labelled documents of each subject a word occurs; a document of m subjects counts 1 / m for each."""
+    per = known.groupBy("doc_id").agg(F.collect_set("subject_id").alias("subjects"))
+    one = vectors.where(F.size("ids") > 0).join(per, "doc_id").select("ids", F.explode("subjects").alias("subject_id"), F.size("subjects").alias("m"))
+    return one.select(F.explode("ids").alias("word"), "subject_id", "m").groupBy("word", "subject_id").agg(F.sum(1 / F.col("m")).alias("weight")).toPandas()
+
+
+@dataclass
+class Model:
+    """Of each language the probabilities of its words under its topics, and the place of each topic's subject (none: -1); with the top terms for inspection."""
+
+    phi: list[np.ndarray]
+    topic_subjects: list[np.ndarray]
+    subjects: list[int]
+    top: list[list[list[str]]]
+
+
+def describe(sums: list[np.ndarray], vocabulary: Vocabulary, seen: pd.DataFrame, prior: dict[int, float], settings: Settings) -> Model:
+    """Names the topics: by the share of each subject in the labelled documents of their top terms, if it is clear and well above the subject's own share."""
+    subjects = sorted(prior)
+    base = np.array([prior[s] for s in subjects]) + 1
+    base /= base.sum()
+    weights = np.zeros((len(vocabulary.terms), len(subjects)))
+    if len(seen):
+        weights[seen["word"].to_numpy(), [subjects.index(s) for s in seen["subject_id"]]] = seen["weight"].to_numpy(float)
+    shares = (weights + base) / (weights.sum(1, keepdims=True) + 1)
+    phis, named, tops = [], [], []
+    for lang, s in enumerate(sums):
+        phi = (s + settings.word_prior) / (s + settings.word_prior).sum(0)
+        overall = phi @ (s.sum(0) / max(s.sum(), 1e-30))
+        names = np.full(phi.shape[1], -1)
+        top = []
+        for t in range(phi.shape[1]):
+            score = phi[:, t] * np.log(np.maximum(phi[:, t], 1e-12) / np.maximum(overall, 1e-12))
+            best = np.argsort(-score, kind="stable")[: settings.top_terms]
+            w = np.maximum(score[best], 0)
+            points = (w[:, None] * shares[best + vocabulary.first[lang]]).sum(0) / max(w.sum(), 1e-12)
+            i = int(np.argmax(points / base))
+            if points[i] >= max(settings.lift * base[i], settings.clear):
+                names[t] = i
+            top.append([vocabulary.terms[vocabulary.first[lang] + j] for j in best[:12]])
+        phis.append(phi.astype(np.float32))
+        named.append(names)
+        tops.append(top)
+    return Model(phis, named, subjects, tops)
 
 
 def assign(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(doc_id, subject_id, share) of every document, labelled or not; a document without subject has no row.
+    """(doc_id, subject_id, share) of every document, labelled or not: the subjects with at least ``settings.share`` of its topic proportions.
 
-    Null, empty and blank texts have none. Repeated rows are judged each. Without labels there are no subjects to assign: no rows.
+    Null, empty and blank texts, and those without a word of any topic, have none. Repeated rows are judged each. Without labels there are no subjects: no
+    rows. Texts are read twice, for the counts and for the vectors, which are kept on the executors for the rounds.
     """
-    docs = spread(docs.select("doc_id", "lang", "text"))
-    schema = "doc_id bigint, subject_id bigint, share double"
-    model = fit(docs, labels, settings)
-    if model is None:
-        return docs.sparkSession.createDataFrame([], schema)
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    spark = docs.sparkSession
+    nothing = spark.createDataFrame([], "doc_id bigint, subject_id bigint, share double")
+    known = labels.where("doc_id is not null and subject_id is not null").select("doc_id", "subject_id").distinct()
+    n_labelled = known.select("doc_id").distinct().count()
+    if not n_labelled:
+        return nothing
+    if n_labelled > settings.labels:
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * settings.labels / n_labelled))
+    known = known.persist(StorageLevel.MEMORY_AND_DISK)
+    prior = {int(r.subject_id): r.n for r in known.groupBy("subject_id").agg(F.count("*").cast("double").alias("n")).collect()}
+    stated = with_language(spread(docs.select("doc_id", "lang", "text")))
+    counts = document_counts(stated).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = counts.where("term = ''").select("lang", F.col("n").alias("docs"))
+    often = F.greatest(F.lit(settings.least_docs), settings.least_share * F.col("docs"))
+    vocabulary = Vocabulary(counts.join(F.broadcast(sizes), "lang").where((F.col("term") == "") | (F.col("n") >= often)).select("lang", "term", "n").toPandas(), settings)
+    n_docs = sizes.agg(F.sum("docs").alias("n")).head().n or 0
+    counts.unpersist()
+    if not vocabulary.langs:
+        return nothing
+    sent = spark.sparkContext.broadcast(vocabulary)
+    parts = parts_of(n_docs, settings)
+    vectors = document_vectors(stated, sent, settings, parts).persist(StorageLevel.MEMORY_AND_DISK)
+    sums = fit_topics(vectors, vocabulary, sent, parts, settings)
+    model = spark.sparkContext.broadcast(describe(sums, vocabulary, support(vectors, known), prior, settings))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m, first = model.value, sent.value.first
         for b in batches:
-            rows = [(k, s, share) for k, t in zip(b["doc_id"], b["text"], strict=True) for s, share in document_subjects(known.value, t, settings)]
-            yield pd.DataFrame(rows, columns=["doc_id", "subject_id", "share"])
-
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+            ids_, out = b["doc_id"].to_numpy(), []
+            for lang, at, ids, counts_, starts in _by_language(b, len(m.phi)):
+                _, theta = proportions(ids - first[lang], counts_, starts, m.phi[lang], settings)
+                share = np.zeros((len(at), len(m.subjects)))
+                for t, s in enumerate(m.topic_subjects[lang]):
+                    if s >= 0:
+                        share[:, s] += theta[:, t]
+                d, s = np.nonzero(share >= settings.share)
+                out.append(pd.DataFrame({"doc_id": ids_[at[d]], "subject_id": np.array(m.subjects)[s], "share": share[d, s]}))
+            yield pd.concat(out) if out else pd.DataFrame({"doc_id": [], "subject_id": [], "share": []})
+
+    return vectors.select("doc_id", "lang", "ids", "counts").mapInPandas(run, "doc_id bigint, subject_id bigint, share double")
 
 
 def unlabelled(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -5,10 +5,9 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.ml.linalg import Vectors
 
 from ferrograph.llm import encoding, leaks
-from ferrograph.llm.subjects import Settings, assign, composition, parts, terms, topics, unlabelled
+from ferrograph.llm.subjects import Settings, Vocabulary, assign, composition, parts_of, proportions, rounds_of, terms, unlabelled
 from ferrograph.llm.transducer import Transducer, build
 
 RANKS = Path(encoding.TOKENIZERS) / "byte_bpe_50k.tiktoken"
@@ -123,7 +122,7 @@ def test_subjects(spark):
     docs, labels, truth = subject_corpus()
     d = spark.createDataFrame([(*r, 1) for r in docs], "doc_id bigint, text string, lang string, subject_id int")
     lab = spark.createDataFrame(labels, "doc_id bigint, subject_id bigint, annotator string, labelled_at timestamp")
-    s = Settings(topics=6, rounds=15, most_share=0.9, margin=0.7)
+    s = Settings(topics=6, rounds=15, most_share=0.9)
     got: dict = {}
     for r in assign(d, lab, s).collect():
         got.setdefault(r.doc_id, set()).add(r.subject_id)
@@ -138,13 +137,24 @@ def test_terms():
     assert terms("Ｔhe GUN-7 守住山口") == ["the", "gun", "守住", "住山", "山口"] and terms("") == []
 
 
-@pytest.mark.parametrize("n_docs", [1, 4_000, 10_000, 100_000, 1_000_000])
-def test_every_document_is_read(n_docs):
-    n, passes = parts(n_docs, Settings())
-    assert n * passes >= 30 and n_docs / n <= 1.5 * Settings.batch and passes >= 1
+@pytest.mark.parametrize("n_docs", [0, 1, 4_000, 10_000, 100_000, 1_000_000, 10**10])
+def test_every_part_is_read_equally_often(n_docs):
+    n = parts_of(n_docs, Settings())
+    rounds = rounds_of(n, Settings())
+    assert rounds % n == 0 and n <= rounds <= 45
 
 
-def test_batches_of_the_fit_hold_all_documents(spark):
-    vectors = spark.createDataFrame([(i, Vectors.sparse(50, [i], [30.0])) for i in range(50)], ["doc_id", "features"])
-    matrix = topics(vectors, 50, 50, Settings(topics=4, rounds=1, batch=5))
-    assert matrix.shape == (50, 4) and (matrix.sum(1) > 1).all()
+def test_proportions_follow_the_words():
+    phi = np.array([[0.8, 0.05], [0.15, 0.05], [0.05, 0.9]], np.float32)
+    each, theta = proportions(np.array([0, 1, 2, 0, 2]), np.array([3, 1, 4, 1, 1], np.float32), np.array([0, 2, 3]), phi, Settings())
+    assert theta.shape == (3, 2) and theta[0, 0] > 0.9 and theta[1, 1] > 0.95 and 0.2 < theta[2, 0] < 0.8
+    assert np.allclose(each.sum(1), [3, 1, 4, 1, 1], atol=1e-4)
+
+
+def test_terms_tell_the_language():
+    import pandas as pd
+
+    rows = [(x, "", 30) for x in ("aa", "bb")] + [(x, f"{x}w{i}", 20) for x in ("aa", "bb") for i in range(40)] + [("cc", "", 3), ("cc", "rare", 3)]
+    v = Vocabulary(pd.DataFrame(rows, columns=["lang", "term", "n"]), Settings())
+    assert v.langs == ["aa", "bb"] and v.topics == [13, 13]
+    assert v.language({"bbw1": 1, "bbw2": 1, "aaw1": 1}, "aa") == 1 and v.language({"x": 1}, "bb") == 1 and v.language({"x": 1}, "") is None
