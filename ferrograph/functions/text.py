@@ -8,7 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from . import vocab
 
@@ -58,12 +58,60 @@ def identity(c: Column) -> Column:
     return _identity_any(c)
 
 
+@F.pandas_udf(StringType())
+def _folded_any(s: pd.Series) -> pd.Series:
+    return _each(s, str.casefold)
+
+
+def case_fold(c: Column) -> Column:
+    """Full case folding alone, without canonicalization."""
+    return _folded_any(c)
+
+
+@F.pandas_udf(ArrayType(StructType([StructField(x, StringType()) for x in ("canonical", "identity", "folded")])))
+def _forms_any(s: pd.Series) -> pd.Series:
+    seen: dict = {None: None}
+
+    def one(v):
+        if v not in seen:
+            seen[v] = {"canonical": (c := canonical_text(v)), "identity": c.casefold(), "folded": v.casefold()}
+        return seen[v]
+
+    return pd.Series([None if a is None else [one(v) for v in a] for a in s], dtype=object)
+
+
+def text_forms(c: Column) -> Column:
+    """Of each text of a list its canonical form, identity and case fold; nulls stay null."""
+    return _forms_any(c)
+
+
+def least_spellings(values) -> list[str]:
+    """Of each identity the least spelling, in sort order; nulls fall away."""
+    least: dict[str, str] = {}
+    for v in values:
+        if v is not None:
+            k = identity_text(v)
+            least[k] = min(least.get(k, v), v)
+    return [v for _, v in sorted(least.items())]
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _least_any(s: pd.Series) -> pd.Series:
+    return pd.Series([None if a is None else least_spellings(a) for a in s], dtype=object)
+
+
+def sorted_unique_strings(c: Column) -> Column:
+    """A list's different texts by identity, the least spelling of each, in sort order; null stays null. Folded inside the row."""
+    return _least_any(c)
+
+
 def ascii_identity(c: Column) -> Column:
     """The same for columns known to be ASCII, inside code generation."""
     return F.lower(F.trim(F.regexp_replace(c, r"[\t-\r ]+", " ")))
 
 
 def sort_key(c: Column) -> Column:
+    """What records and lists are ordered by: the identity, then the text itself."""
     return F.struct(identity(c).alias("identity"), c.alias("value"))
 
 
@@ -78,7 +126,8 @@ def lookup(c: Column, table: dict) -> Column:
 
 
 def wiki_title(c: Column) -> Column:
-    return ascii_identity(F.replace(c, F.lit("_"), F.lit(" ")))
+    """Identity of a title, in which underscores are blanks."""
+    return identity(F.replace(c, F.lit("_"), F.lit(" ")))
 
 
 def category_leaf(c: Column) -> Column:
@@ -94,12 +143,12 @@ def subclass(c: Column) -> Column:
 
 
 def nation(c: Column) -> Column:
-    return lookup(ascii_identity(c), {a: n for n, all_ in vocab.NATION_ALIASES.items() for a in all_.split("|")})
+    return lookup(identity(c), vocab.NATION_ALIASES)
 
 
 def nation_from_category(c: Column) -> Column:
     leaf = category_leaf(c)
-    return F.coalesce(nation(leaf), nation(F.regexp_replace(leaf, " tanks?$", "")))
+    return F.coalesce(lookup(leaf, vocab.NATION_ALIASES), lookup(F.regexp_replace(leaf, " tanks?$", ""), vocab.NATION_ALIASES))
 
 
 def tier_from_category(c: Column) -> Column:
@@ -120,8 +169,8 @@ def tank_suffix(c: Column) -> Column:
 
 
 def normalize_statement(c: Column) -> Column:
-    """A statement without citation marks and bullets, single spaced."""
-    plain = F.regexp_replace(c, r"(?i)\s*(\[(\d+|citation needed)\]|\(\s*source\s*\))\s*", " ")
+    """A statement in canonical form, without citation marks and bullets."""
+    plain = F.regexp_replace(canonical(c), r"(?i)\s*(\[(\d+|citation needed)\]|\(\s*source\s*\))\s*", " ")
     spaced = F.trim(F.regexp_replace(plain, r"[\t-\r \x{85}\x{a0}\x{2000}-\x{200a}\x{3000}]+", " "))
     return F.regexp_replace(spaced, "^[•*\\- ]+|[• ]+$", "")
 

@@ -9,22 +9,25 @@ CLASS_ALIASES = {
     "tank destroyer": "Tank Destroyers", "tank destroyers": "Tank Destroyers", "td": "Tank Destroyers", "ttd": "Tank Destroyers", "at-spg": "Tank Destroyers", "atspg": "Tank Destroyers",
     "spg": "SPGs", "spgs": "SPGs", "artillery": "SPGs", "self-propelled gun": "SPGs", "self-propelled guns": "SPGs",
 }
+# Subclasses, and categories that only organize others.
 SUBCLASS_ALIASES = {"autoloader": "Autoloaders", "autoloaders": "Autoloaders"}
 ORGANIZATIONAL = ["tanks", "tanks by nation", "tanks by tier", "tanks by type", "premium tanks", "removed tanks", "tanktree", "unintroduced tanks", "upcoming tanks"]
-# Nations.
+# Nations and what they are also called.
+NATIONS = ["USSR", "Germany", "USA", "France", "UK", "China", "Japan", "Czechoslovakia", "Sweden", "Poland", "Italy"]
 NATION_ALIASES = {
-    "USSR": "ussr|u.s.s.r|u.s.s.r.|soviet|soviet union|russia|russian",
-    "Germany": "germany|german",
-    "USA": "usa|u.s.a|u.s.a.|us|u.s.|united states|united states of america|america|american",
-    "France": "france|french",
-    "UK": "uk|u.k|u.k.|united kingdom|great britain|britain|british",
-    "China": "china|chinese|prc|p.r.c.",
-    "Japan": "japan|japanese",
-    "Czechoslovakia": "czechoslovakia|czechoslovak|czech|czech republic",
-    "Sweden": "sweden|swedish",
-    "Poland": "poland|polish",
-    "Italy": "italy|italian",
-}
+    "ussr": "USSR", "u.s.s.r": "USSR", "u.s.s.r.": "USSR", "soviet": "USSR", "soviet union": "USSR", "russia": "USSR", "russian": "USSR",
+    "germany": "Germany", "german": "Germany",
+    "usa": "USA", "u.s.a": "USA", "u.s.a.": "USA", "us": "USA", "u.s.": "USA", "united states": "USA", "united states of america": "USA", "america": "USA", "american": "USA",
+    "france": "France", "french": "France",
+    "uk": "UK", "u.k": "UK", "u.k.": "UK", "united kingdom": "UK", "great britain": "UK", "britain": "UK", "british": "UK",
+    "china": "China", "chinese": "China", "prc": "China", "p.r.c.": "China",
+    "japan": "Japan", "japanese": "Japan",
+    "czechoslovakia": "Czechoslovakia", "czechoslovak": "Czechoslovakia", "czech": "Czechoslovakia", "czech republic": "Czechoslovakia",
+    "sweden": "Sweden", "swedish": "Sweden",
+    "poland": "Poland", "polish": "Poland",
+    "italy": "Italy", "italian": "Italy",
+}
+# Tiers in Roman numerals.
 ROMAN_TIERS = {"i": 1, "ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6, "vii": 7, "viii": 8, "ix": 9, "x": 10}
 # Dashes that count as a hyphen.
 HYPHENS = "֊־᐀᠆‐‑‒–—―−⸗⸚⸺⸻⹀〜〰゠︱︲﹘﹣－"
@@ -35,8 +38,10 @@ CONCEPT_ALIASES = {
     "view range": "view range", "view-range": "view range", "vision range": "view range",
     "long range sniping": "sniping", "long-range sniping": "sniping", "snipe": "sniping", "sniping": "sniping",
 }
+# Terms that are no keywords by themselves.
 GENERIC_TERMS = ["battle", "game", "guide", "player", "tank", "thing", "vehicle", "world"]
 STOP_WORDS = "a an and at be by for from in into is it of on or that the their this to with your".split()
+# Nouns of tactics.
 TACTICAL_NOUNS = """
 accuracy aim ambush armor camouflage concealment cover damage equipment flank gun hull mobility position reload repair
 retreat scout shell shoot sidescraping snipe sniping spot survival target terrain track vision
@@ -69,6 +74,7 @@ ACCESS_DOCUMENT = (
     "access denied|account login|log in to continue|sign in to continue|verify (?:that )?you are human|captcha|security challenge|"
     "request blocked|error\\s+(?:403|404|500|502|503)|page not found"
 )
+# Where a guide's content stands, what stands around it, and parameters of addresses that only track.
 CONTENT_ROOTS = ["main", "article", ".article-content", ".article_content", ".content-guide", ".guide-content"]
 BOILERPLATE_TAGS = ["nav", "footer", "header", "script", "style", "form", "dialog"]
 BOILERPLATE_NAMES = ["cookie", "share", "sharing", "breadcrumb", "recommend", "related"]
@@ -82,3 +88,8 @@ INFOBOX_FIELDS = {
     "nation": ["nation", "country"],
     "tier": ["tier", "level"],
 }
+# Fields of infoboxes that hold sections, and the category of unfinished pages.
+INFOBOX_SECTIONS = {"Performance": ["inthegame performance", "in the game performance"], "Tactics": ["inthegame tactics", "in the game tactics"]}
+MAINTENANCE = "tank articles requiring maintenance"
+# Labels of entities that are no concepts.
+EXCLUDED_ENTITIES = ["CARDINAL", "DATE", "MONEY", "ORDINAL", "PERCENT", "PERSON", "QUANTITY", "TIME"]

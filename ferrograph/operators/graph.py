@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
@@ -36,9 +38,21 @@ class Budgets:
 
 @dataclass(frozen=True)
 class Graph:
+    """Nodes, and edges held by type so that a traversal reads one type only."""
+
     nodes: DataFrame
-    edges: DataFrame
-    records: DataFrame
+    by_type: dict[str, DataFrame]
+
+    @property
+    def edges(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.by_type.values())
+
+    def of(self, etype: str) -> DataFrame:
+        return self.by_type[etype]
+
+    def unpersist(self) -> None:
+        for df in (self.nodes, *self.by_type.values()):
+            df.unpersist()
 
 
 def _edge(src_kind: str, src: Column, etype: str, dst_kind: str, dst: Column) -> Column:
@@ -134,33 +148,77 @@ def primary_class_counts(edges: DataFrame) -> DataFrame:
     return edges.where("etype = 'IsAClassOf'").groupBy(F.col("src").alias("name")).agg(F.count_if(F.col("dst").isin(vocab.PRIMARY_CLASSES)).alias("primaries"))
 
 
-def invariant_breaks(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(rule, subject): everything wrong with a graph; no rows for a sound one."""
-    legal = F.lit(False)
-    for etype, (a, b) in LEGAL.items():
-        legal = legal | ((F.col("etype") == etype) & (F.col("src_kind") == a) & (F.col("dst_kind") == b))
-    text = F.concat_ws(" -> ", "src", "etype", "dst")
-    illegal = edges.where(~F.coalesce(legal, F.lit(False))).select(F.lit("illegal edge").alias("rule"), text.alias("subject"))
-    twice = edges.groupBy("src_kind", "src", "etype", "dst_kind", "dst").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("repeated edge"), text)
-    double = nodes.groupBy("kind", "label").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("repeated node"), F.concat_ws(":", "kind", "label"))
-    ends = edges.select(F.explode(F.array(F.struct(F.col("src_kind").alias("kind"), F.col("src").alias("label")), F.struct(F.col("dst_kind").alias("kind"), F.col("dst").alias("label")))).alias("e")).select("e.*").distinct()
-    lost = ends.join(nodes.select("kind", "label"), ["kind", "label"], "left_anti").select(F.lit("edge without node"), F.concat_ws(":", "kind", "label"))
-    classes = primary_class_counts(edges).where("primaries != 1").select(F.lit("not one primary class"), "name")
-    alone = orphans(nodes, edges).select(F.lit("orphan"), F.concat_ws(":", "kind", "label"))
-    return illegal.unionAll(twice).unionAll(double).unionAll(lost).unionAll(classes).unionAll(alone)
+def invariant_breaks(nodes: DataFrame, edges: DataFrame, budgets: Budgets = Budgets()) -> DataFrame:
+    """(rule, subject): everything wrong with a graph; no rows for a sound one. Each rule is an aggregate or an anti join of its own."""
+    kinds = ["Tank", "Class", "Strategy", "Keyword"]
+    legal = reduce(lambda a, b: a | b, [(F.col("etype") == t) & (F.col("src_kind") == x) & (F.col("dst_kind") == y) for t, (x, y) in LEGAL.items()])
+    arrow, place = F.concat_ws(" -> ", "src", "etype", "dst"), F.concat_ws(":", "kind", "label")
+    told = lambda df, rule, subject: df.select(F.lit(rule).alias("rule"), subject.alias("subject"))
+    end = lambda side: edges.select(F.col(f"{side}_kind").alias("kind"), F.col(side).alias("label")).distinct().join(nodes, ["kind", "label"], "left_anti")
+    into = lambda kind, etype: nodes.where(F.col("kind") == kind).join(edges.where(F.col("etype") == etype).select(F.col("dst").alias("label")), "label", "left_anti")
+    tanks = nodes.where("kind = 'Tank'").select(F.col("label").alias("name")).distinct()
+    primaries = tanks.join(primary_class_counts(edges), "name", "left").where(F.coalesce("primaries", F.lit(0)) != 1)
+    number = lambda df: df.agg(F.count("*").alias("n"))
+    parts = [
+        told(nodes.where(~F.coalesce(F.col("kind").isin(kinds), F.lit(False)) | F.col("label").isNull()), "node of no kind", F.coalesce(place, F.lit(""))),
+        told(nodes.groupBy("kind", "label").agg(F.count("*").alias("n")).where("n > 1"), "repeated node", place),
+        told(edges.groupBy("src_kind", "src", "etype", "dst_kind", "dst").agg(F.count("*").alias("n")).where("n > 1"), "repeated edge", arrow),
+        told(end("src"), "edge without source", place),
+        told(end("dst"), "edge without target", place),
+        told(edges.where(~F.coalesce(legal, F.lit(False))), "illegal edge", arrow),
+        told(edges.where((F.col("etype") == "IsSubclassOf") & F.col("src").isin(vocab.PRIMARY_CLASSES)), "subclass is a primary class", arrow),
+        told(primaries, "not one primary class", F.col("name")),
+        told(into("Strategy", "RecommendedTactic"), "strategy of no vehicle", F.col("label")),
+        told(into("Keyword", "AssociatedWithKeyword"), "keyword of no strategy", F.col("label")),
+        told(lookup_collisions(nodes), "labels look up alike", F.concat_ws(":", "kind", "identity")),
+        told(number(nodes).where(F.col("n") > budgets.nodes), "node budget", F.col("n").cast("string")),
+        told(number(edges).where(F.col("n") > budgets.edges), "edge budget", F.col("n").cast("string")),
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def typed_edges(records: DataFrame) -> dict[str, DataFrame]:
+    """Distinct edges of each type."""
+    all_ = graph_edges(records)
+    return {t: all_.where(F.col("etype") == t) for t in LEGAL}
 
 
 def build_graph(records: DataFrame, budgets: Budgets = Budgets(), check: bool = True) -> Graph:
-    """The graph of valid records, or a GraphError; budgets are checked on estimates before any edge is made."""
+    """The graph of valid records, made and kept on the executors, or a GraphError.
+
+    Budgets are checked on estimates before any edge is made, and on the nodes and edges there are afterwards; then lookups and invariants. Edges of a type lie sorted by
+    target, so that a lookup skips the cached blocks that can't hold it.
+    """
     if check and (breach := budget_breach(records, budgets).head()):
         which = "node" if breach.which == "nodes" else "relationship"
         raise GraphError(f"{which}_budget_exceeded", f"{breach.running} {breach.which} at {breach.name}", record=breach.name, running=breach.running)
-    graph = Graph(graph_nodes(records), graph_edges(records), records)
-    if check and (bad := lookup_collisions(graph.nodes).head()):
-        raise GraphError("lookup_key_collision", f"{bad.kind} labels {list(bad.labels)} look up alike", labels=list(bad.labels))
+    kept = lambda df, *by: df.sortWithinPartitions(*by).persist(StorageLevel.MEMORY_AND_DISK)
+    graph = Graph(kept(graph_nodes(records), "kind", "label"), {t: kept(e, "dst") for t, e in typed_edges(records).items()})
+    n_nodes, n_edges = graph.nodes.count(), sum(e.count() for e in graph.by_type.values())
+    if check:
+        for n, most, which in ((n_nodes, budgets.nodes, "node"), (n_edges, budgets.edges, "edge")):
+            if n > most:
+                raise GraphError(f"{which}_budget_exceeded", f"{n} {which}s, {most} are allowed", running=n)
+        if bad := lookup_collisions(graph.nodes).head():
+            raise GraphError("lookup_key_collision", f"{bad.kind} labels {list(bad.labels)} look up alike", labels=list(bad.labels))
     return graph
 
 
-def write_edges(edges: DataFrame, to: str) -> None:
-    """Edges by type, so that a query reads one type's files."""
-    edges.write.mode("overwrite").partitionBy("etype").parquet(to)
+def validated(graph: Graph, budgets: Budgets = Budgets()) -> Graph:
+    """The graph, or a GraphError that names a broken invariant."""
+    if bad := invariant_breaks(graph.nodes, graph.edges, budgets).head():
+        raise GraphError("invariant_failure", f"{bad.rule}: {bad.subject}", rule=bad.rule)
+    return graph
+
+
+def write_graph(graph: Graph, to: str) -> None:
+    """Nodes by kind and edges by type, sorted by target, so that a query reads one type's files and skips their row groups."""
+    graph.nodes.sortWithinPartitions("label").write.mode("overwrite").partitionBy("kind").parquet(f"{to}/nodes")
+    edges = graph.edges
+    edges.repartitionByRange("etype", "dst").sortWithinPartitions("etype", "dst").write.mode("overwrite").partitionBy("etype").parquet(f"{to}/edges")
+
+
+def read_graph(spark: SparkSession, path: str) -> Graph:
+    """A graph that was written; nothing is read before a query asks."""
+    edges = spark.read.parquet(f"{path}/edges").select("src_kind", "src", "etype", "dst_kind", "dst")
+    return Graph(spark.read.parquet(f"{path}/nodes"), {t: edges.where(F.col("etype") == t) for t in LEGAL})

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import identity, identity_text
+from .graph import Graph
 
 RESULT = ["name", "display_name", "nation", "tier", "matched_strategies"]
 
@@ -25,72 +26,69 @@ def result_order(df: DataFrame) -> DataFrame:
     return df.orderBy(identity(F.col("display_name")), "display_name", identity(F.col("name")), "name", "nation", "tier")
 
 
-def labels(records: DataFrame, kind: str) -> DataFrame:
+def labels(graph: Graph, kind: str) -> DataFrame:
     """(label, identity) of the classes or keywords of the graph."""
-    if kind == "class":
-        found = records.select(F.explode(F.concat(F.array("class"), "subclasses")).alias("label"))
-    else:
-        found = records.where(F.size("strategies") > 0).select(F.explode("keywords").alias("label"))
-    return found.where("label is not null").distinct().withColumn("identity", identity(F.col("label")))
+    return graph.nodes.where(F.col("kind") == {"class": "Class", "keyword": "Keyword"}[kind]).select("label", identity(F.col("label")).alias("identity"))
 
 
-def available(records: DataFrame, kind: str, most: int = 16) -> DataFrame:
+def available(graph: Graph, kind: str, most: int = 16) -> DataFrame:
     """The first labels in sort order: a top-k."""
-    return labels(records, kind).orderBy("identity", "label").limit(most).select("label")
+    return labels(graph, kind).orderBy("identity", "label").limit(most).select("label")
 
 
-def require(records: DataFrame, kind: str, value: str) -> list[str]:
+def require(graph: Graph, kind: str, value: str) -> list[str]:
     """The labels that a value looks up, or ValueNotFound. A value that exists but matches no vehicle is no error."""
     key = identity_text(value)
-    hit = [r.label for r in labels(records, kind).where(F.col("identity") == key).limit(2).collect()]
+    hit = [r.label for r in labels(graph, kind).where(F.col("identity") == key).limit(2).collect()]
     if not hit:
-        raise ValueNotFound(kind, value, [r.label for r in available(records, kind).collect()])
+        raise ValueNotFound(kind, value, [r.label for r in available(graph, kind).collect()])
     return hit
 
 
-def members_of(records: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(class, name, display_name, nation, tier): the vehicles directly in each wanted ``class``; classes above or below don't count.
+def _tanks(graph: Graph) -> DataFrame:
+    return graph.nodes.where("kind = 'Tank'").select(F.col("label").alias("name"), "display_name", "nation", "tier")
 
-    A vehicle's classes are unfolded in its row; the wanted classes, a stated query set, are joined by label.
+
+def members_of(graph: Graph, wanted: list[str]) -> DataFrame:
+    """(class, name, display_name, nation, tier): the vehicles directly in each wanted class; classes above or below don't count.
+
+    Only edges of one type are read, with the wanted classes as a filter that reaches the scan.
     """
-    unfolded = records.select("name", "display_name", "nation", "tier", F.explode(F.array_distinct(F.concat(F.array("class"), "subclasses"))).alias("class"))
-    return wanted.select("class").where("class is not null").distinct().join(unfolded, "class").select("class", "name", "display_name", "nation", "tier")
+    into = graph.of("IsAClassOf").where(F.col("dst").isin(wanted)).select(F.col("dst").alias("class"), F.col("src").alias("name"))
+    return into.join(_tanks(graph), "name").select("class", "name", "display_name", "nation", "tier")
 
 
-def tanks_for(records: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(keyword, name, display_name, nation, tier, matched_strategies): vehicles recommended a strategy that is associated with the keyword.
+def hops(graph: Graph, wanted: list[str]) -> DataFrame:
+    """(keyword, name, strategy) on the ways from a wanted keyword back to a vehicle.
 
-    A strategy has the keywords of every record that uses it, so a vehicle is found whose own record lacks the keyword. The pairs
-    of strategy and keyword are made for wanted keywords only, and each once, before they meet the recommendations; AQE splits a strategy
-    that many vehicles share.
+    A strategy has the keywords of every record that uses it, so a vehicle is found whose own record lacks the keyword. The wanted
+    keywords filter the scan of their edges; AQE splits a strategy that many vehicles share.
     """
-    keys = wanted.select("keyword").where("keyword is not null").distinct()
-    used = records.where((F.size("strategies") > 0) & (F.size("keywords") > 0)).select("strategies", F.explode("keywords").alias("keyword"))
-    associated = used.join(keys, "keyword").select("keyword", F.explode("strategies").alias("strategy")).distinct()
-    recommended = records.select("name", F.explode("strategies").alias("strategy"))
-    matched = associated.join(recommended, "strategy").groupBy("keyword", "name").agg(F.collect_set("strategy").alias("s"))
-    return matched.join(records.select("name", "display_name", "nation", "tier"), "name").select("keyword", "name", "display_name", "nation", "tier", F.array_sort("s").alias("matched_strategies"))
+    associated = graph.of("AssociatedWithKeyword").where(F.col("dst").isin(wanted)).select(F.col("dst").alias("keyword"), F.col("src").alias("strategy"))
+    recommended = graph.of("RecommendedTactic").select(F.col("src").alias("name"), F.col("dst").alias("strategy"))
+    return associated.join(recommended, "strategy").select("keyword", "name", "strategy")
+
+
+def tanks_for(graph: Graph, wanted: list[str]) -> DataFrame:
+    """(keyword, name, display_name, nation, tier, matched_strategies): vehicles recommended a strategy that is associated with the keyword; strategies in the order of their text."""
+    matched = hops(graph, wanted).groupBy("keyword", "name").agg(F.array_sort(F.collect_set("strategy")).alias("matched_strategies"))
+    return matched.join(_tanks(graph), "name").select("keyword", "name", "display_name", "nation", "tier", "matched_strategies")
 
 
-def query_class(records: DataFrame, value: str) -> DataFrame:
+def query_class(graph: Graph, value: str) -> DataFrame:
     """Ordered result of one class query, with empty matched_strategies."""
-    spark = records.sparkSession
-    wanted = spark.createDataFrame([(x,) for x in require(records, "class", value)], "class string")
-    found = members_of(records, wanted).select("name", "display_name", "nation", "tier").distinct()
+    found = members_of(graph, require(graph, "class", value)).select("name", "display_name", "nation", "tier").distinct()
     return result_order(found.withColumn("matched_strategies", F.array().cast("array<string>")))
 
 
-def query_keyword(records: DataFrame, value: str) -> DataFrame:
-    """Ordered result of one keyword query; strategies in sort order."""
-    spark = records.sparkSession
-    wanted = spark.createDataFrame([(x,) for x in require(records, "keyword", value)], "keyword string")
-    found = tanks_for(records, wanted).groupBy("name", "display_name", "nation", "tier").agg(F.flatten(F.collect_list("matched_strategies")).alias("m"))
-    spelled = found.select("name", "display_name", "nation", "tier", F.explode(F.array_distinct("m")).alias("s")).withColumn("key", identity(F.col("s")))
-    grouped = spelled.groupBy("name", "display_name", "nation", "tier").agg(F.array_sort(F.collect_list(F.struct("key", "s"))).alias("m"))
-    return result_order(grouped.select("name", "display_name", "nation", "tier", F.transform("m", lambda x: x["s"]).alias("matched_strategies")))
+def query_keyword(graph: Graph, value: str) -> DataFrame:
+    """Ordered result of one keyword query; strategies in sort order, each spelling once."""
+    found = hops(graph, require(graph, "keyword", value)).select("name", "strategy").distinct()
+    grouped = found.withColumn("key", identity(F.col("strategy"))).groupBy("name").agg(F.array_sort(F.collect_list(F.struct("key", "strategy"))).alias("m"))
+    return result_order(grouped.join(_tanks(graph), "name").select("name", "display_name", "nation", "tier", F.transform("m", lambda x: x["strategy"]).alias("matched_strategies")))
 
 
-def not_own(records: DataFrame, wanted: DataFrame) -> DataFrame:
+def not_own(graph: Graph, wanted: list[str], records: DataFrame) -> DataFrame:
     """(keyword, name): vehicles found for a keyword that their own record doesn't have."""
     own = records.select("name", F.explode("keywords").alias("keyword"))
-    return tanks_for(records, wanted).select("keyword", "name").join(own, ["keyword", "name"], "left_anti")
+    return hops(graph, wanted).select("keyword", "name").distinct().join(own, ["keyword", "name"], "left_anti")

@@ -7,16 +7,29 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..operators import assemble, graph, query, records
 from ..sources import read_table
+from .unicode_sql import SPACES, identity_ctes
 
 WANTED_KEYWORDS = ["sidescraping", "hull-down", "weak spot", "view range"]
 COLUMNS = ["row_id", "name", "display_name", "class", "subclasses", "nation", "tier", "strategies", "keywords", "extracted_at", "loaded_at"]
 BUDGETS = graph.Budgets(nodes=1_000, relationships=2_000)
+INVARIANT_BUDGETS = graph.Budgets(nodes=1_500, edges=4_000)
 
 
 def _records(spark, sf_dir):
     return records.latest_records(read_table(spark, sf_dir, "tanks_data", *COLUMNS))
 
 
+_GRAPHS: dict = {}
+
+
+def _graph(spark, sf_dir):
+    """The graph of a directory, built once a session and kept on the executors for all queries over it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GRAPHS:
+        _GRAPHS[key] = graph.build_graph(_records(spark, sf_dir), check=False)
+    return _GRAPHS[key]
+
+
 def _join(df, *cols):
     """Lists as text, for comparison."""
     for c in cols:
@@ -77,8 +90,8 @@ def lookup_collisions(spark, sf_dir):
 
 
 def invariant_breaks(spark, sf_dir):
-    r = _records(spark, sf_dir)
-    return graph.invariant_breaks(graph.graph_nodes(r), graph.graph_edges(r))
+    g = _graph(spark, sf_dir)
+    return graph.invariant_breaks(g.nodes, g.edges, INVARIANT_BUDGETS)
 
 
 def primary_class_cardinality(spark, sf_dir):
@@ -91,32 +104,27 @@ def orphan_nodes(spark, sf_dir):
 
 
 def class_members(spark, sf_dir):
-    wanted = spark.createDataFrame([("Heavy Tanks",)], "class string")
-    return query.members_of(_records(spark, sf_dir), wanted).drop("class")
+    return query.members_of(_graph(spark, sf_dir), ["Heavy Tanks"]).drop("class")
 
 
 def class_members_batch(spark, sf_dir):
-    wanted = spark.createDataFrame([(x,) for x in vocab.PRIMARY_CLASSES], "class string")
-    return query.members_of(_records(spark, sf_dir), wanted)
+    return query.members_of(_graph(spark, sf_dir), vocab.PRIMARY_CLASSES)
 
 
 def keyword_two_hop(spark, sf_dir):
-    wanted = spark.createDataFrame([("sidescraping",)], "keyword string")
-    return _join(query.tanks_for(_records(spark, sf_dir), wanted), "matched_strategies").drop("keyword")
+    return _join(query.tanks_for(_graph(spark, sf_dir), ["sidescraping"]), "matched_strategies").drop("keyword")
 
 
 def keyword_batch(spark, sf_dir):
-    wanted = spark.createDataFrame([(x,) for x in WANTED_KEYWORDS], "keyword string")
-    return _join(query.tanks_for(_records(spark, sf_dir), wanted), "matched_strategies")
+    return _join(query.tanks_for(_graph(spark, sf_dir), WANTED_KEYWORDS), "matched_strategies")
 
 
 def keyword_not_own_record(spark, sf_dir):
-    wanted = spark.createDataFrame([(x,) for x in WANTED_KEYWORDS], "keyword string")
-    return query.not_own(_records(spark, sf_dir), wanted)
+    return query.not_own(_graph(spark, sf_dir), WANTED_KEYWORDS, _records(spark, sf_dir))
 
 
 def available_classes_top16(spark, sf_dir):
-    return query.available(_records(spark, sf_dir), "class")
+    return query.available(_graph(spark, sf_dir), "class")
 
 
 def duplicate_names(spark, sf_dir):
@@ -178,16 +186,22 @@ two AS (SELECT keyword, r.name, r.display_name, r.nation, r.tier, string_agg(str
 )
 
 
-def _rules(field: str, v: str, most: int, keyword: bool = False) -> list[tuple[str, str]]:
+_ROW_TEXTS = " UNION ALL ".join(f"SELECT {x} AS v FROM tanks_data" for x in ("display_name", "nation", "unnest(subclasses)", "unnest(strategies)", "unnest(keywords)"))
+_NAMES = "SELECT name AS v FROM tanks_data"
+
+
+def _rules(v: str, most: int, keyword: bool = False) -> list[tuple[str, int, str]]:
+    blank = f"NOT regexp_matches({v}, '[^{SPACES[1:-1]}]')"
     out = [
-        (f"NOT regexp_matches({v}, '[^ \\t\\r\\n]')", "is blank"),
-        (f"regexp_matches({v}, '(^[ \\t\\r\\n])|([ \\t\\r\\n]$)') AND regexp_matches({v}, '[^ \\t\\r\\n]')", "has outer spaces"),
-        (f"length({v}) > {most}", f"is longer than {most}"),
-        (rf"regexp_matches({v}, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{{9f}}]')", "has control characters"),
-        (rf"regexp_matches({v}, '`|\[\[|\]\]|\{{\{{|\}}\}}|<[A-Za-z/!?]')", "has markup"),
+        (blank, 1, "is blank"),
+        (f"regexp_matches({v}, '(^{SPACES})|({SPACES}$)') AND NOT ({blank})", 2, "has outer spaces"),
+        (f"{v} != t.canonical", 3, "is not in canonical form"),
+        (f"length({v}) > {most}", 4, f"is longer than {most}"),
+        (rf"regexp_matches({v}, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{{9f}}]')", 5, "has control characters"),
+        (rf"regexp_matches({v}, '`|\[\[|\]\]|\{{\{{|\}}\}}|<[A-Za-z/!?]')", 8, "has markup"),
     ]
     if keyword:
-        out.append((f"regexp_matches({v}, '[\\r\\n]')", "has several lines"))
+        out += [(f"regexp_matches({v}, '[\\r\\n\\t]')", 6, "has several lines or tabs"), (f"{v} != t.folded", 7, "is not in small letters")]
     return out
 
 
@@ -195,42 +209,52 @@ def _violations() -> str:
     limits = records.Limits()
     parts = []
 
-    def add(test: str, field: str, message: str, item: str = "NULL::INT", source: str = "tanks_data") -> None:
-        parts.append(f"SELECT row_id, '{field}' AS field, {item} AS item, '{message}' AS message FROM {source} WHERE {test}")
+    def add(test: str, field: str, rule: int, message: str, item: str = "NULL::INT", source: str = "tanks_data") -> None:
+        told = message if message.startswith("'") else f"'{message}'"
+        parts.append(f"SELECT row_id, '{field}' AS field, {item} AS item, {rule} AS rule, {told} AS message FROM {source} WHERE {test}")
 
     for f in records.FIELDS:
-        add(f'"{f}" IS NULL', f, "is missing")
-    add("NOT regexp_full_match(name, '[A-Za-z0-9][A-Za-z0-9_.-]*')", "name", "is no identifier")
-    add(f"length(name) > {limits.label}", "name", f"is longer than {limits.label}")
+        add(f'"{f}" IS NULL', f, 0, "is missing")
+    add("NOT regexp_full_match(name, '[A-Za-z0-9][A-Za-z0-9_.-]*')", "name", 9, "is no identifier")
+    add(f"length(name) > {limits.label}", "name", 4, f"is longer than {limits.label}")
     for f in ("display_name", "nation"):
-        for t, m in _rules(f, f, limits.label):
-            add(t, f, m)
-    add(f"class NOT IN ({_CLASS_SET})", "class", "is no primary class")
-    add("tier NOT BETWEEN 1 AND 10", "tier", "is not between 1 and 10")
-    add("len(keywords) > 0 AND coalesce(len(strategies), 0) = 0", "keywords", "need strategies")
+        for t, n, m in _rules(f, limits.label):
+            add(t, f, n, m, source=f"tanks_data JOIN ids t ON t.v = {f}")
+    add(f"class NOT IN ({_CLASS_SET})", "class", 10, "is no primary class")
+    add("tier NOT BETWEEN 1 AND 10", "tier", 11, "is not between 1 and 10")
+    add("len(keywords) > 0 AND coalesce(len(strategies), 0) = 0", "keywords", 12, "need strategies")
+    tables = [f"v_ids AS (SELECT 1), {identity_ctes(_ROW_TEXTS)}"]
     for f, most, size in (("subclasses", limits.subclasses, limits.label), ("strategies", limits.strategies, limits.strategy), ("keywords", limits.keywords, limits.label)):
-        add(f"len({f}) > {most}", f, f"has more than {most} items")
-        src = f"(SELECT row_id, i, {f}[i + 1] AS v, CASE WHEN i > 0 THEN {f}[i] END AS before FROM (SELECT row_id, {f}, unnest(range(len({f}))) AS i FROM tanks_data))"
-        rules = [("v IS NULL", "is missing"), *_rules(f, "v", size, f == "keywords"), ("before >= v", "is not sorted")]
+        add(f"len({f}) > {most}", f, 13, f"has more than {most} items")
+        tables.append(f"""{f}_i AS (SELECT row_id, unnest({f}) AS v, generate_subscripts({f}, 1) - 1 AS i FROM tanks_data WHERE len({f}) > 0),
+          {f}_t AS (SELECT x.*, t.canonical, t.folded, t.identity, CASE WHEN t.identity IS NOT NULL THEN min(i) OVER (PARTITION BY row_id, t.identity) END AS first,
+            lag(x.v) OVER w AS before, lag(t.identity) OVER w AS before_id FROM {f}_i x LEFT JOIN ids t ON t.v = x.v WINDOW w AS (PARTITION BY row_id ORDER BY i))""")
+        rules = [("v IS NULL", 0, "is missing"), *_rules("v", size, f == "keywords"), ("first < i", 15, "'is the same as item ' || first"), ("i > 0 AND NOT (before_id < identity OR (before_id = identity AND before < v))", 18, "is not sorted")]
         if f == "subclasses":
-            rules.append((f"v IN ({_CLASS_SET})", "is a primary class"))
-        for t, m in rules:
-            add(t, f, m, "i::INT", src)
-    return "\nUNION ALL ".join(parts)
+            rules.append((f"identity IN ({', '.join(repr(x.lower()) for x in vocab.PRIMARY_CLASSES)})", 14, "is a primary class"))
+        for t, n, m in rules:
+            add(t, f, n, m, "i::INT", f"{f}_t t")
+    return "WITH " + ", ".join(tables) + ", v AS (" + "\nUNION ALL ".join(parts) + ") "
 
 
-_VIOLATIONS = f"WITH v AS ({_violations()})"
+_VIOLATIONS = _violations()
+_NAME_IDS = "WITH " + identity_ctes(_NAMES)
+_LABEL_IDS = _EDGES + ", " + identity_ctes("SELECT label AS v FROM nodes WHERE kind IN ('Class', 'Keyword')")
+_COLLISIONS = "SELECT kind, identity, list_sort(list(DISTINCT label)) AS labels FROM nodes JOIN ids ON v = label WHERE kind IN ('Class', 'Keyword') GROUP BY kind, identity HAVING count(DISTINCT label) > 1"
 ORACLES = {
     "records_latest": _RECORDS + "SELECT name, display_name, class, array_to_string(subclasses, '|') AS subclasses, nation, tier, array_to_string(strategies, '|') AS strategies, array_to_string(keywords, '|') AS keywords FROM r",
-    "first_kept": "SELECT name, min(row_id) AS row_id, count(*) - 1 AS dropped FROM tanks_data WHERE name IS NOT NULL GROUP BY name",
+    "first_kept": _NAME_IDS + "SELECT identity, arg_min(name, row_id) AS name, min(row_id) AS row_id, count(*) - 1 AS dropped, count(DISTINCT name) AS spellings FROM tanks_data JOIN ids ON v = name GROUP BY identity",
     "violation_rows": _VIOLATIONS + "SELECT * FROM v",
     "violation_counts": _VIOLATIONS + "SELECT field, message, count(*) AS n FROM v GROUP BY ALL",
-    "violations_topk": _VIOLATIONS + "SELECT * FROM v ORDER BY row_id, field, item NULLS FIRST, message LIMIT 32",
-    "record_order_breaks": "SELECT row_id, name, previous FROM (SELECT row_id, name, lag(name) OVER (ORDER BY row_id) AS previous FROM tanks_data WHERE name IS NOT NULL) WHERE previous >= name",
-    "first_occurrence_duplicates": "SELECT row_id, name, first FROM (SELECT row_id, name, min(row_id) OVER (PARTITION BY name) AS first FROM tanks_data WHERE name IS NOT NULL) WHERE row_id > first",
-    "duplicate_names": r"""WITH i AS (SELECT name, lower(trim(regexp_replace(name, '[\t\n\x0b\f\r ]+', ' ', 'g'))) AS identity FROM tanks_data WHERE name IS NOT NULL)
-      SELECT identity, list_sort(list(DISTINCT name)) AS spellings FROM i GROUP BY identity HAVING count(*) > 1""",
-    "available_classes_top16": _RECORDS + """SELECT DISTINCT label FROM (SELECT label FROM (SELECT DISTINCT unnest(list_append(subclasses, class)) AS label FROM r) WHERE label IS NOT NULL ORDER BY lower(trim(label)), label LIMIT 16)""",
+    "violations_topk": _VIOLATIONS + "SELECT * FROM v ORDER BY row_id, field, item NULLS FIRST, rule, message LIMIT 32",
+    "record_order_breaks": _NAME_IDS + "SELECT row_id, name, previous FROM (SELECT row_id, name, identity, lag(name) OVER w AS previous, lag(identity) OVER w AS before FROM tanks_data JOIN ids ON v = name WINDOW w AS (ORDER BY row_id)) WHERE before > identity OR (before = identity AND previous >= name)",
+    "first_occurrence_duplicates": _NAME_IDS + "SELECT row_id, name, first FROM (SELECT row_id, name, min(row_id) OVER (PARTITION BY identity) AS first FROM tanks_data JOIN ids ON v = name) WHERE row_id > first",
+    "duplicate_names": _NAME_IDS + "SELECT identity, list_sort(list(DISTINCT name)) AS spellings FROM tanks_data JOIN ids ON v = name GROUP BY identity HAVING count(*) > 1",
+    "sorted_unique_keywords": "WITH " + identity_ctes("SELECT unnest(keywords) AS v FROM tanks_data")
+    + """, k AS (SELECT row_id, identity, min(x.v) AS w FROM (SELECT row_id, unnest(keywords) AS v FROM tanks_data) x JOIN ids ON ids.v = x.v GROUP BY row_id, identity)
+      SELECT t.row_id, coalesce(keywords, []) AS keywords FROM tanks_data t LEFT JOIN (SELECT row_id, list(w ORDER BY identity) AS keywords FROM k GROUP BY row_id) l USING (row_id)""".replace("SELECT t.row_id, coalesce(keywords, [])", "SELECT t.row_id, coalesce(l.keywords, [])"),
+    "lookup_collisions": _LABEL_IDS + _COLLISIONS,
+    "available_classes_top16": _LABEL_IDS + "SELECT label FROM (SELECT label, identity FROM nodes JOIN ids ON v = label WHERE kind = 'Class' ORDER BY identity, label LIMIT 16)",
     "graph_edges": _EDGES + "SELECT * FROM edges",
     "graph_nodes": _EDGES + "SELECT * FROM nodes",
     "graph_stats": _EDGES
@@ -246,7 +270,20 @@ ORACLES = {
       FROM t WHERE nodes > {BUDGETS.nodes} OR relationships > {BUDGETS.relationships} ORDER BY name LIMIT 1""",
     "primary_class_cardinality": _EDGES + f"SELECT src AS name, count(*) FILTER (WHERE dst IN ({_CLASS_SET})) AS primaries FROM edges WHERE etype = 'IsAClassOf' GROUP BY src",
     "orphan_nodes": _EDGES + "SELECT kind, label FROM nodes n WHERE kind IN ('Strategy', 'Keyword') AND NOT EXISTS (SELECT 1 FROM edges e WHERE e.dst_kind = n.kind AND e.dst = n.label AND e.etype IN ('RecommendedTactic', 'AssociatedWithKeyword'))",
-    "invariant_breaks": _EDGES + f"""SELECT 'not one primary class' AS rule, src AS subject FROM edges WHERE etype = 'IsAClassOf' GROUP BY src HAVING count(*) FILTER (WHERE dst IN ({_CLASS_SET})) != 1""",
+    "invariant_breaks": _LABEL_IDS
+    + f""", breaks AS (
+      SELECT 'repeated node' AS rule, kind || ':' || label AS subject FROM nodes GROUP BY kind, label HAVING count(*) > 1
+      UNION ALL SELECT 'repeated edge', src || ' -> ' || etype || ' -> ' || dst FROM edges GROUP BY ALL HAVING count(*) > 1
+      UNION ALL SELECT DISTINCT 'edge without source', src_kind || ':' || src FROM edges e WHERE NOT EXISTS (SELECT 1 FROM nodes n WHERE n.kind = e.src_kind AND n.label = e.src)
+      UNION ALL SELECT DISTINCT 'edge without target', dst_kind || ':' || dst FROM edges e WHERE NOT EXISTS (SELECT 1 FROM nodes n WHERE n.kind = e.dst_kind AND n.label = e.dst)
+      UNION ALL SELECT 'illegal edge', src || ' -> ' || etype || ' -> ' || dst FROM edges WHERE (etype, src_kind, dst_kind) NOT IN (('IsAClassOf', 'Tank', 'Class'), ('IsSubclassOf', 'Class', 'Class'), ('RecommendedTactic', 'Tank', 'Strategy'), ('AssociatedWithKeyword', 'Strategy', 'Keyword'))
+      UNION ALL SELECT 'subclass is a primary class', src || ' -> ' || etype || ' -> ' || dst FROM edges WHERE etype = 'IsSubclassOf' AND src IN ({_CLASS_SET})
+      UNION ALL SELECT 'not one primary class', name FROM (SELECT DISTINCT label AS name FROM nodes WHERE kind = 'Tank') LEFT JOIN (SELECT src, count(*) FILTER (WHERE dst IN ({_CLASS_SET})) AS n FROM edges WHERE etype = 'IsAClassOf' GROUP BY src) ON src = name WHERE coalesce(n, 0) != 1
+      UNION ALL SELECT 'strategy of no vehicle', label FROM nodes WHERE kind = 'Strategy' AND label NOT IN (SELECT dst FROM edges WHERE etype = 'RecommendedTactic')
+      UNION ALL SELECT 'keyword of no strategy', label FROM nodes WHERE kind = 'Keyword' AND label NOT IN (SELECT dst FROM edges WHERE etype = 'AssociatedWithKeyword')
+      UNION ALL SELECT 'labels look up alike', kind || ':' || identity FROM ({_COLLISIONS})
+      UNION ALL SELECT 'node budget', n::VARCHAR FROM (SELECT count(*) AS n FROM nodes) WHERE n > {INVARIANT_BUDGETS.nodes}
+      UNION ALL SELECT 'edge budget', n::VARCHAR FROM (SELECT count(*) AS n FROM edges) WHERE n > {INVARIANT_BUDGETS.edges}) SELECT * FROM breaks""",
     "class_members": "SELECT name, display_name, nation, tier FROM (" + _MEMBERS + ") WHERE class = 'Heavy Tanks'",
     "class_members_batch": _MEMBERS,
     "keyword_two_hop": _HOPS + "SELECT name, display_name, nation, tier, matched_strategies FROM two WHERE keyword = 'sidescraping'",

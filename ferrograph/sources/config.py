@@ -2,29 +2,27 @@
 
 from __future__ import annotations
 
-import posixpath
 import re
 from dataclasses import dataclass
-from urllib.parse import unquote, urlsplit
+from urllib.parse import urlsplit
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.addresses import resolved_path
+
 
 class ConfigError(ValueError):
     code = "configuration"
 
 
 def url_path(url: str) -> str:
-    """Resolved path of an address after at most three decodings; backslashes and null characters aren't allowed."""
-    path = urlsplit(url).path or "/"
-    for _ in range(3):
-        path, before = unquote(path), path
-        if path == before:
-            break
-    if "\\" in path or "\0" in path:
+    """Resolved path of an address; a backslash in it, escaped or not, or a null character isn't allowed."""
+    path = urlsplit(url).path
+    resolved = resolved_path(path)
+    if resolved is None or "\\" in path or re.search("%(?:25){0,2}5c", path, re.I):
         raise ConfigError(f"path of {url!r}")
-    return posixpath.normpath("/" + path.lstrip("/"))
+    return resolved.rstrip("/") or "/"
 
 
 def _endpoint(name: str, url: str) -> None:

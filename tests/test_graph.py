@@ -19,25 +19,40 @@ def test_shared_nodes_and_suppressed(fleet):
     assert stats["edges:IsSubclassOf"] == 2 and stats["suppressed:AssociatedWithKeyword"] == 0
 
 
-def test_class_query_is_direct_and_ordered(fleet):
-    assert [r.name for r in query.query_class(fleet, "heavy  tanks").collect()] == ["B01", "A01"]
-    assert [r.name for r in query.query_class(fleet, "AUTOLOADERS").collect()] == ["C01", "A01"]
-    assert query.query_class(fleet, "Light Tanks").collect()[0].matched_strategies == []
+@pytest.fixture
+def built(fleet):
+    g = graph.build_graph(fleet)
+    yield g
+    g.unpersist()
 
 
-def test_keyword_reaches_records_without_it(fleet):
-    got = {r.name: list(r.matched_strategies) for r in query.query_keyword(fleet, "hull‐down").collect()}
+def test_class_query_is_direct_and_ordered(built):
+    assert [r.name for r in query.query_class(built, "heavy  tanks").collect()] == ["B01", "A01"]
+    assert [r.name for r in query.query_class(built, "AUTOLOADERS").collect()] == ["C01", "A01"]
+    assert query.query_class(built, "Light Tanks").collect()[0].matched_strategies == []
+
+
+def test_keyword_reaches_records_without_it(built, fleet):
+    got = {r.name: list(r.matched_strategies) for r in query.query_keyword(built, "hull‐down").collect()}
     assert got == {"A01": ["Angle the hull.", "Hold the ridge."], "B01": ["Hold the ridge."]}
-    wanted = fleet.sparkSession.createDataFrame([("hull-down",)], "keyword string")
-    assert [(r.keyword, r.name) for r in query.not_own(fleet, wanted).collect()] == [("hull-down", "B01")]
+    assert [(r.keyword, r.name) for r in query.not_own(built, ["hull-down"], fleet).collect()] == [("hull-down", "B01")]
 
 
-def test_not_found_names_what_exists(fleet):
+def test_not_found_names_what_exists(built):
     with pytest.raises(query.ValueNotFound) as e:
-        query.query_keyword(fleet, "Ｎope")
+        query.query_keyword(built, "Ｎope")
     assert e.value.available == ["hull-down", "sidescraping", "view range"] and e.value.normalized == "nope" and e.value.exit_code == 4
 
 
+def test_a_written_graph_answers_the_same(built, spark, tmp_path):
+    graph.write_graph(built, str(tmp_path / "g"))
+    again = graph.read_graph(spark, str(tmp_path / "g"))
+    assert again.nodes.count() == built.nodes.count() and again.edges.exceptAll(built.edges).count() == 0
+    assert query.query_keyword(again, "view range").collect() == query.query_keyword(built, "view range").collect()
+    plan = again.of("IsAClassOf").where("dst = 'x'")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(etype" in plan and "EqualTo(dst,x)" in plan
+
+
 def test_budget_breach_is_the_first_record(fleet):
     got = graph.budget_breach(fleet, graph.Budgets(nodes=8, relationships=100), parts=2).collect()
     assert [(r.name, r.which, r.running) for r in got] == [("B01", "nodes", 7 + 4)]
@@ -54,16 +69,34 @@ def test_collision_fails_the_build(spark, fleet):
     assert e.value.code == "lookup_key_collision"
 
 
-def test_sound_graph_has_no_breaks_and_each_corruption_one(fleet):
+def test_sound_graph_has_no_breaks_and_each_corruption_one(spark, fleet):
     nodes, edges = graph.graph_nodes(fleet), graph.graph_edges(fleet)
     assert graph.invariant_breaks(nodes, edges).collect() == []
-    rules = lambda n, e: {r.rule for r in graph.invariant_breaks(n, e).collect()}
-    assert rules(nodes.where("label != 'Scout ahead.'"), edges) == {"edge without node"}
+
+    def rules(n, e, **budgets):
+        return {r.rule for r in graph.invariant_breaks(n, e, graph.Budgets(**budgets)).collect()}
+
+    node = lambda *r: spark.createDataFrame([(*r, None, None, None)], "kind string, label string, display_name string, nation string, tier int")
+    edge = lambda *r: spark.createDataFrame([r], "src_kind string, src string, etype string, dst_kind string, dst string")
+    assert rules(nodes.unionAll(node("Boat", "x")), edges) == {"node of no kind"}
     assert rules(nodes.unionAll(nodes.where("kind = 'Class'").limit(1)), edges) == {"repeated node"}
     assert rules(nodes, edges.unionAll(edges.where("etype = 'RecommendedTactic'").limit(1))) == {"repeated edge"}
-    assert "orphan" in rules(nodes, edges.where("dst != 'view range'"))
-    assert "illegal edge" in rules(nodes, edges.withColumn("dst_kind", F.when(F.col("etype") == "RecommendedTactic", "Class").otherwise(F.col("dst_kind"))))
-    assert "not one primary class" in rules(nodes, edges.where("dst != 'Light Tanks'"))
+    assert rules(nodes, edges.unionAll(edge("Tank", "lost", "RecommendedTactic", "Strategy", "Scout ahead."))) == {"edge without source"}
+    assert rules(nodes.where("label != 'view range'"), edges) == {"edge without target"}
+    assert rules(nodes, edges.unionAll(edge("Tank", "A01", "RecommendedTactic", "Class", "Heavy Tanks"))) == {"illegal edge"}
+    assert rules(nodes, edges.unionAll(edge("Class", "Heavy Tanks", "IsSubclassOf", "Class", "Light Tanks"))) == {"subclass is a primary class"}
+    assert rules(nodes.unionAll(node("Tank", "new")), edges) == {"not one primary class"}
+    assert rules(nodes, edges.unionAll(edge("Tank", "A01", "IsAClassOf", "Class", "Light Tanks"))) == {"not one primary class"}
+    assert rules(nodes.unionAll(node("Strategy", "x")), edges) == {"strategy of no vehicle"}
+    assert rules(nodes.unionAll(node("Keyword", "x")), edges) == {"keyword of no strategy"}
+    assert "labels look up alike" in rules(nodes.unionAll(node("Class", "LIGHT tanks")), edges)
+    assert rules(nodes, edges, nodes=1) == {"node budget"} and rules(nodes, edges, edges=1) == {"edge budget"}
+    with pytest.raises(graph.GraphError, match="repeated edge"):
+        twice = graph.Graph(nodes, {"IsAClassOf": edges.unionAll(edges)})
+        graph.validated(twice)
+    with pytest.raises(graph.GraphError) as e:
+        graph.build_graph(fleet, graph.Budgets(edges=3))
+    assert e.value.code == "edge_budget_exceeded" and e.value.exit_code == 5
 
 
 def test_latest_record_and_list_cleaning(spark):

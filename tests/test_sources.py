@@ -66,6 +66,63 @@ def test_semantics_and_round_trip(spark, fleet, tmp_path):
         admit.load_dataset(spark, str(tmp_path / "rev.json"))
 
 
+def test_mixed_case_round_trip(spark, tmp_path):
+    """assemble, publish and load agree on order, canonical form and identity."""
+    from ferrograph.operators.assemble import assemble
+
+    v = spark.createDataFrame([("Beta", "B", "Heavy Tanks", [], "USSR", 8), ("alpha", "A", "Heavy Tanks", ["Autoloaders"], "USSR", 8)], "name string, display_name string, class string, subclasses array<string>, nation string, tier int")
+    s = spark.createDataFrame([(None, ["Heavy Tanks"], "class_guide", "aim at the Gun of the target. Bounce shells with ｈｕｌｌ‑down armor.", 1)], "name string, applicable_classes array<string>, source_kind string, text string, ord int")
+    to = str(tmp_path / "r.json")
+    publish.write_dataset(assemble(v, s), to, producer=True)
+    rows = admit.load_dataset(spark, to).records.orderBy("ordinal").collect()
+    assert [r.name for r in rows] == ["alpha", "Beta"]
+    assert rows[0].strategies == ["aim at the Gun of the target.", "Bounce shells with hull-down armor."] and "hull-down" in rows[0].keywords
+
+
+@pytest.mark.parametrize(
+    ("change", "told"),
+    [
+        ({"display_name": "Ａ"}, "display_name is not in canonical form"), ({"strategies": ["STRASSE x.", "Straße x."]}, "strategies[1] is the same as item 0"),
+        ({"strategies": ["b.", "A."]}, "strategies[1] is not sorted"), ({"keywords": ["Aim"]}, "keywords[0] is not in small letters"), ({"keywords": ["a\tb"]}, "keywords[0] has several lines or tabs"),
+        ({"subclasses": ["HEAVY tanks"]}, "subclasses[0] is a primary class"), ({"strategies": ["a", "a\u00a0"]}, "has outer spaces"), ({"nation": "\u2003"}, "nation is blank"),
+    ],
+)
+def test_rules_of_texts(spark, tmp_path, change, told):
+    (tmp_path / "x.json").write_text(bad(**change))
+    with pytest.raises(admit.IngestError) as e:
+        admit.load_dataset(spark, str(tmp_path / "x.json"))
+    assert any(told in x for x in e.value.context["shown"]), e.value.context["shown"]
+
+
+def test_names_of_one_identity(spark):
+    df = spark.createDataFrame([(1, "Tank"), (2, "tank"), (3, "TANK"), (4, "other"), (5, None)], "o bigint, v string")
+    for hot in (1, 100):
+        assert sorted(tuple(r) for r in records.first_occurrences(df, "v", "o", hot=hot).collect()) == [(2, "tank", 1), (3, "TANK", 1)]
+    assert [tuple(r) for r in records.order_breaks(df, "v", "o", 2).orderBy("o").collect()] == [(3, "TANK", "tank"), (4, "other", "TANK")]
+    first = records.first_kept(df.withColumnsRenamed({"o": "row_id", "v": "name"})).orderBy("row_id").collect()
+    assert [tuple(r) for r in first] == [("tank", "Tank", 1, 2, 3), ("other", "other", 4, 0, 1)]
+
+
+def test_extraction(spark, tmp_path, capsys):
+    members = spark.createDataFrame([("Category:R", 14, 1, "Category:Heavy Tanks"), ("Category:Heavy Tanks", 0, 5, "Tank:A"), ("Category:Heavy Tanks", 0, 6, "Tank:B")], "category string, ns int, page_id bigint, title string")
+    page = lambda t, x: json.dumps({"query": {"pages": [{"pageid": 5, "title": t, "revisions": [{"slots": {"main": {"content": x}}}]}]}})
+    good = "{{Infobox vehicle|nation=usa|tier=7}}\n== Tactics ==\nHold the ridge and keep your hull armor covered. It is No. 4.5 of all.\n"
+    payloads = spark.createDataFrame([(1, "u", page("Tank:A", good)), (2, "u", page("Tank:B", "{{Infobox vehicle|tier=99}}")), (3, "u", page("Tank:a", good))], "fetch_id bigint, url string, body string")
+    guide = "<main><h1>Tactics</h1><p>Use cover and keep the hull armor behind it at all times, whatever your vehicle is doing.</p></main>"
+    pages = spark.createDataFrame([(1, "https://g.example/guides/a", guide), (2, "https://else.example/", guide)], "fetch_id bigint, url string, body string")
+    for name, df in (("m", members), ("p", payloads), ("g", pages)):
+        df.write.parquet(str(tmp_path / name))
+    args = ["extract", "--members", str(tmp_path / "m"), "--payloads", str(tmp_path / "p"), "--pages", str(tmp_path / "g"), "--output", str(tmp_path / "o.json"), "--api", "https://w.example/api.php", "--guide-root", "https://g.example/guides/", "--contact", "a@b.example", "--root-category", "Category:R", "--format", "json"]
+    assert cli.main(args, spark) == 0
+    summary = json.loads(capsys.readouterr().out)
+    assert {k: summary[k] for k in ("category_count", "candidate_page_count", "accepted_tank_count", "rejected_candidate_count", "guide_page_count", "skipped_guide_count", "strategy_count")} == {
+        "category_count": 2, "candidate_page_count": 2, "accepted_tank_count": 1, "rejected_candidate_count": 2, "guide_page_count": 1, "skipped_guide_count": 1, "strategy_count": 3,
+    }
+    loaded = admit.load_dataset(spark, str(tmp_path / "o.json")).records.collect()
+    assert [(r.name, r["class"], r.nation, r.tier) for r in loaded] == [("A", "Heavy Tanks", "USA", 7)]
+    assert cli.main([*args, "--nation", "UK"], spark) == 1 and json.loads(capsys.readouterr().err)["error"]["code"] == "extraction"
+
+
 def test_cli(spark, fleet, tmp_path, capsys):
     path = str(tmp_path / "d.json")
     publish.write_dataset(fleet, path)
@@ -127,7 +184,7 @@ def test_taxonomy(spark):
 
 def test_wiki(spark):
     bodies = [
-        '{"query":{"pages":[{"pageid":1,"title":"Tank:A","revisions":[{"slots":{"main":{"content":"{{Infobox vehicle|tier=7|class=TD}}"}}}]}]}}',
+        '{"query":{"pages":[{"pageid":1,"title":"Tank:A","revisions":[{"slots":{"main":{"content":"{{Infobox vehicle|tier=7|class=TD|nation=usa}}"}}}]}]}}',
         '{"query":{"pages":{"5":{"pageid":5,"title":"Tank:B","revisions":[{"*":"{{Tankdata|nation=german|country=Germany}}"}]}}}}',
         '{"error":{"code":"x","info":"y"}}', "<html>", None, '{"query":{"pages":[{"title":"Z","missing":""}]}}',
     ]
@@ -142,11 +199,19 @@ def test_prose(spark):
     df = spark.createDataFrame([(1, "Intro line.\n\n- Use the ridge.\n- Log in now!\r\n2) Hull down position works well.", "wiki"), (2, None, None), (3, "", "x")], "id int, text string, kind string")
     got = prose.statements(df, "text", "id").withColumn("t", prose.is_tactical(F.col("statement"))).orderBy("id", "block_no").collect()
     assert [(r.statement, r.t) for r in got] == [("Intro line.", False), ("Use the ridge.", True), ("Log in now!", False), ("Hull down position works well.", True)]
+    whole = spark.createDataFrame([(1, 'It aims at 4.5 km now. Dr. Mirev holds the v2.4.7 hull. "Go now." Then he left! J. K. Oram saw it.')], "id int, text string")
+    assert [r.statement for r in prose.statements(whole, "text", "id").orderBy("sentence_no").collect()] == ["It aims at 4.5 km now.", "Dr. Mirev holds the v2.4.7 hull.", '"Go now."', "Then he left!", "J. K. Oram saw it."]
     c = spark.createDataFrame([("Sniping and side-scraping at long  view range",), ("the Tanks!",), ("x",)], "c string")
     assert [r[0] for r in c.select(prose.alias_concepts(F.col("c"))).collect()] == [["sidescraping", "sniping", "view range"], [], []]
     assert [r[0] for r in c.select(prose.normalize_concept(F.col("c"))).collect()][1:] == ["tanks", "x"]
     kept = prose.by_precedence(df.withColumn("rank", prose.rank(F.col("kind"))).withColumn("k", F.lit(1)), "k", "rank", ["id"]).collect()
     assert [r.id for r in kept] == [1]
+    told = spark.createDataFrame([("Aim at the shells.", ["Long-range snipes", "the Tanks", "12"])], "statement string, a array<string>")
+    assert prose.extract_concepts(told, annotations="a").head().concepts == ["aim", "long-range snipe", "shell"]
+    assert prose.extract_concepts(told, extractor=lambda c, a: F.array(F.lit("x"))).head().concepts == ["x"]
+    e = spark.createDataFrame([(["DATE", "ORG", None], ["May", "Works", "hull"])], "l array<string>, t array<string>")
+    assert e.select(prose.wanted_entities(F.col("l"), F.col("t"))).head()[0] == ["Works", "hull"]
+    assert {r.identity for r in prose.segment_text(df.where("id = 1"), classes=("SPGs",)).collect()} == {"use the ridge.", "hull down position works well."}
 
 
 def test_order_breaks_cross_ranges(spark):

@@ -3,8 +3,10 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ferrograph.functions import text, wikitext
-from ferrograph.operators.guides import normalize_url, read_page
+from ferrograph.functions import text, vocab, wikitext
+from ferrograph.functions.addresses import clean_address, resolved_path
+from ferrograph.operators import guides
+from ferrograph.operators.guides import read_page
 
 
 def test_golden_identity():
@@ -39,23 +41,23 @@ def test_statement_and_url(spark):
     assert r.s == "Hold the ridge." and r.u == "h.example:8080/a/b"
 
 
-@pytest.mark.parametrize(
-    ("url", "want"),
-    [
-        ("HTTPS://H.Example:443/a/../b/?utm_x=1&b=2&a=1&ref=z#f", "https://h.example/b/?a=1&b=2"),
-        ("http://h.example/%252e%252e/x", "http://h.example/x"),
-        ("ftp://h.example/", None),
-        ("https://u@h.example/", None),
-        ("https://h.example:99999/", None),
-    ],
-)
-def test_url_identity(url, want):
-    assert normalize_url(url) == want
+def test_url_identity(spark):
+    want = {
+        "HTTPS://H.Example:443/a/../b/?utm_x=1&b=2&a=1&ref=z#f": "https://h.example/b/?a=1&b=2",
+        "http://h.example/%252e%252e/x": "http://h.example/x",
+        "ftp://h.example/": None, "https://u@h.example/": None, "https://h.example:99999/": None, "h.example/x": None, "": None, None: None, "https:///x": None, "https://h/a%00b": None,
+        "http://h:8080": "http://h:8080/", "http://h/a\\b//c/.": "http://h/a/b/c", "https://h/x?b&a=%7E*+1&A=0": "https://h/x?A=0&a=~%2A+1&b=", "https://h/x?a=%zz&&": "https://h/x?a=%25zz", "https://h/ü b": "https://h/%C3%BC%20b",
+    }
+    df = spark.createDataFrame([(u,) for u in want], "u string")
+    assert {r.u: r.c for r in df.select("u", clean_address(F.col("u")).alias("c")).collect()} == want
+    assert resolved_path("") == "/" and resolved_path("/../..") == "/" and resolved_path("a/./b/") == "/a/b/"
 
 
 def test_wikitext():
     page = "{{Infobox vehicle|tier=7|name=[[T1|Tiger]]<!-- x -->}}\n'''Bold''' [[File:x.png|thumb]] see [[A|b]].<ref>r</ref>\n{|\n|t\n|}\n== Performance ==\nGood gun.[1]\n* one\n* two\n=== Sub ===\nmore\n== Other ==\nx [[Category:Y]]"
-    assert wikitext.templates(page) == [("infobox vehicle", {"tier": "7", "name": "[[T1|Tiger]]"})]
+    assert wikitext.every_template(page) == [("infobox vehicle", [("tier", "7"), ("name", "[[T1|Tiger]]<!-- x -->".replace("<!-- x -->", ""))])]
+    assert [n for n, _ in wikitext.every_template("{{A|b={{C|{{D}}}}}} {{E")] == ["a", "c", "d"]
+    assert wikitext.categories(page) == ["Category:Y"] and wikitext.single_line("[[T1|Ｔiger]]  x") == "Tiger x"
     assert wikitext.sections(page, {"performance"}) == [("Performance", 2, "Good gun.\none\ntwo\nSub more")]
     assert "Bold see b." in wikitext.visible(page)
     assert wikitext.visible("{{open [[x") == "{{open [[x"
@@ -69,3 +71,20 @@ def test_guide_page():
     assert elements[2][3] == ["Roles", "Heavy Tanks"]
     assert read_page("<main><h1>Access denied</h1></main>")[1] == "access_document"
     assert read_page("<title>x</title><p>y")[1] == "missing_root" and read_page("")[1] == "missing_title"
+
+
+def test_guide_segments_and_gates(spark):
+    page = "<main><h1>Tactics</h1><p>Use cover and keep the hull armor behind it at all times, whatever your vehicle is.</p><h2>Heavy Tanks</h2><p>Angle the hull armor and aim at weak spots with your view range in mind.</p><h2>Shop</h2><p>Buy.</p></main>"
+    rows = [(1, page), (2, "<main><h1>Access denied</h1></main>"), (3, "<main><h1>Tactics</h1><p>Aim.</p></main>"), (4, "<main><h1>News</h1><p>Nothing here.</p></main>"), (5, None)]
+    e = guides.guide_elements(spark.createDataFrame(rows, "fetch_id bigint, body string"))
+    got = {(r.pos, tuple(r.applicable_classes), r.source_kind, tuple(r.tactical_concepts)) for r in guides.guide_segments(e).where("fetch_id = 1").collect()}
+    every = tuple(vocab.PRIMARY_CLASSES)
+    assert got == {(1, every, "universal_guide", ()), (3, ("Heavy Tanks",), "class_guide", ("view range",))}
+    assert {r.fetch_id: r.code for r in guides.page_gates(e).collect()} == {2: "access_document", 3: "too_short", 4: "no_qualifying_text"}
+    assert guides.guide_segments(e.limit(0)).count() == 0
+
+
+def test_least_spellings(spark):
+    df = spark.createDataFrame([(["b", "A", "a", None, "Ｂ", " "],), ([],), (None,)], "v array<string>")
+    assert [r[0] for r in df.select(text.sorted_unique_strings(F.col("v"))).collect()] == [[" ", "A", "b"], [], None]
+    assert df.limit(1).select(F.explode("v").alias("x")).where("x is not null").select(text.case_fold(F.lit("STRAßE"))).head()[0] == "strasse"
