@@ -16,6 +16,8 @@ LOOK_ALIKES = {
     "n": "ո", "o": "оοօ", "p": "р", "q": "ԛ", "s": "ѕ", "u": "ս", "v": "ѵν", "w": "ԝ", "x": "х", "y": "у",
     "З": "Ʒ", "У": "Ꭹ",
 }
+# The same of the Lisu and Coptic letters; the Latin letter first.
+LISU_AND_COPTIC = "AꓮⲀ BꓐⲂ CꓚⲤ Dꓓ EꓰⲈ Fꓝ Gꓖ HꓧⲎ IꓲⲒ Jꓙ KꓗⲔ Lꓡ MꓟⲘ NꓠⲚ OꓳⲞ PꓑⲢ Rꓣ Sꓢ TꓔⲦ Uꓴ Vꓦ Wꓪ XꓫⲬ YꓬⲨ Zꓜ cⲥ oⲟ pⲣ"
 # Kana and ideographs drawn alike.
 KANA_ALIKES = {"二": "ニ", "口": "ロ", "力": "カ", "工": "エ", "夕": "タ", "卜": "ト", "ヘ": "へ"}
 #: Marks that have no width beside those of category Cf.
@@ -43,7 +45,7 @@ def _table() -> dict[int, str | None]:
             table[cp] = " " if chr(cp).isspace() else None
         elif (kind == "Pd" and cp not in NO_DASHES) or cp in MORE_DASHES:
             table[cp] = "-"
-    for alikes in (LOOK_ALIKES, KANA_ALIKES):
+    for alikes in (LOOK_ALIKES, KANA_ALIKES, {x[0]: x[1:] for x in LISU_AND_COPTIC.split()}):
         for seen, others in alikes.items():
             table.update({ord(x): seen for x in others})
     return table

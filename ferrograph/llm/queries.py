@@ -16,6 +16,10 @@ def p1_unified(spark, sf_dir):
     return lookalikes.unify(read_table(spark, sf_dir, "tanks_data"), read_table(spark, sf_dir, "canonical_labels"), "row_id", ["display_name"], ["strategies", "keywords"])
 
 
+def p1_near(spark, sf_dir):
+    return lookalikes.near_labels(read_table(spark, sf_dir, "tanks_data"), read_table(spark, sf_dir, "canonical_labels"), ["display_name"], ["strategies", "keywords"])
+
+
 def p2_sentences(spark, sf_dir):
     return sentences.statements(read_table(spark, sf_dir, "strategy_segments"), read_table(spark, sf_dir, "tanks_data"))
 
@@ -70,7 +74,7 @@ def p8_composition(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_unified, p2_found, p2_sentences, p3_found, p3_main_text, p4_found, p5_found, p5_frequency, p6_ids, p7_found, p7_documents, p8_found, p8_composition)
+    for f in (p1_found, p1_unified, p1_near, p2_found, p2_sentences, p3_found, p3_main_text, p4_found, p5_found, p5_frequency, p6_ids, p7_found, p7_documents, p8_found, p8_composition)
 }
 _FREQUENCY = r"""
 WITH items AS (SELECT row_id, unnest(keywords) AS keyword FROM tanks_data),

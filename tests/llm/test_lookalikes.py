@@ -5,7 +5,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from ferrograph.llm.glyphs import glyphs, spell_text
-from ferrograph.llm.lookalikes import Trie, match_labels, same_reading, unify
+from ferrograph.llm.lookalikes import Trie, match_labels, near_labels, same_reading, unify
 
 TANKS = "row_id bigint, display_name string, strategies array<string>, keywords array<string>, label string, field int"
 LABELS = "label_id bigint, field string, label string"
@@ -21,7 +21,7 @@ def test_other_reading(other):
     assert glyphs(other) != glyphs("Dräleben Bau. G")
 
 
-@pytest.mark.parametrize(("a", "b"), [("ﬁeld Ⅳ", "field IV"), ("T‑7−2", "T-7-2"), ("デリギ", "ﾃﾞﾘｷﾞ"), ("한길각", "한길각"), ("ＦΚ", "FK"), ("⽔", "水"), ("Объект", "Oбъeкт")])
+@pytest.mark.parametrize(("a", "b"), [("ﬁeld Ⅳ", "field IV"), ("T‑7−2", "T-7-2"), ("デリギ", "ﾃﾞﾘｷﾞ"), ("한길각", "한길각"), ("ＦΚ", "FK"), ("⽔", "水"), ("Объект", "Oбъeкт"), ("ꓐⲞX", "BOX")])
 def test_pairs(a, b):
     assert glyphs(a) == glyphs(b)
 
@@ -39,22 +39,48 @@ def test_one_spelling_by_script():
 
 def test_trie_against_brute_force():
     rng = random.Random(1)
-    words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 6))) for _ in range(120)})
+    words = sorted({glyphs("a" + "".join(rng.choice("abAB -") for _ in range(rng.randint(0, 5)))) for _ in range(160)})
     trie = Trie((w, w) for w in words)
 
     def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a):
-            new = [i + 1]
+        gap = lambda c: 0.5 if c in " -" else 1.0
+        row = [0.0]
+        for y in b:
+            row.append(row[-1] + gap(y))
+        for x in a:
+            new = [row[0] + gap(x)]
             for j, y in enumerate(b):
-                new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+                swap = 0 if x == y else 0.5 if x.lower() == y.lower() or {x, y} == {" ", "-"} else 1
+                new.append(min(row[j] + swap, row[j + 1] + gap(x), new[j] + gap(y)))
             row = new
         return row[-1]
 
-    for _ in range(60):
-        q = "".join(rng.choice("abc") for _ in range(rng.randint(1, 6)))
-        for budget in (0, 1, 2):
-            assert {(c, v) for c, v in trie.find(q, budget)} == {(d, w) for w in words if (d := distance(q, w)) <= budget}
+    for _ in range(120):
+        q = "a" + "".join(rng.choice("abAB -") for _ in range(rng.randint(0, 5))).rstrip().replace("  ", " ")
+        for budget in (0, 0.5, 1, 2):
+            assert {(c, v) for c, v in trie.find(q, budget)} == {(d, w) for w in words if (d := distance(glyphs(q), w)) <= budget}
+
+
+@given(st.text(max_size=12))
+def test_the_walk_reads_what_is_seen(value):
+    trie = Trie([(value, 1), ("zzz", 2)])
+    if glyphs(value):
+        assert trie.find(value) == [(0.0, 1)] or glyphs(value) == "zzz"
+    assert trie.find("​ " + value + " ") == trie.find(value)
+    assert trie.find("") == []
+
+
+def test_weights_and_near_values(spark):
+    trie = Trie([("weak spot", 1)])
+    assert [trie.find(x, 1)[0][0] for x in ("weаk  spot", "weak-spot", "weakspot", "Weak spot", "weak spöt", "weak spots")] == [0.0, 0.5, 0.5, 0.5, 0.5, 1.0]
+    assert trie.find("weak sp", 1) == [] and trie.find("x" * 50_000, 1) == []
+    labels = spark.createDataFrame([(1, "keywords", "weak spot"), (2, "keywords", "weak spots")], LABELS)
+    t = spark.createDataFrame([(1, None, None, ["weak sp0t", "wеak spot", None, "far off"], None, None)] * 2, TANKS)
+    for block in (10, 1):
+        assert {tuple(r) for r in near_labels(t, labels, ["display_name"], ["keywords"], block=block).collect()} == {("keywords", "weak sp0t", 1, 1.0)}
+        u = {(r.field, r.item_no): (r.unified, r.label_id) for r in unify(t, labels, "row_id", ["display_name"], ["keywords"], block=block).collect()}
+        assert u == {("keywords", 0): ("weak sp0t", None), ("keywords", 1): ("weak spot", 1), ("keywords", 3): ("far off", None)}
+    assert near_labels(t, labels.limit(0), ["display_name"], ["keywords"]).count() == 0
 
 
 def test_rows(spark):
