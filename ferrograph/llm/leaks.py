@@ -3,7 +3,8 @@
 Windows of an item's size of the symbols of items and documents go through the CGK walk: a pointer moves along the
 window and stays or steps by a random bit of the symbol under it, three steps a symbol, so that windows at a small
 edit distance give strings at a small Hamming distance. Random positions of these strings are the keys of the
-hash tables; windows that share a key with an item's window are compared by exact edit distance.
+hash tables; windows that share a key with an item's window are compared by exact edit distance. Items that fit one block are sent to the documents; of more, the keys of
+both sides meet in a shuffle, behind a filter of constant size.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import numpy as np
 import pandas as pd
 import regex
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,73 +197,129 @@ class Index:
                                 yield low + h, at, int(owner[o]), d
 
 
-def _blocks(items: DataFrame, block: int) -> Iterator[list[tuple[int, str]]]:
-    batch, n = [], 0
-    for r in items.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator():
-        batch.append((r.item_id, r.text))
-        n += len(r.text) // 4 + 1
-        if n >= block:
-            yield batch
-            batch, n = [], 0
-    if batch:
-        yield batch
+SCHEMA = "doc_id bigint, item_id bigint, windows bigint, edits int"
+
+
+def _streams(b: pd.DataFrame, size: int, symbol: Symbols, skip_plain: bool = False) -> list[tuple[int, np.ndarray]]:
+    """(doc_id, symbols) of the documents of a batch that are long enough for a window."""
+    out = []
+    for k, text in zip(b["doc_id"], b["text"], strict=True):
+        if not text or len(text) < size or k is None or k != k:
+            continue
+        if size == WORDS:
+            s = np.array([symbol[w] for w in words(text)], np.uint64)
+        elif skip_plain and not _HAN.search(text):
+            continue
+        else:
+            s = np.frombuffer(letters(text).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        if len(s) >= size:
+            out.append((int(k), s))
+    return out
+
+
+def _windows(streams: list[tuple[int, np.ndarray]], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(all symbols, where each stream begins, where each window begins); no window reaches into the next stream."""
+    flat = np.concatenate([s for _, s in streams])
+    base = np.cumsum([0, *(len(s) for _, s in streams)])
+    return flat, base, np.concatenate([np.arange(a, a + len(s) - size + 1) for a, (_, s) in zip(base, streams, strict=False)])
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, plan: Plan = Plan(), block: int = BLOCK_WINDOWS) -> DataFrame:
     """(doc_id, item_id, windows, edits): how many windows of the document are within ``plan.edits`` edits of a window of the item, and the fewest edits.
 
-    Items are a stated query set against all documents, in blocks of a bounded number of windows; a document is
-    read once for each block and never moved. Windows never reach from one document into the next. Null, empty
+    Items are a stated query set against all documents. Up to about ``block`` windows of items are sent to the documents, which are read once and never moved; more are met
+    by a shuffle of keys. Windows never reach from one document into the next. Null, empty
     and short texts contain nothing; items shorter than a window can't be contained; equal items each give a row, and so do
-    rows of equal documents. A row of a repeated doc_id counts for itself.
+    rows of equal documents. A row of a repeated doc_id counts for itself, but in the shuffle, where such rows count as one document.
     """
     docs = spread(docs.select("doc_id", "text"))
-    spark, out = docs.sparkSession, None
-    schema = "doc_id bigint, item_id bigint, windows bigint, edits int"
-    for part in _blocks(items, block):
-        index = spark.sparkContext.broadcast(Index(part, plan))
-
-        def run(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
-            known, symbol = index.value, Symbols()
-            for b in batches:
-                rows: list[tuple] = []
-                for size in known.sizes:
-                    streams = []
-                    for k, text in zip(b["doc_id"], b["text"], strict=True):
-                        if not text or len(text) < size or k is None:
-                            continue
-                        if size == WORDS:
-                            s = np.array([symbol[w] for w in words(text)], np.uint64)
-                        elif known.all_han and not _HAN.search(text):
-                            continue
-                        else:
-                            s = np.frombuffer(letters(text).encode("utf-32-le"), np.uint32).astype(np.uint64)
-                        if len(s) >= size:
-                            streams.append((k, s))
-                    if not streams:
-                        continue
-                    flat = np.concatenate([s for _, s in streams])
-                    base = np.cumsum([0, *(len(s) for _, s in streams)])
-                    starts = np.concatenate([np.arange(a, a + len(s) - size + 1) for a, (_, s) in zip(base, streams, strict=False)])
-                    found: dict = {}
-                    for _, at, item, edits in known.search(flat, starts, size):
-                        d = int(np.searchsorted(base, at, side="right")) - 1
-                        have = found.setdefault((d, item), [set(), edits])
-                        have[0].add(at)
-                        have[1] = min(have[1], edits)
-                    rows += [(streams[d][0], item, len(at), edits) for (d, item), (at, edits) in found.items()]
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "windows", "edits"])
-
-        one = docs.mapInPandas(run, schema)
-        out = one if out is None else out.unionAll(one)
-    return spark.createDataFrame([], schema) if out is None else out
-
-
-def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id), once each: the document holds a whole window of the item, unchanged as it reads."""
-    return find_leaks(docs, items).where("edits = 0").select("doc_id", "item_id").distinct()
-
-
-def leaked_documents(docs: DataFrame, items: DataFrame, plan: Plan = Plan(edits=1)) -> DataFrame:
+    stated = items.select("item_id", "text").where("item_id is not null and text is not null")
+    size = stated.agg(F.sum(F.length("text")).alias("n")).head().n or 0
+    if size // 4 > block:
+        return _by_keys(docs, stated, plan)
+    spark = docs.sparkSession
+    index = spark.sparkContext.broadcast(Index([(r.item_id, r.text) for r in stated.toLocalIterator()], plan))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, symbol = index.value, Symbols()
+        for b in batches:
+            rows: list[tuple] = []
+            for size in known.sizes:
+                if not (streams := _streams(b, size, symbol, known.all_han)):
+                    continue
+                flat, base, starts = _windows(streams, size)
+                found: dict = {}
+                for _, at, item, edits in known.search(flat, starts, size):
+                    d = int(np.searchsorted(base, at, side="right")) - 1
+                    have = found.setdefault((d, item), [set(), edits])
+                    have[0].add(at)
+                    have[1] = min(have[1], edits)
+                rows += [(streams[d][0], item, len(at), edits) for (d, item), (at, edits) in found.items()]
+            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "windows", "edits"])
+
+    return docs.mapInPandas(run, SCHEMA)
+
+
+#: Bits of the filter that keeps windows of documents from the shuffle that share no key with an item; it only saves work.
+FILTER = 1 << 26
+_KEYED = "doc_id bigint, size int, key bigint, start bigint, window array<bigint>"
+
+
+def _keyed(plan: Plan, chinese: bool | None = None, sieve=None):
+    """What makes (doc_id, size, key, start, window) of all windows and tables of a batch. ``chinese`` tells whether texts are cut by letters if they hold Chinese, and by words else."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        symbol = Symbols()
+        for b in batches:
+            for size in (WORDS, LETTERS):
+                some = b
+                if chinese:
+                    han = b["text"].map(lambda t: bool(t and _HAN.search(t)))
+                    some = b[han == (size == LETTERS)]
+                for one in _streams(some, size, symbol):
+                    flat, _, starts = _windows([one], size)
+                    for t in range(plan.tables(size)):
+                        key = keys(flat, starts, size, t, plan).view(np.int64)
+                        kept = np.arange(len(key)) if sieve is None else np.flatnonzero(sieve.value[(key.view(np.uint64) % np.uint64(FILTER)).astype(np.int64)])
+                        for low in range(0, len(kept), CHUNK // 16):
+                            at = kept[low : low + CHUNK // 16]
+                            yield pd.DataFrame({"doc_id": one[0], "size": size, "key": key[at], "start": starts[at], "window": list(flat[starts[at][:, None] + np.arange(size)].view(np.int64))})
+
+    return run
+
+
+def _by_keys(docs: DataFrame, items: DataFrame, plan: Plan) -> DataFrame:
+    """The same for any number of items: windows meet by key. A key that many documents share meets the few items' windows that have it; AQE splits it."""
+    spark = docs.sparkSession
+    of_items = items.select(F.col("item_id").alias("doc_id"), "text").mapInPandas(_keyed(plan, chinese=True), _KEYED).select(F.col("doc_id").alias("item_id"), "size", "key", F.col("window").alias("other")).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    bits = np.zeros(FILTER, bool)
+    for r in of_items.select(F.expr(f"cast(((key % {FILTER}) + {FILTER}) % {FILTER} as int)").alias("bit")).distinct().toLocalIterator():
+        bits[r.bit] = True
+    sieve = spark.sparkContext.broadcast(bits)
+    of_docs = docs.mapInPandas(_keyed(plan, sieve=sieve), _KEYED)
+    # a window meets each window of an item once, whatever number of tables brings them together
+    met = of_docs.join(of_items, ["size", "key"]).select("doc_id", "item_id", "start", "size", "window", "other").distinct()
+    same = met.where(F.col("window") == F.col("other")).select("doc_id", "item_id", "start", "size", F.lit(0).alias("edits"))
+    near = met.where(F.lit(bool(plan.edits)) & (F.col("window") != F.col("other")) & (F.size(F.array_except("other", "window")) <= plan.edits))
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            d = [edit_distance(x.tolist(), y.tolist(), plan.edits) for x, y in zip(b["window"], b["other"], strict=True)]
+            yield b[["doc_id", "item_id", "start", "size"]].assign(edits=d)
+
+    compared = near.mapInPandas(verify, "doc_id bigint, item_id bigint, start bigint, size int, edits int").where(F.col("edits") <= plan.edits)
+    return same.unionAll(compared).groupBy("doc_id", "item_id").agg(F.countDistinct("size", "start").alias("windows"), F.min("edits").alias("edits"))
+
+
+#: The search of both queries: one changed word a window, or letter of a Chinese one.
+SEARCH = Plan(edits=1)
+
+
+def contained(docs: DataFrame, items: DataFrame, plan: Plan = SEARCH) -> DataFrame:
+    """(doc_id, item_id), once each: of what the search finds, the documents that hold a whole window of the item unchanged as it reads. Equal windows share every key, so none is lost."""
+    return find_leaks(docs, items, plan).where("edits = 0").select("doc_id", "item_id").distinct()
+
+
+def leaked_documents(docs: DataFrame, items: DataFrame, plan: Plan = SEARCH) -> DataFrame:
     """(doc_id, items, windows, fewest_edits) of every document that holds a passage of an item, up to the plan's edits a window."""
     return find_leaks(docs, items, plan).groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.sum("windows").alias("windows"), F.min("edits").alias("fewest_edits"))

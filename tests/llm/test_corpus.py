@@ -75,6 +75,46 @@ def test_leaks(spark):
     assert leaks.contained(docs.limit(0), items).count() == 0 and leaks.contained(docs, items.limit(0)).count() == 0
 
 
+def brute(docs, items):
+    """(doc_id, item_id, windows, edits) by comparing all windows of equal size; at most one symbol differs."""
+    out = {}
+    symbol = leaks.Symbols()
+    for d, text in docs:
+        for i, item in items:
+            if not text or not item:
+                continue
+            size = leaks.LETTERS if leaks._HAN.search(item) else leaks.WORDS
+            cut = (lambda t: [ord(c) for c in leaks.letters(t)]) if size == leaks.LETTERS else (lambda t: [symbol[w] for w in leaks.words(t)])
+            a, b = cut(text), cut(item)
+            others = [b[y : y + size] for y in range(len(b) - size + 1)]
+            for x in range(len(a) - size + 1):
+                least = min((leaks.edit_distance(a[x : x + size], o, 1) for o in others), default=9)
+                if least <= 1:
+                    have = out.setdefault((d, i), [0, least])
+                    out[d, i] = [have[0] + 1, min(have[1], least)]
+    return {(d, i, n, e) for (d, i), (n, e) in out.items()}
+
+
+def test_the_shuffle_finds_what_the_broadcast_finds_and_what_there_is(spark):
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(15))) for i in range(12)] + [(20, ZH)]
+    rows = []
+    for k in range(40):
+        text = [rng.choice(vocabulary) for _ in range(20)]
+        part = items[k % 12][1].split()[:13]
+        part[rng.randrange(13)] = "odd" if k % 3 else part[0]
+        rows.append((k, " ".join(text + part + text)))
+    rows += [(50, None), (51, ""), (52, "前" + ZH[:20]), (53, ZH[:10] + "错" + ZH[11:20])]
+    docs, asked = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    plan = leaks.Plan(edits=1, recall=0.99)
+    a, b = ({tuple(r) for r in leaks.find_leaks(docs, asked, plan, block=n).collect()} for n in (1_000, 1))
+    truth = brute(rows, items)
+    assert a == b and len({x[:2] for x in a} & {x[:2] for x in truth}) >= 0.95 * len({x[:2] for x in truth}) and {x[:2] for x in a} <= {x[:2] for x in truth}
+    assert {x for x in a if x[3] == 0} >= {x for x in truth if x[3] == 0 and x[0] >= 50}
+    assert leaks.find_leaks(docs.limit(0), asked, plan, block=1).count() == 0
+
+
 def _contained(docs, items, block):
     return leaks.find_leaks(docs, items, block=block).where("edits = 0").select("doc_id", "item_id").distinct().collect()
 
