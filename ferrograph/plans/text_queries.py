@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import addresses, text, vocab
 from ..operators import guides, prose, records, taxonomy, wiki
-from ..sources import read_table, spread
+from ..sources import fetching, read_table, spread
 from .unicode_sql import identity_ctes
 
 ROOT = "Category:Vehicles"
@@ -42,8 +42,9 @@ def precedence_kept(spark, sf_dir):
 
 
 def alias_concepts(spark, sf_dir):
-    found = _segments(spark, sf_dir).select("segment_id", F.array_join(prose.alias_concepts(F.col("text")), "|").alias("concepts"))
-    return found.where("concepts != ''")
+    words = read_table(spark, sf_dir, "tanks_data", "keywords").select(F.explode("keywords").alias("text"))
+    texts = _segments(spark, sf_dir).select("text").unionAll(words).where("text is not null").distinct()
+    return texts.select("text", F.array_join(prose.alias_concepts(F.col("text")), "|").alias("concepts")).where("concepts != ''")
 
 
 def segment_concepts(spark, sf_dir):
@@ -174,6 +175,11 @@ def unique_vehicles(spark, sf_dir):
     return wiki.unique_vehicles(_vehicles(spark, sf_dir)).select("fetch_id", "name", "kept")
 
 
+def response_kinds(spark, sf_dir):
+    r = read_table(spark, sf_dir, "fetch_results", "fetch_id", "status_code", "body")
+    return r.select("fetch_id", fetching.response_kind(F.col("status_code"), F.col("body")).alias("kind"))
+
+
 def diagnostic_counts(spark, sf_dir):
     return wiki_revisions(spark, sf_dir).where("code is not null").groupBy("code").agg(F.count("*").alias("n"))
 
@@ -198,7 +204,7 @@ def backoff_schedule(spark, sf_dir):
 _Q = (
     identity_names, identity_ascii, segment_blocks, segment_sentences, tactical_statements, precedence_kept, alias_concepts, segment_concepts, concept_normalize, guide_scope, scope_join, scope_members, heading_classes,
     guide_elements, guide_page_segments, guide_rejects, access_documents, url_identity, safe_url, category_paths, category_closure, category_pages, category_evidence, category_ancestors, direct_minus_children,
-    children_and_parents, canonical_nations, canonical_classes, class_decisions, wiki_revisions, wiki_vehicles, vehicle_outcomes, unique_vehicles, diagnostic_counts, candidate_union, value_statistics, backoff_schedule,
+    children_and_parents, canonical_nations, canonical_classes, class_decisions, wiki_revisions, wiki_vehicles, vehicle_outcomes, unique_vehicles, response_kinds, diagnostic_counts, candidate_union, value_statistics, backoff_schedule,
 )
 QUERIES = {f.__name__: f for f in _Q}
 
@@ -347,7 +353,11 @@ ORACLES = {
     "precedence_kept": "WITH " + identity_ctes("SELECT text AS v FROM strategy_segments", "t1")
     + rf""", n AS (SELECT v, regexp_replace(trim(regexp_replace(regexp_replace(canonical, '(?i)[\t-\r ]*(\[(\d+|citation needed)\]|\([\t-\r ]*source[\t-\r ]*\))[\t-\r ]*', ' ', 'g'), ' +', ' ', 'g')), '^[•*\- ]+|[• ]+$', '', 'g') AS s FROM t1), {identity_ctes("SELECT s AS v FROM n", "t2")}
       SELECT identity, segment_id, rank FROM (SELECT identity, segment_id, {_RANK} AS rank, row_number() OVER (PARTITION BY identity ORDER BY {_RANK}, segment_id) AS rn FROM strategy_segments JOIN n ON n.v = text JOIN t2 ON t2.v = n.s) WHERE rn = 1""",
-    "alias_concepts": f"SELECT * FROM (SELECT segment_id, array_to_string({_aliases('text')}, '|') AS concepts FROM strategy_segments) WHERE concepts != ''",
+    "alias_concepts": f"SELECT * FROM (SELECT text, array_to_string({_aliases('text')}, '|') AS concepts FROM (SELECT text FROM strategy_segments UNION SELECT unnest(keywords) FROM tanks_data) WHERE text IS NOT NULL) WHERE concepts != ''",
+    "response_kinds": """WITH b AS (SELECT fetch_id, status_code, body, lower(body) AS l FROM fetch_results),
+      k AS (SELECT *, regexp_matches(l, 'captcha|checking your browser|verify you are human|please enable javascript and cookies|just a moment') AS checks, regexp_matches(l, '<main|<article|mw-parser-output') AS article,
+        regexp_matches(body, '^[ \\t\\r\\n]*[{\\[]') AND (contains(l, '"query"') OR contains(l, '"error"')) AS api FROM b)
+      SELECT fetch_id, CASE WHEN body IS NULL OR trim(body) = '' THEN 'empty' WHEN checks AND NOT article THEN 'blocked' WHEN api THEN 'api' WHEN article THEN 'article' WHEN status_code >= 400 THEN 'error' ELSE 'other' END AS kind FROM k""",
     "guide_scope": "SELECT class, count(*) AS guides FROM (SELECT guide_id, unnest(list_distinct(applicable_classes)) AS class FROM guide_segments) WHERE class IS NOT NULL GROUP BY class",
     "scope_join": f"WITH r AS ({_LATEST}), g AS (SELECT DISTINCT guide_id, unnest(applicable_classes) AS class FROM guide_segments) SELECT name, class, count(*) AS guides FROM r JOIN g USING (class) GROUP BY name, class",
     "scope_members": "SELECT DISTINCT class, guide_id FROM (SELECT guide_id, unnest(applicable_classes) AS class FROM guide_segments) WHERE class IS NOT NULL",

@@ -8,7 +8,7 @@ from email.utils import parsedate_to_datetime
 from urllib.parse import urljoin, urlsplit
 from urllib.robotparser import RobotFileParser
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -82,10 +82,10 @@ class Robots:
 
 
 def _has(body: Column, *words: str) -> Column:
-    head = F.lower(F.substring(body, 1, 20_000))
+    low = F.lower(body)
     test = F.lit(False)
     for w in words:
-        test = test | head.contains(w)
+        test = test | low.contains(w)
     return F.coalesce(test, F.lit(False))
 
 
@@ -108,3 +108,17 @@ def response_kind(status: Column, body: Column) -> Column:
         F.when(body.isNull() | (F.trim(body) == ""), F.lit("empty")).when(is_interstitial(body) & ~is_article(body), F.lit("blocked")).when(is_api_json(body), F.lit("api"))
         .when(is_article(body), F.lit("article")).when(status >= 400, F.lit("error")).otherwise(F.lit("other"))
     )
+
+
+def is_api_probe(body: Column) -> Column:
+    """Whether a body is the API's answer to a probe: a JSON object with a list of pages."""
+    return F.coalesce(F.try_variant_get(F.try_parse_json(body), "$.query.allpages", "array<variant>").isNotNull(), F.lit(False))
+
+
+def bounded(recorded: DataFrame, most: int, length: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(bodies of at most ``most`` bytes, the others with the code ``body_too_large`` and without their content); of files as Spark's ``binaryFile`` source reads them, by their
+    stated length, so that the content of too large ones is never read."""
+    size = F.col("length") if length is None else length
+    kept = recorded.where(size <= most)
+    dropped = [c for c in recorded.columns if c not in ("content", "body")]
+    return kept, recorded.where(size > most).select(*dropped, F.lit("body_too_large").alias("code"))

@@ -163,6 +163,15 @@ def test_fetching(spark):
     assert [r[0] for r in df.select(fetching.response_kind(F.col("s"), F.col("b"))).collect()] == ["article", "blocked", "error", "api", "empty"]
 
 
+def test_bounds_and_probe(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"query":{"allpages":[]}}')
+    (tmp_path / "b.json").write_text("x" * 100)
+    kept, large = fetching.bounded(spark.read.format("binaryFile").load(str(tmp_path)), 50)
+    assert kept.select(fetching.is_api_probe(F.col("content").cast("string"))).head()[0] is True and [r.code for r in large.collect()] == ["body_too_large"]
+    df = spark.createDataFrame([("{}",), ("[",), (None,)], "b string")
+    assert not any(r[0] for r in df.select(fetching.is_api_probe(F.col("b"))).collect())
+
+
 def test_category_source(spark, tmp_path):
     page = {"query": {"categorymembers": [{"ns": 14, "pageid": 1, "title": "Category:B"}]}, "continue": {"cmcontinue": "t"}}
     (tmp_path / "a.json").write_text(json.dumps({"Category:A": [page, {"query": {"categorymembers": [{"ns": 0, "title": "Tank:X"}]}}]}))
