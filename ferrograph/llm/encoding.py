@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import tempfile
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -15,7 +14,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources import spread
+from ..sources import driver_folder, spread
 from .transducer import Transducer, build
 
 #: Folder of the public vocabulary files.
@@ -84,7 +83,7 @@ def compile_lexicon(docs: DataFrame, ranks: dict[bytes, int], folder: str | None
     """Compiles the frequent words of the corpus and gives the file to all executors; returns its name there."""
     one = merger(ranks)
     words = sorted({r.word.encode() for r in frequent_words(docs).toLocalIterator()} - {b""})
-    to = Path(folder or tempfile.mkdtemp()) / "lexicon.bin"
+    to = (Path(folder) if folder else driver_folder(docs.sparkSession)) / "lexicon.bin"
     build(((w, one(w)) for w in words), to)
     named = to.rename(to.with_name(f"lexicon-{uuid.uuid4().hex}.bin"))  # a session may compile the same corpus again
     docs.sparkSession.sparkContext.addFile(str(named))
