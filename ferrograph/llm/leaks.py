@@ -165,11 +165,17 @@ class Index:
                 key = keys(flat, starts, size, t, plan)
                 order = np.argsort(key, kind="stable")
                 tables.append((key[order], order))
-            self.sizes[size] = (flat, starts, owner, tables)
+            self.sizes[size] = (flat, starts, owner, tables, np.unique(flat))
 
     def search(self, symbols: np.ndarray, starts: np.ndarray, size: int) -> Iterator[tuple[int, int, int, int]]:
-        """(window number, start, item, edits) of the windows within the plan's edits of an item's window."""
-        flat, own_starts, owner, tables = self.sizes[size]
+        """(window number, start, item, edits) of the windows within the plan's edits of an item's window.
+
+        An edit brings in at most one symbol, so a window with more symbols that no item has can't be within the edits and isn't walked.
+        """
+        flat, own_starts, owner, tables, known_symbols = self.sizes[size]
+        at = np.minimum(np.searchsorted(known_symbols, symbols), len(known_symbols) - 1)
+        strange = np.concatenate([[0], np.cumsum(known_symbols[at] != symbols)])
+        starts = starts[strange[starts + size] - strange[starts] <= self.plan.edits]
         seen: set = set()
         for t, (known, order) in enumerate(tables):
             for low in range(0, len(starts), CHUNK):
