@@ -51,7 +51,7 @@ _OPEN = frozenset("“„«»「『《〈（([【¿¡‹")
 _TOKEN = regex.compile(r"(?r)(?:[\p{L}\p{M}]\.)*[\p{L}\p{M}\p{N}]+")  # read backwards from its end
 _CAMEL = regex.compile(r"\p{Ll}{1,3}\p{Lu}")
 _SYMBOL = regex.compile(r"[\p{So}\p{Sk}\uFE0F\u200d]")
-_GREEK = regex.compile(r"\p{Greek}")
+_GREEK = regex.compile(r"\p{Greek}{2}")
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 _CASED = regex.compile(r"[\p{Lu}\p{Ll}\p{Lt}]")
 _THAI_BLANK = regex.compile(r"(?<=[\p{Thai}&&[\p{L}\p{M}]])[^\S\n\r]+(?=[\p{Thai}&&[\p{L}\p{M}]])", regex.V1)
@@ -196,8 +196,8 @@ class _Document:
         return word in self._names
 
 
-def _ends(s: str, first: int, i: int, stop: int, j: int, k: int, quoted: bool, opens: set[int], doc: _Document) -> bool:
-    """Whether the terminators s[i:stop], with closing marks up to j, end a sentence before s[k]; the block starts at ``first``."""
+def _ends(s: str, first: int, since: int, i: int, stop: int, j: int, k: int, quoted: bool, opens: set[int], doc: _Document) -> bool:
+    """Whether the terminators s[i:stop], with closing marks up to j, end a sentence before s[k]; the block starts at ``first``, the sentence at ``since``."""
     cluster, gap = s[i:stop], k > j
     while k + 1 < len(s) and (_SYMBOL.match(s, k) or s[k].isspace()):
         k += 1  # an emblem before a sentence tells nothing about it
@@ -220,7 +220,7 @@ def _ends(s: str, first: int, i: int, stop: int, j: int, k: int, quoted: bool, o
     if small or not (capital or caseless or opener or nxt.isdigit()):
         return False
     if ";" in cluster:
-        return cluster == ";" and bool(_GREEK.search(s, max(first, i - 16), i)) and not nxt.isdigit() and not quoted
+        return cluster == ";" and bool(_GREEK.search(s, since, i)) and not nxt.isdigit() and not quoted
     if quoted and not cased:
         return False
     if "…" in cluster or ".." in cluster:
@@ -300,7 +300,7 @@ def sentence_starts(text: str, doc: _Document | None = None) -> list[int]:
             k = j
             while k < b and s[k].isspace():
                 k += 1
-            if k < b and k > first and _ends(s, first, i, stop, j, k, quoted, opens, doc):
+            if k < b and k > first and _ends(s, first, cuts[-1][0] if cuts else first, i, stop, j, k, quoted, opens, doc):
                 cuts.append((k, j))
         for m in _THAI_BLANK.finditer(s, first, b):
             if (x := bisect_right(from_, m.start()) - 1) < 0 or outer[x][1] < m.start():
