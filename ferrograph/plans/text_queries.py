@@ -121,6 +121,10 @@ def category_ancestors(spark, sf_dir):
     return taxonomy.above(read_table(spark, sf_dir, "category_members"), ROOT)
 
 
+def content_categories(spark, sf_dir):
+    return taxonomy.content_categories(read_table(spark, sf_dir, "category_members", "category"))
+
+
 def direct_minus_children(spark, sf_dir):
     links = taxonomy.links(read_table(spark, sf_dir, "category_members"))
     return links.select(F.col("parent").alias("category")).exceptAll(links.select("child")).distinct()
@@ -203,7 +207,7 @@ def backoff_schedule(spark, sf_dir):
 
 _Q = (
     identity_names, identity_ascii, segment_blocks, segment_sentences, tactical_statements, precedence_kept, alias_concepts, segment_concepts, concept_normalize, guide_scope, scope_join, scope_members, heading_classes,
-    guide_elements, guide_page_segments, guide_rejects, access_documents, url_identity, safe_url, category_paths, category_closure, category_pages, category_evidence, category_ancestors, direct_minus_children,
+    guide_elements, guide_page_segments, guide_rejects, access_documents, url_identity, safe_url, category_paths, category_closure, category_pages, category_evidence, category_ancestors, content_categories, direct_minus_children,
     children_and_parents, canonical_nations, canonical_classes, class_decisions, wiki_revisions, wiki_vehicles, vehicle_outcomes, unique_vehicles, response_kinds, diagnostic_counts, candidate_union, value_statistics, backoff_schedule,
 )
 QUERIES = {f.__name__: f for f in _Q}
@@ -367,6 +371,7 @@ ORACLES = {
     "category_paths": _PATHS + "SELECT category, array_to_string(path, ' > ') AS path, depth FROM walk",
     "category_closure": _PATHS + "SELECT category, min(depth) AS depth FROM walk GROUP BY category",
     "category_pages": f"WITH {_PAGES} SELECT title, page_id, array_to_string(categories, '|') AS categories FROM pages",
+    "content_categories": f"SELECT DISTINCT leaf FROM (SELECT regexp_replace({_TITLE.format('category')}, '^category:', '') AS leaf FROM category_members WHERE category IS NOT NULL) WHERE leaf NOT IN {_one_of(vocab.ORGANIZATIONAL)}",
     "direct_minus_children": f"WITH {_LINKS} SELECT DISTINCT parent AS category FROM (SELECT parent FROM links EXCEPT ALL SELECT child FROM links)",
     "children_and_parents": f"WITH {_LINKS} SELECT parent AS category FROM links INTERSECT SELECT child FROM links",
     "canonical_nations": "WITH " + identity_ctes("SELECT nation AS v FROM tanks_data UNION SELECT alias FROM nation_aliases")

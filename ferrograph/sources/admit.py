@@ -8,8 +8,10 @@ from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
+from ..functions.text import json_path, truncate_message
 from ..operators.records import Limits, violation_report, violations
 
 _TEXT = ArrayType(StringType(), True)
@@ -131,7 +133,8 @@ def load_dataset(spark: SparkSession, path: str, limits: Limits = Limits(), most
     twice = [list(r.spellings) for r in duplicate_identities(df, "name").limit(limits.shown).collect()]
     unsorted = order_breaks(df, "name", "ordinal", 4).limit(1).collect() if len(rows) > 1 and not twice else []
     if total or twice or unsorted:
-        shown = [f"$[{r.ordinal}].{r.field}" + (f"[{r.item}]" if r.item is not None else "") + f" {r.message}" for r in violation_report(found, "ordinal", limits.shown).collect()]
+        line = truncate_message(F.concat_ws(" ", json_path(F.col("ordinal"), F.col("field"), F.col("item")), F.col("message")))
+        shown = [r.line for r in violation_report(found, "ordinal", limits.shown).select(line.alias("line")).collect()]
         shown += [f"names {x} are the same" for x in twice] + [f"$[{r.ordinal}].name is not sorted" for r in unsorted]
         raise IngestError("semantic_validation", "; ".join(shown), total=total + len(twice) + len(unsorted), shown=shown[: limits.shown])
     return Dataset(df, () if rows else ("the dataset is empty",))
