@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 import time
 from dataclasses import asdict
@@ -48,8 +49,10 @@ def parser() -> argparse.ArgumentParser:
                 p.add_argument("--iterations", type=int, default=10_000)
                 p.add_argument("--max-p95-us", type=float)
     p = commands.add_parser("extract")
-    for name in ("members", "payloads", "pages", "output", "api", "guide-root", "contact", "root-category"):
+    for name in ("members", "payloads", "pages", "output"):
         p.add_argument(f"--{name}", required=True)
+    for name in ("api", "guide-root", "contact", "root-category"):  # else from the environment
+        p.add_argument(f"--{name}")
     p.add_argument("--nation", action="append", default=[])
     p.add_argument("--format", choices=("text", "json"), default="text")
     return top
@@ -58,7 +61,7 @@ def parser() -> argparse.ArgumentParser:
 def _extract(a, spark: SparkSession, as_json: bool) -> int:
     """Recorded tables are Parquet; 1 if the run fails for a reason that can be expected."""
     try:
-        config = Config(a.api, a.guide_root, a.contact, a.root_category, tuple(a.nation))
+        config = Config.of({"api": a.api, "guide_root": a.guide_root, "contact": a.contact, "root_category": a.root_category, "nations": tuple(a.nation)}, os.environ)
         summary = run_extraction(config, spark.read.parquet(a.members), spark.read.parquet(a.payloads), spark.read.parquet(a.pages), a.output)
     except ConfigError as e:
         return _error(as_json, e.code, str(e), 1)

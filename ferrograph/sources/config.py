@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import MISSING, dataclass, fields
+from types import MappingProxyType
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column
@@ -54,6 +56,23 @@ class Config:
         if not 1 <= self.attempts <= 5 or not 1 <= self.body_bytes <= 10 << 20 or self.interval < 5:
             raise ConfigError("attempts are 1 to 5, bodies at most 10 MiB, intervals at least 5 s")
 
+    @classmethod
+    def of(cls, given: Mapping[str, object], environment: Mapping[str, str] = MappingProxyType({})) -> Config:
+        """From what is given, else from variables ``FERROGRAPH_`` and the setting's name in capitals; nations are separated by commas there. What neither has keeps its default, or is an error."""
+        values: dict[str, object] = {}
+        for f in fields(cls):
+            stated = environment.get(f"FERROGRAPH_{f.name.upper()}")
+            if given.get(f.name) not in (None, ()):
+                values[f.name] = given[f.name]
+            elif stated:
+                try:
+                    values[f.name] = tuple(x.strip() for x in stated.split(",") if x.strip()) if f.name == "nations" else type(f.default)(stated) if f.default is not MISSING else stated
+                except ValueError:
+                    raise ConfigError(f"{f.name} is {stated!r}") from None
+            elif f.default is MISSING:
+                raise ConfigError(f"{f.name} isn't given")
+        return cls(**values)
+
     def classify(self, url: str) -> str | None:
         """``robots``, ``wiki`` or ``guide``; null for an address outside the boundary."""
         parts = urlsplit(url)

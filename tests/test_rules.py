@@ -19,6 +19,16 @@ def test_config():
         url_path("https://h/a%5cb")
 
 
+def test_config_of_flags_and_environment():
+    env = {f"FERROGRAPH_{k.upper()}": v for k, v in GOOD.items()} | {"FERROGRAPH_ATTEMPTS": "2", "FERROGRAPH_NATIONS": "UK, USSR"}
+    c = Config.of({"root_category": "Category:X", "api": None, "nations": ()}, env)
+    assert (c.root_category, c.api, c.attempts, c.nations) == ("Category:X", GOOD["api"], 2, ("UK", "USSR"))
+    assert Config.of(GOOD) == Config(**GOOD)
+    for given, environment in (({}, {}), (GOOD, {"FERROGRAPH_ATTEMPTS": "x"})):
+        with pytest.raises(ConfigError):
+            Config.of(given, environment)
+
+
 def test_nation_filter(spark):
     df = spark.createDataFrame([("USSR",), ("UK",), (None,)], "n string")
     assert [df.where(nation_filter(F.col("n"), x)).count() for x in ((), ("ALL",), ("UK",))] == [3, 3, 1]
