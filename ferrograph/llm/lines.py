@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,43 +32,65 @@ def tidy(line: str) -> str:
 
 
 def form_id(form: str) -> int:
-    return int.from_bytes(blake2b(form.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
-
-
-def _tokens(line: str) -> tuple[list[str], list[str], tuple[int, ...]]:
-    """(as they stand, with names masked, lengths of beginnings and ends); letters in scripts without blanks."""
-    words = [m[0] for m in _TOKEN.finditer(line.replace("...", "…"))]
-    plain, masked, unspaced = [], [], False
-    for i, w in enumerate(words):
+    x = xxhash.xxh3_64_intdigest(form.encode("utf-8", "replace"))
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _masked(word: str) -> str:
+    """A word in small letters; one with a digit only keeps a mark that it begins with."""
+    if word.isalpha() or not _DIGIT.search(word):
+        return word
+    return "0" if word[0].isalnum() else word[0] + "0"
+
+
+def _words(line: str) -> tuple[list[str], list[str]]:
+    """(as they stand, with names masked as well) between blanks; a run of names is one."""
+    given = line.split(" ")
+    plain = [_masked(w) for w in line.lower().split(" ")]
+    if len(given) != len(plain):  # a letter whose small form has a blank in it
+        plain = [_masked(w.lower()) for w in given]
+    named = plain[:1]
+    for w, p in zip(given[1:], plain[1:], strict=True):
+        if not w[0].isupper():
+            named.append(p)
+        elif named[-1] != "N":
+            named.append("N")
+    return plain, named
+
+
+def _letters(line: str) -> tuple[list[str], list[str]]:
+    """The same of a line in a script without blanks: its letters, and the words of other scripts in it."""
+    plain, named = [], []
+    for i, m in enumerate(_TOKEN.finditer(line)):
+        w = m[0]
         if _UNSPACED.search(w):
-            unspaced = True
             plain += w
-            masked += w
+            named += w
             continue
-        if _DIGIT.search(w):
-            w = name = "0"
-        elif not (w[0].isalnum() or w[0] == "_"):
-            w = name = w[0]
-        else:
-            name = "N" if i and w[0].isupper() else w.lower()
-            w = w.lower()
-        plain.append(w)
-        if not (name == "N" and masked and masked[-1] == "N"):
-            masked.append(name)
-    return plain, masked, (2, 3, 5) if unspaced else (1, 2, 3)
+        p = _masked(w.lower()) if w[0].isalnum() else w[0]
+        plain.append(p)
+        if not (i and w[0].isupper()):
+            named.append(p)
+        elif not named or named[-1] != "N":
+            named.append("N")
+    return plain, named
 
 
 def forms(line: str) -> list[list[str]]:
     """Groups of forms of a tidy line, in each the most specific first: the whole of it, how it begins, goes on after its first word, and ends."""
-    plain, masked, sizes = _tokens(line)
+    line = line.replace("...", "…")
+    unspaced = _UNSPACED.search(line)
+    plain, named = _letters(line) if unspaced else _words(line)
+    a, b, c = (2, 3, 5) if unspaced else (1, 2, 3)
     n = len(plain)
-    groups = [["w" + " ".join(plain)], ["w" + " ".join(masked)]]
-    longer = (*reversed(sizes),)
-    groups.append(["p" + " ".join(plain[:k]) for k in (sizes[-1] + 2, *longer) if n >= k])
-    groups.append(["p" + " ".join(masked[:k]) for k in (sizes[-1] + 2, sizes[-1]) if len(masked) >= k])
-    groups.append(["q" + " ".join(plain[1 : 1 + k]) for k in (sizes[-1] + 1, *longer[:-1]) if n > k])
-    groups.append(["s" + " ".join(plain[-k:]) for k in longer if n >= k])
-    return groups
+    return [
+        ["w" + " ".join(plain)],
+        ["w" + " ".join(named)],
+        ["p" + " ".join(plain[:k]) for k in (c + 2, c, b, a) if n >= k],
+        ["p" + " ".join(named[:k]) for k in (c + 2, c) if len(named) >= k],
+        ["q" + " ".join(plain[1 : 1 + k]) for k in (c, b, a) if n > k and (k > a or plain[k][-1] == ":")],
+        ["s" + " ".join(plain[-k:]) for k in (c, b, a) if n >= k],
+    ]
 
 
 class Known:
@@ -83,45 +105,57 @@ class Known:
             return [None] * len(ids)
         want = np.array(ids, np.int64)
         at = np.minimum(np.searchsorted(self.ids, want), len(self.ids) - 1)
-        hit = self.ids[at] == want
-        return [float(s) if h else None for h, s in zip(hit.tolist(), self.shares[at].tolist(), strict=True)]
+        return [s if h else None for h, s in zip((self.ids[at] == want).tolist(), self.shares[at].tolist(), strict=True)]
+
+
+def telling(line: str) -> list[tuple[str, list[int]]]:
+    """(kind, ids of the forms that tell something) of each group of a tidy line's forms."""
+    return [(g[0][0], ids) for g in forms(line) if g and (ids := [form_id(f) for f in g if _TELLING.search(f, 1)])]
 
 
 def ids_of(lines: Iterable[str]) -> set[int]:
-    return {form_id(f) for line in lines for g in forms(line) for f in g if _TELLING.search(f, 1)}
+    return {i for line in lines for _, ids in telling(line) for i in ids}
 
 
 class Lines:
     """Judges lines by known forms. ``most`` is the share from which a form counts as one of what sites put around texts."""
 
     def __init__(self, shares_of: Callable[[list[int]], list[float | None]], most: float = 0.3):
-        self.shares_of, self.most, self.seen = shares_of, most, {}
+        self.shares_of, self.most = shares_of, most
+        self.seen: dict[str, float] = {}
 
     def outside(self, line: str) -> float:
         """The share outside of the whole line's form if that is known, else the highest among its beginning and its end; 0 if nothing is known."""
-        told = [[f for f in g if _TELLING.search(f, 1)] for g in forms(line)]
-        flat = [form_id(f) for g in told for f in g]
-        if not flat:
-            return 0.0
-        shares, at, best = self.shares_of(flat), 0, 0.0
-        for g in told:
-            known = next((s for s in shares[at : at + len(g)] if s is not None), None)
-            if known is not None:
-                if g[0][0] == "w":
-                    return known
-                best = max(best, known)
-            at += len(g)
-        return best
+        return self.all_outside([line])[0]
+
+    def all_outside(self, lines: list[str]) -> list[float]:
+        """The same of each line; all of them are looked up at once."""
+        seen = self.seen
+        if len(seen) > 200_000:  # a cache, not a limit
+            seen.clear()
+        fresh = {line: telling(line) for line in lines if line not in seen}
+        flat = [i for told in fresh.values() for _, ids in told for i in ids]
+        shares, at = self.shares_of(flat) if flat else [], 0
+        for line, told in fresh.items():
+            best = whole = None
+            for kind, ids in told:
+                if whole is None:
+                    known = next((s for s in shares[at : at + len(ids)] if s is not None), None)
+                    if known is not None:
+                        if kind == "w":
+                            whole = known
+                        elif best is None or known > best:
+                            best = known
+                at += len(ids)
+            seen[line] = whole if whole is not None else best or 0.0
+        return [seen[line] for line in lines]
+
+    def all_furniture(self, lines: list[str]) -> list[bool]:
+        """Whether each tidy line looks like what sites put around their texts. Blank lines do."""
+        return [not line or share >= self.most for line, share in zip(lines, self.all_outside(lines), strict=True)]
 
     def furniture(self, line: str) -> bool:
-        """Whether a tidy line looks like what sites put around their texts. Blank lines count."""
-        if not line:
-            return True
-        if (hit := self.seen.get(line)) is None:
-            if len(self.seen) > 200_000:  # a cache, not a limit
-                self.seen.clear()
-            hit = self.seen[line] = self.outside(line) >= self.most
-        return hit
+        return self.all_furniture([line])[0]
 
 
 def form_shares(placed: DataFrame, least: int = 8) -> DataFrame:
