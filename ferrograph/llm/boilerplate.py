@@ -13,14 +13,12 @@ from collections.abc import Iterator
 from math import e, log
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.markup import Block, Node, parse, path
 from ..sources import spread
 from .lines import Learned, Lines, form_shares, ids_of, tidy
-from .residue import is_html, repeats, residue_ids, texts
+from .residue import is_html, residue_ids, texts, without, without_copies
 
 
 def density(n: Node, body: Node) -> float:
@@ -66,9 +64,8 @@ def main_blocks(body: str, lines: Lines, inner: float = 0.1) -> list[Block]:
 
     ``inner`` is the share outside up to which a known form of line counts as one of articles.
     """
-    out = []
-    for b, inside in placed(body):
-        share = lines.outside(tidy(b.text))
+    out, blocks = [], placed(body)
+    for (b, inside), share in zip(blocks, lines.all_outside([tidy(b.text) for b, _ in blocks]), strict=True):
         if share < lines.most if inside else 0 < share < inner and b.link_chars < 0.5 * max(b.chars, 1):
             out.append(b)
     return out
@@ -80,7 +77,8 @@ def lines_of(text: str) -> list[str]:
 
 def guide_lines(text: str, lines: Lines) -> list[tuple[int, str]]:
     """(number, line) of the article's lines among the lines that aren't blank."""
-    return [(i, x) for i, x in enumerate(lines_of(text)) if not lines.furniture(tidy(x))]
+    found = lines_of(text)
+    return [(i, x) for i, (x, around) in enumerate(zip(found, lines.all_furniture([tidy(x) for x in found]), strict=True)) if not around]
 
 
 def line_forms(fetched: DataFrame) -> Learned:
@@ -98,7 +96,7 @@ def line_forms(fetched: DataFrame) -> Learned:
                             n[1] += not inside
             yield pd.DataFrame([(f, *n) for f, n in counts.items()], columns=["form", "lines", "outside"])
 
-    return Learned(form_shares(fetched.join(repeats(fetched), "fetch_id", "left_anti").select("body").where("body is not null").mapInPandas(run, "form bigint, lines bigint, outside bigint")))
+    return Learned(form_shares(without_copies(fetched.select("fetch_id", "body")).select("body").where("body is not null").mapInPandas(run, "form bigint, lines bigint, outside bigint")))
 
 
 def main_content(guides: DataFrame, fetched: DataFrame) -> DataFrame:
@@ -110,8 +108,7 @@ def main_content(guides: DataFrame, fetched: DataFrame) -> DataFrame:
     pages = spread(fetched.select("fetch_id", "body", *{"url"} & {*fetched.columns}))
     learned = line_forms(pages)
     judge = learned.judge()
-    residue = residue_ids(pages, learned).distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    kept = pages.join(F.broadcast(residue) if residue.count() <= 100_000 else residue, "fetch_id", "left_anti")
+    kept = without(pages, residue_ids(pages, learned).distinct())
 
     def of_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -17,7 +17,8 @@ from hashlib import blake2b
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -116,14 +117,29 @@ def units(form: str) -> tuple[int, ...]:
 def slots(body: str, lines: Lines) -> list[str]:
     """Shapes of what a record holds apart from lines that look like what sites put around their texts. Lines of JSON bodies all count."""
     found = texts(body)
-    return [shape(x) for x in found if is_json(body) or not lines.furniture(x)]
+    return [shape(x) for x, around in zip(found, [False] * len(found) if is_json(body) else lines.all_furniture(found), strict=True) if not around]
 
 
-def repeats(bodies: DataFrame) -> DataFrame:
-    """(fetch_id) of the rows whose body a row of a lesser id has. Only ids and digests are shuffled."""
-    seen = bodies.where("body is not null").select("fetch_id", F.xxhash64("body").alias("h"), F.length("body").alias("n"))
-    firsts = seen.groupBy("h", "n").agg(F.min("fetch_id").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
-    return seen.join(firsts, ["h", "n"]).where("fetch_id > first").select("fetch_id")
+#: Ids of at most this many rows are sent to the tasks, more are joined by a shuffle.
+FEW_IDS = 1_000_000
+
+
+def later(rows: DataFrame, *same: str) -> DataFrame:
+    """(fetch_id) of the rows that equal a row of a lesser id in the columns ``same``. Only ids and these columns are shuffled."""
+    firsts = rows.groupBy(*same).agg(F.min("fetch_id").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    return rows.select("fetch_id", *same).join(firsts, [*same]).where("fetch_id > first").select("fetch_id")
+
+
+def without(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` without those of the ids; the rows themselves are only shuffled if the ids are many."""
+    kept = ids.persist(StorageLevel.MEMORY_AND_DISK)
+    return rows.join(F.broadcast(kept) if kept.count() <= FEW_IDS else kept, "fetch_id", "left_anti")
+
+
+def without_copies(bodies: DataFrame) -> DataFrame:
+    """Rows of different bodies, those of the least ids; null bodies all stay."""
+    seen = bodies.where("body is not null").select("fetch_id", F.xxhash64("body").alias("digest"), F.length("body").alias("chars"))
+    return without(bodies, later(seen, "digest", "chars"))
 
 
 def with_address(fetched: DataFrame) -> DataFrame:
@@ -150,20 +166,27 @@ def read_slots(bodies: DataFrame, learned: Learned) -> DataFrame:
     """
     judge = learned.judge()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for fetch_id, host, address, slug, body, ids, shares in b.itertuples(index=False, name=None):
+            forms, flat, whole = [], [], []
+            unit_ends, slot_ends = [0], [0]
+            for body, ids, shares in zip(*(b.column(c).to_pylist() for c in ("body", "known_forms", "known_shares")), strict=True):
                 found = slots(body, judge(ids, shares))
-                forms = [{"form": digest(s), "units": list(units(s))} if s else {"form": 0, "units": []} for s in found]
-                rows.append((fetch_id, host, address, slug, None if is_json(body) else digest("\n".join(sorted(set(found)))), forms))
-            out = pd.DataFrame(rows, columns=["fetch_id", "host", "address", "slug", "whole", "slots"])
-            out["whole"] = pd.array(out["whole"].tolist(), dtype="Int64")
-            yield out
+                whole.append(None if is_json(body) else digest("\n".join(sorted(set(found)))))
+                for s in found:
+                    forms.append(digest(s) if s else 0)
+                    flat += units(s) if s else ()
+                    unit_ends.append(len(flat))
+                slot_ends.append(len(forms))
+            lists = pa.ListArray.from_arrays(pa.array(unit_ends, pa.int32()), pa.array(flat, pa.int32()))
+            structs = pa.StructArray.from_arrays([pa.array(forms, pa.int64()), lists], ["form", "units"])
+            made = [pa.array(whole, pa.int64()), pa.ListArray.from_arrays(pa.array(slot_ends, pa.int32()), structs)]
+            kept = ["fetch_id", "host", "address", "slug"]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), *made], names=[*kept, "whole", "slots"])
 
     real = bodies.where(F.col("body").isNotNull() & F.col("body").rlike(r"(?U)\S"))
     asked = learned.beside(real, "fetch_id", "body", texts).select("fetch_id", "host", "address", "slug", "body", "known_forms", "known_shares")
-    return asked.mapInPandas(run, "fetch_id bigint, host string, address bigint, slug bigint, whole bigint, slots array<struct<form:bigint,units:array<int>>>")
+    return asked.mapInArrow(run, "fetch_id bigint, host string, address bigint, slug bigint, whole bigint, slots array<struct<form:bigint,units:array<int>>>")
 
 
 def site_forms(read: DataFrame, least: int = 8, share: float = 0.3) -> DataFrame:
@@ -201,9 +224,13 @@ class Odds:
         odds = np.log(np.maximum(lone + overall, 1e-12) / (n_lone + 1)) - np.log((rest + 0.5) / (n_rest + 1))
         self.odds = np.where((lone + rest >= least) & (n_rest >= others), odds, 0.0).astype(np.float32)
 
-    def residue(self, slots, least: float) -> bool:
-        """Whether every slot, given by its buckets, is empty or speaks for residue."""
-        return all(not len(s) or float(self.odds[s].sum()) > least for s in slots)
+    def residue(self, records: pa.ListArray, least: float) -> np.ndarray:
+        """Of each record, given by its slots' buckets, whether every slot is empty or speaks for residue."""
+        slots_ = records.flatten()
+        of_record, of_slot = (np.concatenate([[0], np.cumsum(pc.list_value_length(x).to_numpy(zero_copy_only=False))]).astype(np.int64) for x in (records, slots_))
+        summed = np.concatenate([[0.0], np.cumsum(self.odds[slots_.flatten().to_numpy(zero_copy_only=False)], dtype=np.float64)])
+        other = np.concatenate([[0], np.cumsum((np.diff(of_slot) > 0) & (np.diff(summed[of_slot]) <= least))])
+        return np.diff(other[of_record]) == 0
 
 
 def _odds(records: DataFrame, lone) -> Odds:
@@ -217,9 +244,9 @@ def _odds(records: DataFrame, lone) -> Odds:
 
 
 def _says(odds, least: float):
-    @F.pandas_udf("boolean")
-    def says(slots: pd.Series) -> pd.Series:
-        return pd.Series([odds.value.residue(s, least) for s in slots], dtype=bool)
+    @F.arrow_udf("boolean")
+    def says(records: pa.Array) -> pa.Array:
+        return pa.array(odds.value.residue(records, least))
 
     return says
 
@@ -232,15 +259,15 @@ def residue_ids(fetched: DataFrame, learned: Learned, short: int = 48, pages: in
     the log odds that a slot must exceed. A whole record found under ``pages`` different last parts of an address is a template too (copies of an
     article keep theirs). Null, empty and blank bodies are no cases. Repeated rows have their own ids and are judged alike. An empty table has none.
     """
-    read = induced(read_slots(with_address(fetched), learned)).persist(StorageLevel.MEMORY_AND_DISK)
+    read = induced(read_slots(with_address(fetched), learned).persist(StorageLevel.MEMORY_AND_DISK))  # pages are read once; what follows is cheap
     spark = fetched.sparkSession
-    one = read.groupBy("address").agg(F.max_by(F.struct("slug", "slots", "page"), F.xxhash64("page", "slug")).alias("o")).select("o.*").persist(StorageLevel.MEMORY_AND_DISK)
+    one = without(read, later(read, "address")).select("slug", "slots", "page")
     buckets = F.transform("slots", lambda s: s["units"])
     lone = F.size(F.array_distinct(F.flatten(buckets))) <= short
     for _ in range(rounds):
         lone = _says(spark.sparkContext.broadcast(_odds(one, lone)), least)(buckets)
-    often = one.where("page is not null").groupBy("page").agg(F.countDistinct("slug").alias("slugs")).where(F.col("slugs") >= pages).select("page", F.lit(True).alias("often"))
-    return read.join(often, "page", "left").where(F.coalesce("often", F.lit(False)) | lone).select("fetch_id")
+    often = one.where("page is not null").groupBy("page").agg(F.countDistinct("slug").alias("slugs")).where(F.col("slugs") >= pages).select("page", F.lit(True).alias("often")).persist(StorageLevel.MEMORY_AND_DISK)
+    return read.join(F.broadcast(often) if often.count() <= FEW_IDS else often, "page", "left").where(F.coalesce("often", F.lit(False)) | lone).select("fetch_id")
 
 
 def residue_records(fetched: DataFrame) -> DataFrame:
